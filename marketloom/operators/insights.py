@@ -1,0 +1,103 @@
+"""Sentences drawn from the result tables, as rows (rule, severity, metric, value, text)."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from marketloom.operators import corr, dist, hypo, outliers, text
+from marketloom.operators.groups import union_batches
+from marketloom.schema import NUMERIC_COLUMNS
+
+
+def insight(df: DataFrame, rule: str, severity: str, metric: Column, value: Column, sentence: Column) -> DataFrame:
+    return df.select(
+        F.lit(rule).alias("rule"),
+        F.lit(severity).alias("severity"),
+        metric.alias("metric"),
+        value.cast("double").alias("value"),
+        sentence.alias("text"),
+    )
+
+
+def normality_insight(df: DataFrame) -> DataFrame:
+    verdict = dist.normality_verdict(df, ["price_min"]).where(~F.col("is_likely_normal"))
+    sentence = F.lit("Price distribution fails normality tests - consider log transformation")
+    return insight(verdict, "normality", "warning", F.col("column"), F.col("tests_passed"), sentence)
+
+
+def best_fit_insight(df: DataFrame) -> DataFrame:
+    best = dist.fit_distributions(df).where("is_best")
+    sentence = F.format_string("Best fitting distribution: %s (AIC: %.2f)", "distribution", "aic")
+    return insight(best, "best_fit", "info", F.col("distribution"), F.col("aic"), sentence)
+
+
+def correlation_insights(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
+    pairs = corr.strong_correlations(df, columns)
+    sentence = F.format_string("Strong %s correlation (%.2f) between %s and %s", "direction", "r", "column_a", "column_b")
+    return insight(
+        pairs, "strong_correlation", "info", F.concat_ws("/", "column_a", "column_b"), F.col("r"), sentence
+    )
+
+
+def anova_insight(df: DataFrame) -> DataFrame:
+    significant = hypo.anova(df).where("is_significant")
+    sentence = F.format_string(
+        "ANOVA: Significant price differences across categories (F=%.2f, p<0.05, eta^2=%.3f)",
+        "f_statistic",
+        "eta_squared",
+    )
+    return insight(significant, "anova", "warning", F.lit("f_statistic"), F.col("f_statistic"), sentence)
+
+
+def iforest_insight(df: DataFrame) -> DataFrame:
+    found = outliers.outliers_iforest(df, contaminations=(0.10,))
+    sentence = F.format_string("Isolation Forest (10%% contamination) detected %d outliers", "outlier_count")
+    return insight(found, "isolation_forest", "warning", F.lit("outlier_count"), F.col("outlier_count"), sentence)
+
+
+def keyword_insight(df: DataFrame) -> DataFrame:
+    top = text.tfidf_keywords(df, k=5)
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("term"))))
+    named = top.agg(F.count(F.lit(1)).alias("n"), ordered.alias("terms")).where("n > 0")
+    names = F.concat_ws(", ", F.transform("terms", lambda t: t["term"]))
+    return insight(named, "keywords", "info", F.lit("terms"), F.col("n"), F.concat(F.lit("Top keywords: "), names))
+
+
+def pattern_insights(df: DataFrame) -> DataFrame:
+    """Dominant category, mean name length and quality words."""
+    p = text.name_patterns(df)
+    dominant = F.format_string("Dominant category: %s (%d products)", "dominant_category", "dominant_count")
+    length = F.format_string("Average product name length: %.0f characters", "avg_name_length")
+    words = text.quality_word_counts(df).where("word_set = 'quality'")
+    quality = F.format_string("Quality-indicator products: %d (%.1f%%)", "hits", "hits_pct")
+    return union_batches(
+        [
+            insight(p, "dominant_category", "info", F.col("dominant_category"), F.col("dominant_count"), dominant),
+            insight(p, "name_length", "info", F.lit("avg_name_length"), F.col("avg_name_length"), length),
+            insight(words, "quality_words", "info", F.lit("hits"), F.col("hits"), quality),
+        ]
+    )
+
+
+def segment_insights(named: DataFrame) -> DataFrame:
+    """From segment sizes (segment_name, size, share in percent)."""
+    sentence = F.format_string("Segment '%s': %d products (%.1f%%)", "segment_name", "size", "percentage")
+    return insight(named, "segment", "info", F.col("segment_name"), F.col("size"), sentence)
+
+
+PRODUCERS = {
+    "normality": normality_insight,
+    "best_fit": best_fit_insight,
+    "correlation": correlation_insights,
+    "anova": anova_insight,
+    "isolation_forest": iforest_insight,
+    "keywords": keyword_insight,
+    "patterns": pattern_insights,
+}
+
+
+def insights(df: DataFrame, names: Sequence[str] = tuple(PRODUCERS)) -> DataFrame:
+    return union_batches([PRODUCERS[name](df) for name in names])
