@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from marketloom.operators.groups import topk_per_group, union_batches
 from marketloom.operators.lookup import LOOKUP_ROWS, lookup_join, spread
 from marketloom.operators.ranks import melt, quantile_table
-from marketloom.session import cut_lineage
+from marketloom.session import cut_lineage, in_parallel
 
 SEED = 42
 MAX_ITER = 300
@@ -31,7 +31,7 @@ MICRO_CLUSTERS = 500
 
 def vectors(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Feature columns plus their vector, stored reliably because every iteration reads it."""
-    return cut_lineage(spread(VectorAssembler(inputCols=list(columns), outputCol="features").transform(matrix)))
+    return spread(cut_lineage(VectorAssembler(inputCols=list(columns), outputCol="features").transform(matrix)))
 
 
 # --- quality of a labelling --------------------------------------------------------------------------------------------
@@ -135,7 +135,9 @@ def cluster_metrics(df: DataFrame, columns: Sequence[str], label: str) -> DataFr
 
 def _fit_kmeans(data: DataFrame, k: int, n_init: int):
     """Lowest-cost model over n_init seeds."""
-    models = [KMeans(k=k, seed=SEED + i, maxIter=MAX_ITER, featuresCol="features").fit(data) for i in range(n_init)]
+    models = in_parallel(
+        [lambda i=i: KMeans(k=k, seed=SEED + i, maxIter=MAX_ITER, featuresCol="features").fit(data) for i in range(n_init)]
+    )
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
@@ -159,9 +161,8 @@ def kmeans_select_k(
     """Scores for each k, with flags for the k chosen by each criterion and by their vote."""
     data = vectors(matrix, columns)
     labelled = data
-    for k in ks:
-        model = _fit_kmeans(data, k, n_init).setPredictionCol(f"k{k}")
-        labelled = model.transform(labelled)
+    for k, model in zip(ks, in_parallel([lambda k=k: _fit_kmeans(data, k, n_init) for k in ks])):
+        labelled = model.setPredictionCol(f"k{k}").transform(labelled)
     quality = label_quality(labelled, columns, [f"k{k}" for k in ks])
     scores = [_scores(quality[quality["labelling"] == f"k{k}"], columns) for k in ks]
     best, elbow, silhouette, davies = choose_k(
@@ -323,10 +324,8 @@ def gmm_select(matrix: DataFrame, columns: Sequence[str], ks: Sequence[int] = K_
     """BIC and AIC for each number of components; the lowest BIC is chosen."""
     data, d = _mixture_input(matrix, columns)
     n = data.count()
-    rows = []
-    for k in ks:
-        ll = _fit_mixture(data, k, n).summary.logLikelihood
-        rows.append((k, float(ll), *_criteria(ll, k, d, n)))
+    fits = in_parallel([lambda k=k: _fit_mixture(data, k, n).summary.logLikelihood for k in ks])
+    rows = [(k, float(ll), *_criteria(ll, k, d, n)) for k, ll in zip(ks, fits)]
     by_bic, by_aic = (min(rows, key=lambda r: r[i])[0] for i in (2, 3))
     return matrix.sparkSession.createDataFrame(
         [(*r, r[0] == by_bic, r[0] == by_aic) for r in rows],

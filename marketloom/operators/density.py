@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from marketloom.operators.cluster import cluster_metrics
 from marketloom.operators.components import connected_components
 from marketloom.operators.groups import sample_rows
-from marketloom.operators.lookup import lookup_join
+from marketloom.operators.lookup import lookup_join, spread
 from marketloom.operators.ranks import row_positions
 from marketloom.session import cut_lineage
 
@@ -48,7 +48,7 @@ def k_distances(
 
     order = Window.partitionBy("query").orderBy("square")
     rows = (
-        matrix.select(*names)
+        spread(matrix.select(*names))
         .mapInPandas(nearest, "query long, square double")
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") == k)
@@ -127,11 +127,11 @@ def _coarse_keys(cells: DataFrame, d: int) -> list[Column]:
 
 
 def _near_cells(cells: DataFrame, d: int, limit: float) -> DataFrame:
-    """Ordered pairs (a, b) of different cells whose boxes are within eps, and whether all their points are."""
+    """Pairs a < b of cells whose boxes are within eps, and whether all their points are (``whole``)."""
     keys = _coarse_keys(cells, d)
     boxes = [f"{side}{j}" for side in ("lo", "hi") for j in range(d)]
     steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    left = cells.select(F.col("cell").alias("a"), *boxes, *[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    left = spread(cells).select(F.col("cell").alias("a"), *boxes, *[k.alias(f"k{i}") for i, k in enumerate(keys)])
     for i in range(len(keys)):
         left = left.withColumn("_step", F.explode(steps)).withColumn(f"k{i}", F.col(f"k{i}") + F.col("_step"))
     left = left.drop("_step").withColumnsRenamed({c: f"a_{c}" for c in boxes})
@@ -139,7 +139,7 @@ def _near_cells(cells: DataFrame, d: int, limit: float) -> DataFrame:
     right = right.withColumnsRenamed({c: f"b_{c}" for c in boxes})
     return (
         left.join(right, [f"k{i}" for i in range(len(keys))])
-        .where((F.col("a") != F.col("b")) & (_box_gap("a_", "b_", d) <= limit))
+        .where((F.col("a") < F.col("b")) & (_box_gap("a_", "b_", d) <= limit))
         .select("a", "b", (_box_reach("a_", "b_", d) <= limit).alias("whole"))
     )
 
@@ -177,7 +177,8 @@ def _grid(matrix: DataFrame, names: Sequence[str], key: str, eps: float, min_sam
 
 def _thin_candidates(thin: DataFrame, near: DataFrame, cells: DataFrame, d: int, limit: float) -> DataFrame:
     """Points p of thin cells against each other cell b that may hold neighbours: ``whole`` when all of b are."""
-    as_box = thin.select(
+    around = near.select(F.col("a").alias("cell"), "b").unionByName(near.select(F.col("b").alias("cell"), F.col("a").alias("b")))
+    as_box = spread(thin).select(
         F.col("key").alias("p"),
         "cell",
         *[F.col(f"x{j}").alias(f"p_lo{j}") for j in range(d)],
@@ -186,7 +187,7 @@ def _thin_candidates(thin: DataFrame, near: DataFrame, cells: DataFrame, d: int,
     )
     other = _sided(cells.drop(*[f"c{j}" for j in range(d)]), "b_").withColumnRenamed("b_cell", "b")
     return (
-        as_box.join(near.select(F.col("a").alias("cell"), "b"), "cell")
+        as_box.join(around, "cell")
         .join(other, "b")
         .where(_box_gap("p_", "b_", d) <= limit)
         .select(
@@ -200,41 +201,36 @@ def _thin_candidates(thin: DataFrame, near: DataFrame, cells: DataFrame, d: int,
     )
 
 
-def _core_points(
-    rows: DataFrame, cells: DataFrame, near: DataFrame, candidates: DataFrame, d: int, limit: float, min_samples: int
-) -> DataFrame:
-    """(key, cell, x...) of the core points that lie in thin cells.
+def _core_points(rows: DataFrame, cells: DataFrame, near: DataFrame, d: int, limit: float, min_samples: int) -> DataFrame:
+    """The points of thin cells with ``is_core``.
 
     The sure neighbours of a point (its own cell, cells wholly in reach, representatives in reach) mostly decide;
     only points left open are compared with the rows of the cells partly in reach.
     """
     thin = rows.where(~F.col("dense"))
     sure = F.when(F.col("whole"), F.col("b_n")).otherwise(F.col("hits_rep").cast("long"))
-    known = candidates.groupBy("p").agg(
-        F.sum(sure).alias("at_least"), F.sum(F.when(F.col("whole"), F.col("b_n")).otherwise(0)).alias("wholly")
+    known = (
+        _thin_candidates(thin, near, cells, d, limit)
+        .groupBy(F.col("p").alias("key"))
+        .agg(F.sum(sure).alias("at_least"), F.sum(F.when(F.col("whole"), F.col("b_n")).otherwise(0)).alias("wholly"))
     )
     counted = cut_lineage(
-        thin.join(known.withColumnRenamed("p", "key"), "key", "left")
+        thin.join(known, "key", "left")
         .fillna(0, ["at_least", "wholly"])
         .withColumn("settled", F.col("n") + F.col("at_least") >= min_samples)
     )
-    open_points = counted.where(~F.col("settled")).select(F.col("key").alias("p"), "n", "wholly")
     other = _sided(rows.select("cell", *[f"x{j}" for j in range(d)]), "b_").withColumnRenamed("b_cell", "b")
-    partial = (
-        candidates.where(~F.col("whole"))
-        .join(open_points.select("p"), "p", "left_semi")
+    seen = (
+        _thin_candidates(counted.where(~F.col("settled")), near, cells, d, limit)
+        .where(~F.col("whole"))
         .join(other, "b")
         .where(_point_gap("p_", "b_", d) <= limit)
-        .groupBy("p")
+        .groupBy(F.col("p").alias("key"))
         .agg(F.count(F.lit(1)).alias("seen"))
     )
-    late = (
-        open_points.join(partial, "p", "left")
-        .where(F.col("n") + F.col("wholly") + F.coalesce("seen", F.lit(0)) >= min_samples)
-        .select(F.col("p").alias("key"))
-    )
-    chosen = counted.where("settled").select("key").unionByName(late)
-    return thin.join(chosen, "key", "left_semi")
+    total = F.col("n") + F.col("wholly") + F.coalesce("seen", F.lit(0))
+    is_core = F.col("settled") | (total >= min_samples)
+    return counted.join(seen, "key", "left").withColumn("is_core", is_core).drop("at_least", "wholly", "settled", "seen")
 
 
 def _join_components(
@@ -247,7 +243,8 @@ def _join_components(
     """
     reps = nodes.select("node", *[f"x{j}" for j in range(d)])
     pairs = (
-        near.where(F.col("a") < F.col("b"))
+        spread(near)
+        .where(F.col("a") < F.col("b"))
         .join(_sided(reps, "a_").withColumnRenamed("a_node", "a"), "a")
         .join(_sided(reps, "b_").withColumnRenamed("b_node", "b"), "b")
         .select("a", "b", (F.col("whole") | (_point_gap("a_", "b_", d) <= limit)).alias("linked"))
@@ -308,9 +305,9 @@ def dbscan_labels(
     d, limit = len(columns), eps * eps
     rows, cells = _grid(matrix, columns, key, eps, min_samples)
     near = cut_lineage(_near_cells(cells, d, limit))
-    candidates = cut_lineage(_thin_candidates(rows.where(~F.col("dense")), near, cells, d, limit))
     xs = [f"x{j}" for j in range(d)]
-    thin_core = cut_lineage(_core_points(rows, cells, near, candidates, d, limit, min_samples).select("key", "cell", *xs))
+    thin = cut_lineage(_core_points(rows, cells, near, d, limit, min_samples))
+    thin_core = thin.where("is_core").select("key", "cell", *xs)
     thin_nodes = thin_core.groupBy("cell").agg(
         F.min("key").alias("core_key"), F.min_by(F.struct(*xs), F.xxhash64("key")).alias("rep")
     )
@@ -328,7 +325,7 @@ def dbscan_labels(
             F.col("node").alias("cell"), "label"
         )
     )
-    border = _border_labels(rows, thin_core, candidates, labels, d, limit)
+    border = _border_labels(core_rows, thin.where(~F.col("is_core")), near, cells, labels, d, limit)
     core = lookup_join(core_rows.select("key", "cell"), labels, ["cell"]).select("key", "label")
     found = core.unionByName(border)
     label = F.coalesce(F.col("label"), F.lit(-1)).cast("long")
@@ -338,18 +335,14 @@ def dbscan_labels(
 
 
 def _border_labels(
-    rows: DataFrame, thin_core: DataFrame, candidates: DataFrame, labels: DataFrame, d: int, limit: float
+    core_rows: DataFrame, others: DataFrame, near: DataFrame, cells: DataFrame, labels: DataFrame, d: int, limit: float
 ) -> DataFrame:
-    """(key, label) of the points that are no core points but have one in reach."""
-    others = rows.where(~F.col("dense")).join(thin_core.select("key"), "key", "left_anti")
+    """(key, label) of the points in ``others``, no core points, that have a core point in reach."""
     own = others.join(labels, "cell").select("key", "label")
-    reach = candidates.join(others.select(F.col("key").alias("p")), "p", "left_semi")
-    reach = reach.join(labels.withColumnRenamed("cell", "b"), "b")
-    # Only cells outside the point's own need a look; all points of a cell wholly in reach are.
+    reach = _thin_candidates(others, near, cells, d, limit).join(labels.withColumnRenamed("cell", "b"), "b")
+    # All points of a cell wholly in reach are; of the others the core points are looked at.
     inside = reach.where("whole").select(F.col("p").alias("key"), "label")
-    xs = [f"x{j}" for j in range(d)]
-    core_rows = rows.where("dense").select("cell", *xs).unionByName(thin_core.select("cell", *xs))
-    other = _sided(core_rows, "b_").withColumnRenamed("b_cell", "b")
+    other = _sided(core_rows.drop("key"), "b_").withColumnRenamed("b_cell", "b")
     touched = (
         reach.where(~F.col("whole"))
         .join(other, "b")

@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
+from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def build_session(app_name: str = "marketloom", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session; on a cluster leave ``master`` unset and let spark-submit decide."""
@@ -41,6 +48,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so a lost executor costs no recomputation of earlier rounds."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written once to the shared folder and read back.
+
+    Earlier rounds are never recomputed when an executor is lost. As a Parquet table the result keeps column pruning,
+    and its size is known, so the planner broadcasts it when it is small.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cut-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def in_parallel(tasks: Sequence[Callable[[], T]], threads: int = 4) -> list[T]:
+    """Results of independent driver-side tasks whose Spark jobs may overlap, in order."""
+    with ThreadPool(min(threads, max(len(tasks), 1))) as pool:
+        return pool.map(lambda run: run(), [inheritable_thread_target(t) for t in tasks])
