@@ -241,8 +241,11 @@ def hierarchical_labels(
     With at most ``micro`` distinct points the points themselves are merged, which is plain Ward.
     """
     names = list(columns)
-    points = matrix.groupBy(*names).agg(F.count(F.lit(1)).alias("size")).limit(micro + 1).toPandas()
-    if len(points) <= micro:
+    # The estimate spares a large table the grouping of all its points.
+    few = matrix.agg(F.approx_count_distinct(F.xxhash64(*names))).first()[0] <= 1.2 * micro
+    distinct = matrix.groupBy(*names).agg(F.count(F.lit(1)).alias("size")).limit(micro + 1)
+    points = distinct.toPandas() if few else None
+    if points is not None and len(points) <= micro:
         points = points.sort_values(names, ignore_index=True)
         points["hier_cluster"] = _ward(points["size"].to_numpy(), points[names].to_numpy(), min(k, len(points)))
         table = matrix.sparkSession.createDataFrame(points[[*names, "hier_cluster"]])
@@ -309,9 +312,12 @@ def _mixture_input(matrix: DataFrame, columns: Sequence[str]) -> tuple[DataFrame
     return vectors(scores.select(*matrix.columns, *names), names), kept
 
 
-def _fit_mixture(data: DataFrame, k: int, n: int):
+def _fit_mixture(data: DataFrame, k: int, n: int, n_init: int):
+    """Most likely model over n_init random starts."""
     # The library stops on the total log-likelihood; the tolerance is meant per row.
-    return GaussianMixture(k=k, seed=SEED, maxIter=GMM_ITER, tol=GMM_TOLERANCE * n).fit(data)
+    start = lambda i: GaussianMixture(k=k, seed=SEED + i, maxIter=GMM_ITER, tol=GMM_TOLERANCE * n).fit(data)
+    models = in_parallel([lambda i=i: start(i) for i in range(n_init)])
+    return max(models, key=lambda m: m.summary.logLikelihood)
 
 
 def _criteria(log_likelihood: float, k: int, d: int, n: int) -> tuple[float, float]:
@@ -320,11 +326,13 @@ def _criteria(log_likelihood: float, k: int, d: int, n: int) -> tuple[float, flo
     return -2 * log_likelihood + free * math.log(n), -2 * log_likelihood + 2 * free
 
 
-def gmm_select(matrix: DataFrame, columns: Sequence[str], ks: Sequence[int] = K_RANGE) -> DataFrame:
+def gmm_select(
+    matrix: DataFrame, columns: Sequence[str], ks: Sequence[int] = K_RANGE, n_init: int = 1
+) -> DataFrame:
     """BIC and AIC for each number of components; the lowest BIC is chosen."""
     data, d = _mixture_input(matrix, columns)
     n = data.count()
-    fits = in_parallel([lambda k=k: _fit_mixture(data, k, n).summary.logLikelihood for k in ks])
+    fits = in_parallel([lambda k=k: _fit_mixture(data, k, n, n_init).summary.logLikelihood for k in ks])
     rows = [(k, float(ll), *_criteria(ll, k, d, n)) for k, ll in zip(ks, fits)]
     by_bic, by_aic = (min(rows, key=lambda r: r[i])[0] for i in (2, 3))
     return matrix.sparkSession.createDataFrame(
@@ -333,18 +341,18 @@ def gmm_select(matrix: DataFrame, columns: Sequence[str], ks: Sequence[int] = K_
     )
 
 
-def gmm_labels(matrix: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:
+def gmm_labels(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = 1) -> DataFrame:
     """The matrix with ``gmm_cluster`` and the probability of that component."""
     data, _ = _mixture_input(matrix, columns)
-    out = _fit_mixture(data, k, data.count()).transform(data)
+    out = _fit_mixture(data, k, data.count(), n_init).transform(data)
     best = F.array_max(vector_to_array("probability"))
     return out.select(*matrix.columns, F.col("prediction").alias("gmm_cluster"), best.alias("confidence"))
 
 
-def gmm_fit(matrix: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:
+def gmm_fit(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = 1) -> DataFrame:
     data, d = _mixture_input(matrix, columns)
     n = data.count()
-    model = _fit_mixture(data, k, n)
+    model = _fit_mixture(data, k, n, n_init)
     ll, rounds = model.summary.logLikelihood, model.summary.numIter
     labelled = cut_lineage(
         model.transform(data).select(

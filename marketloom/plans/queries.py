@@ -28,6 +28,7 @@ from marketloom.operators import (
     ranks,
     text,
 )
+from marketloom.operators.lookup import bounded_local
 from marketloom.schema import FEATURE_COLUMNS, NUMERIC_COLUMNS
 from marketloom.session import cut_lineage
 from marketloom.sources import pages, store
@@ -105,9 +106,9 @@ on_table("drop_nested", "embeddings", groups.drop_nested)
 
 
 def _union_batches(df: DataFrame) -> DataFrame:
-    names = [r["category"] for r in df.select("category").distinct().limit(1000).collect()]
-    batches = [store.listings_by_category(df, n).select("id", "category", "price_min") for n in names]
-    return groups.union_batches(batches)
+    rows = df.select("id", "category", "price_min")
+    flag = F.coalesce(F.col("category") == "PROMO", F.lit(False))
+    return groups.union_batches([rows.where(flag), rows.where(~flag)])
 
 
 on_listings("union_batches", _union_batches)
@@ -167,7 +168,7 @@ on_listings(
 def _city_state(spark: SparkSession, sf: str) -> DataFrame:
     """Cities of one region are left out of the dictionary and get the default state."""
     nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    known = nations.where(F.col("r_name") != "ASIA").limit(1000).collect()
+    known = bounded_local(nations.where(F.col("r_name") != "ASIA").select("n_name", "r_name")).collect()
     df = ingest.city_state_lookup(listings(spark, sf), {r["n_name"]: r["r_name"] for r in known})
     return df.select("id", "city", "looked_up_state")
 

@@ -61,5 +61,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def in_parallel(tasks: Sequence[Callable[[], T]], threads: int = 4) -> list[T]:
     """Results of independent driver-side tasks whose Spark jobs may overlap, in order."""
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPool(min(threads, max(len(tasks), 1))) as pool:
-        return pool.map(lambda run: run(), [inheritable_thread_target(t) for t in tasks])
+        return pool.map(lambda run: run(), [inherit(t) for t in tasks])
