@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,12 +96,14 @@ def log_norm_sf(x: Column) -> Column:
     return F.when(x > 30, far).otherwise(F.ln(norm_sf(x)))
 
 
-def norm_ppf(p: Column) -> Column:
-    centre = p - 0.5
+def with_norm_ppf(df: DataFrame, p: Column, name: str) -> DataFrame:
+    """Add the normal quantile of ``p``. Its inner terms are columns of their own, so each is computed once per row."""
+    staged = df.withColumn("_p", p).withColumn("_r", F.sqrt(-F.ln(F.least(F.col("_p"), 1 - F.col("_p")))))
+    centre, r = F.col("_p") - 0.5, F.col("_r")
     near = centre * _ratio(0.180625 - centre * centre, PPF_CENTRE)
-    r = F.sqrt(-F.ln(F.least(p, 1 - p)))
     tail = F.when(r <= 5, _ratio(r - 1.6, PPF_TAIL)).otherwise(_ratio(r - 5, PPF_FAR_TAIL))
-    return F.when(F.abs(centre) <= 0.425, near).otherwise(F.when(centre < 0, -tail).otherwise(tail))
+    value = F.when(F.abs(centre) <= 0.425, near).otherwise(F.when(centre < 0, -tail).otherwise(tail))
+    return staged.withColumn(name, value).drop("_p", "_r")
 
 
 # --- tails of the test statistics, on result rows ---------------------------------------------------------------------

@@ -23,6 +23,7 @@ from marketloom.session import cut_lineage, in_parallel
 
 SEED = 42
 MAX_ITER = 300
+KMEANS_TOLERANCE = 1e-4
 GMM_ITER = 200
 GMM_TOLERANCE = 1e-3
 K_RANGE = tuple(range(2, 11))
@@ -133,11 +134,20 @@ def cluster_metrics(df: DataFrame, columns: Sequence[str], label: str) -> DataFr
 # --- k-means -----------------------------------------------------------------------------------------------------------
 
 
-def _fit_kmeans(data: DataFrame, k: int, n_init: int):
-    """Lowest-cost model over n_init seeds."""
-    models = in_parallel(
-        [lambda i=i: KMeans(k=k, seed=SEED + i, maxIter=MAX_ITER, featuresCol="features").fit(data) for i in range(n_init)]
-    )
+def _mean_variance(matrix: DataFrame, columns: Sequence[str]) -> float:
+    row = matrix.agg(*[F.var_pop(c).alias(f"{i}") for i, c in enumerate(columns)]).first()
+    return float(np.mean(row)) if row[0] is not None else 0.0
+
+
+def _fit_kmeans(data: DataFrame, k: int, n_init: int, variance: float):
+    """Lowest-cost model over n_init seeds.
+
+    Iteration stops when the squared moves of all centres sum to about 1e-4 of the mean feature variance; the library's
+    own tolerance is the distance one centre moves.
+    """
+    tol = max(math.sqrt(KMEANS_TOLERANCE * variance / k), 1e-12)
+    start = lambda i: KMeans(k=k, seed=SEED + i, maxIter=MAX_ITER, tol=tol, featuresCol="features").fit(data)
+    models = in_parallel([lambda i=i: start(i) for i in range(n_init)])
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
@@ -159,9 +169,9 @@ def kmeans_select_k(
     matrix: DataFrame, columns: Sequence[str], ks: Sequence[int] = K_RANGE, n_init: int = 1
 ) -> DataFrame:
     """Scores for each k, with flags for the k chosen by each criterion and by their vote."""
-    data = vectors(matrix, columns)
+    data, variance = vectors(matrix, columns), _mean_variance(matrix, columns)
     labelled = data
-    for k, model in zip(ks, in_parallel([lambda k=k: _fit_kmeans(data, k, n_init) for k in ks])):
+    for k, model in zip(ks, in_parallel([lambda k=k: _fit_kmeans(data, k, n_init, variance) for k in ks])):
         labelled = model.setPredictionCol(f"k{k}").transform(labelled)
     quality = label_quality(labelled, columns, [f"k{k}" for k in ks])
     scores = [_scores(quality[quality["labelling"] == f"k{k}"], columns) for k in ks]
@@ -183,7 +193,7 @@ def kmeans_select_k(
 def kmeans_labels(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = 1) -> DataFrame:
     """The matrix with its ``cluster``."""
     data = vectors(matrix, columns)
-    return _fit_kmeans(data, k, n_init).setPredictionCol("cluster").transform(data).drop("features")
+    return _fit_kmeans(data, k, n_init, _mean_variance(matrix, columns)).setPredictionCol("cluster").transform(data).drop("features")
 
 
 def kmeans_fit(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = 1) -> DataFrame:
@@ -279,7 +289,7 @@ def _centred(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def pca_scores(matrix: DataFrame, columns: Sequence[str], k: int = 2) -> tuple[DataFrame, list[float]]:
     """(matrix plus pca_1..pca_k, explained variance ratios); each component's largest loading is positive."""
-    data = vectors(_centred(matrix, columns), columns)
+    data = VectorAssembler(inputCols=list(columns), outputCol="features").transform(_centred(matrix, columns))
     model = PCA(k=k, inputCol="features", outputCol="_pca").fit(data)
     loadings = model.pc.toArray()
     sign = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(k)])

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import special as S
 from marketloom.operators.groups import sample_rows
-from marketloom.operators.lookup import bounded_local, lookup_join
-from marketloom.operators.ranks import average_rank, usable, value_ladder
+from marketloom.operators.lookup import bounded_local
+from marketloom.operators.ranks import average_rank, melt, usable, value_ladder
+from marketloom.session import cut_lineage
 
 KENDALL_SAMPLE = 1000
 KENDALL_CELLS = 4000
@@ -94,11 +95,13 @@ def correlation_heatmap(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _ranked_corr(rows: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    # One ladder for all columns, stored, so the planner knows its size in each join.
+    ladder = cut_lineage(value_ladder(melt(rows, columns), "value", ["column"]).withColumn("rank", average_rank()))
     ranked = rows
-    for column in dict.fromkeys(c for pair in pairs for c in pair):
-        ladder = value_ladder(rows, column)
-        ranks = ladder.select(F.col("value").alias(column), average_rank().alias(f"{column}_rank"))
-        ranked = lookup_join(ranked, ranks, [column])
+    for column in columns:
+        own = ladder.where(F.col("column") == column)
+        ranked = ranked.join(own.select(F.col("value").alias(column), F.col("rank").alias(f"{column}_rank")), column, "left")
     rho = lambda a, b: _pearson(F.col(f"{a}_rank"), F.col(f"{b}_rank"))
     cells = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), rho(a, b).alias("rho")) for a, b in pairs]
     return ranked.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))

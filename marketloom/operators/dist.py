@@ -15,6 +15,7 @@ from marketloom.functions.special import beta_share, gamma_tail
 from marketloom.operators.groups import union_batches
 from marketloom.operators.lookup import lookup_join, settled
 from marketloom.operators.ranks import melt, usable, value_ladder
+from marketloom.session import cut_lineage
 
 ALPHA = 0.05
 MIN_ROWS = 8
@@ -129,6 +130,7 @@ def positions(ladder: DataFrame) -> DataFrame:
     chunks = F.sequence(F.col("below"), F.col("below") + F.col("ties") - 1, F.lit(POSITIONS_PER_CHUNK).cast("long"))
     last = F.least(F.col("chunk") + POSITIONS_PER_CHUNK, F.col("below") + F.col("ties"))
     many = F.col("ties") > POSITIONS_PER_CHUNK
+    ladder = cut_lineage(ladder)
     # The partition count is not fixed, so AQE may size the spread chunks itself.
     hot = ladder.where(many).withColumn("chunk", F.explode(chunks)).repartition("chunk")
     cold = ladder.where(~many).withColumn("chunk", F.col("below"))
@@ -141,8 +143,7 @@ def qq_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ladder = value_ladder(melt(df, columns), "value", ["column"]).where(F.col("total") >= 10)
     p = F.lit(0.01) + F.lit(0.98) * (F.col("place") - 1) / (F.col("total") - 1)
     return (
-        positions(ladder)
-        .withColumn("q", S.norm_ppf(p))
+        S.with_norm_ppf(positions(ladder), p, "q")
         .groupBy("column")
         .agg(F.corr("q", "value").alias("qq_correlation"))
         .withColumn("is_approximately_normal", F.col("qq_correlation") > 0.95)
@@ -182,7 +183,7 @@ def normality_shapiro(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Only for columns of at most 5000 values, beyond which its p-value does not hold."""
     ladder = value_ladder(melt(df, columns), "value", ["column"])
     small = ladder.where(F.col("total").between(MIN_ROWS, SHAPIRO_MAX_ROWS))
-    scored = positions(small).withColumn("q", S.norm_ppf((F.col("place") - 0.375) / (F.col("total") + 0.25)))
+    scored = S.with_norm_ppf(positions(small), (F.col("place") - 0.375) / (F.col("total") + 0.25), "q")
     stat = (
         scored.select("column", "value", "place", "q")
         .groupBy("column")

@@ -232,8 +232,8 @@ def bartlett(df: DataFrame, value: str = "price_min", group: str = "category") -
 def fligner(df: DataFrame, value: str = "price_min", group: str = "category") -> DataFrame:
     """Normal scores of the ranked distances from the group medians."""
     ladder = labelled_ladder(_deviations(df, value, group), "value", "grp")
-    score = S.norm_ppf(0.5 + average_rank() / (2 * (F.col("total") + 1)))
-    scored = ladder.withColumn("score", score).withColumn("cnt", F.col("cnt").cast("double"))
+    share = 0.5 + average_rank() / (2 * (F.col("total") + 1))
+    scored = S.with_norm_ppf(ladder, share, "score").withColumn("cnt", F.col("cnt").cast("double"))
     groups = settled(
         scored.groupBy("grp").agg(
             F.sum("cnt").alias("n"),

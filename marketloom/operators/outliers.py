@@ -15,6 +15,7 @@ from marketloom.functions import special as S
 from marketloom.operators.groups import sample_rows, union_batches
 from marketloom.operators.lookup import bounded_local
 from marketloom.operators.ranks import approximate_quantile, exact_quantiles, quantile_table, usable, value_ladder
+from marketloom.session import cut_lineage
 
 PRICE = "price_min"
 
@@ -275,7 +276,7 @@ def outliers_iforest(
     key: str = "id",
 ) -> DataFrame:
     """Counts per contamination; the forest is grown and scored once for all of them."""
-    normality = isolation_scores(df, columns, key).select((-F.col("score")).alias("s"))
+    normality = cut_lineage(isolation_scores(df, columns, key).select((-F.col("score")).alias("s")))
     cuts = {r["p"]: r["quantile"] for r in exact_quantiles(normality, "s", contaminations).collect()}
     counts = [F.count_if(F.col("s") < cuts.get(c, math.nan)).alias(f"{c}") for c in contaminations]
     totals = normality.agg(F.count("s").alias("n"), *counts)
@@ -320,20 +321,18 @@ def lof_factors(df: DataFrame, column: str = PRICE, k: int = 20) -> DataFrame:
     carry a margin wide enough for the neighbours of neighbours of neighbours. More than k + 1 copies of one value
     change nothing, so only that many take up positions.
     """
-    ladder = value_ladder(df, column).select("value", "ties")
-    copies = ladder.withColumn("copies", F.least("ties", F.lit(k + 1).cast("long")))
-    placed = value_ladder(copies, "value", weight="copies").select("value", "below")
     margin = 4 * (k + 1)
     block = lambda place: F.floor(place / LOF_BLOCK)
     spread = (
-        copies.join(placed, "value")
-        .withColumn("home_block", block(F.col("below")))
+        value_ladder(df, column, cap=k + 1)
+        .withColumn("copies", F.least("ties", F.lit(k + 1).cast("long")))
+        .withColumn("home_block", block(F.col("start")))
         .withColumn(
             "block",
             F.explode(
                 F.sequence(
-                    block(F.greatest(F.col("below") - margin, F.lit(0))),
-                    block(F.col("below") + F.col("copies") + margin),
+                    block(F.greatest(F.col("start") - margin, F.lit(0))),
+                    block(F.col("start") + F.col("copies") + margin),
                 )
             ),
         )
@@ -352,7 +351,7 @@ def outliers_lof(df: DataFrame, column: str = PRICE, k: int = 20, contamination:
     schema = "n_neighbors int, contamination double, outlier_count long, outlier_percentage double"
     if total <= k:
         return df.sparkSession.createDataFrame([], schema)
-    factors = lof_factors(df, column, k).select((-F.col("lof")).alias("s"), "ties")
+    factors = cut_lineage(lof_factors(df, column, k).select((-F.col("lof")).alias("s"), "ties"))
     cut = exact_quantiles(factors, "s", [contamination], weight="ties").first()["quantile"]
     return factors.agg(
         F.sum("ties").alias("n"), F.coalesce(F.sum(F.when(F.col("s") < cut, F.col("ties"))), F.lit(0)).alias("outlier_count")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from marketloom.operators.groups import dedup_count, drop_nested
 from marketloom.operators.lookup import lookup_join, settled
-from marketloom.operators.ranks import melt, quantile_table, row_positions, value_ladder
+from marketloom.operators.ranks import melt, ordered_weighted_means, quantile_table, value_ladder
 
 
 def dataset_profile(df: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def central_tendency(df: DataFrame, columns: Sequence[str], key: str = "id") ->
         F.when(positive, F.sum("ties") / F.sum(F.try_divide(F.col("ties"), F.col("value")))).alias("harmonic_mean"),
         *_ladder_quantiles({"median": 0.5}),
     )
-    weighted = _weighted_mean(df, columns, key)
+    weighted = ordered_weighted_means(df, columns, key)
     return ordered.join(F.broadcast(weighted), "column")  # one row per named column
 
 
@@ -77,25 +77,6 @@ def _ladder_quantiles(named: dict[str, float]) -> list[Column]:
     return picks
 
 
-def _weighted_mean(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
-    """Weights are the positions of a column's non-missing rows."""
-    parts = []
-    for column in columns:
-        placed = row_positions(melt(df, [column], [key]), key)
-        parts.append(
-            placed.agg(
-                F.lit(column).alias("column"),
-                (F.sum(F.col("value") * F.col("position")) / F.sum(F.col("position").cast("double"))).alias(
-                    "weighted_mean"
-                ),
-            )
-        )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
 def dispersion(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Variance, spread and robust spread per column; ratios to a zero mean are null."""
     long = melt(df, columns)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from marketloom.operators.lookup import bounded_local
@@ -61,9 +61,9 @@ def range_bounds(df: DataFrame, value: str, rows_per_bucket: int = ROWS_PER_BUCK
     if not len(values):
         return []
     total = round(reached[-1])
-    # At least one bucket per reducer once there is work for it, and no bucket beyond its row budget.
+    # A few buckets per reducer once there is work for them, and no bucket beyond its row budget.
     reducers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(MAX_BUCKETS, max(min(reducers, total // 5_000), -(-total // rows_per_bucket)))
+    buckets = min(MAX_BUCKETS, max(min(4 * reducers, total // 5_000), -(-total // rows_per_bucket)))
     cuts = np.searchsorted(reached, total * np.arange(1, buckets) / max(buckets, 1))
     return np.unique(values[np.minimum(cuts, len(values) - 1)]).tolist()
 
@@ -92,35 +92,44 @@ def _prepared(df: DataFrame, value: str, by: Sequence[str], weight: str | None =
     return rows
 
 
+def _earlier_buckets(by: Sequence[str]) -> WindowSpec:
+    # At most MAX_BUCKETS rows per group reach this window.
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    return group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+
+
 def _bucket_offsets(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """(by..., bucket, size) -> plus rows ``before`` the bucket and ``total`` rows of the group."""
-    # At most MAX_BUCKETS rows per group reach these windows.
-    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    earlier = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0))).withColumn(
-        "total", F.sum("size").over(group)
-    )
+    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    before = F.coalesce(F.sum("size").over(_earlier_buckets(by)), F.lit(0))
+    return counts.withColumn("before", before).withColumn("total", F.sum("size").over(whole))
 
 
-def value_ladder(
-    df: DataFrame, value: str, by: Sequence[str] = (), keep_bucket: bool = False, weight: str | None = None
-) -> DataFrame:
+def value_ladder(df: DataFrame, value: str, by: Sequence[str] = (), cap: int | None = None) -> DataFrame:
     """Distinct values of each group with ``ties`` (their count), ``below`` (rows with a smaller value), ``total``.
 
-    The average-tie rank of a value is ``below + (ties + 1) / 2``.
+    The average-tie rank of a value is ``below + (ties + 1) / 2``. With ``cap`` there is also ``start``, the number of
+    rows below when no value counts more than ``cap`` times.
     """
-    rows = _prepared(df, value, by, weight)
+    rows = _prepared(df, value, by)
     bucketed = with_bucket(rows, "value", range_bounds(rows, "value"))
     distinct = bucketed.groupBy(*by, "bucket", "value").agg(F.sum("copies").alias("ties"))
-    sizes = distinct.groupBy(*by, "bucket").agg(F.sum("ties").alias("size"))
     inside = Window.partitionBy(*by, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ladder = (
-        distinct.withColumn("within", F.coalesce(F.sum("ties").over(inside), F.lit(0)))
-        .join(_bucket_offsets(sizes, by), [*by, "bucket"])
-        .withColumn("below", F.col("before") + F.col("within"))
-    )
-    kept = ["bucket"] if keep_bucket else []
-    return ladder.select(*by, *kept, "value", "ties", "below", "total")
+    sums, kept = {"size": F.sum("ties")}, []
+    placed = distinct.withColumn("within", F.coalesce(F.sum("ties").over(inside), F.lit(0)))
+    if cap is not None:
+        capped = F.least("ties", F.lit(cap).cast("long"))
+        sums["capped"], kept = F.sum(capped), ["start"]
+        placed = placed.withColumn("start", F.coalesce(F.sum(capped).over(inside), F.lit(0)))
+    sizes = distinct.groupBy(*by, "bucket").agg(*[c.alias(name) for name, c in sums.items()])
+    offsets = _bucket_offsets(sizes, by)
+    if cap is not None:
+        earlier = _earlier_buckets(by)
+        offsets = offsets.withColumn("capped_before", F.coalesce(F.sum("capped").over(earlier), F.lit(0)))
+    ladder = placed.join(offsets, [*by, "bucket"]).withColumn("below", F.col("before") + F.col("within"))
+    if cap is not None:
+        ladder = ladder.withColumn("start", F.col("capped_before") + F.col("start"))
+    return ladder.select(*by, "value", "ties", "below", "total", *kept)
 
 
 def labelled_ladder(df: DataFrame, value: str, label: str) -> DataFrame:
@@ -219,3 +228,35 @@ def row_positions(df: DataFrame, key: str) -> DataFrame:
         .withColumn("position", F.col("before") + F.col("_local"))
         .drop("_key", "_local", "bucket", "before")
     )
+
+
+def ordered_weighted_means(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """(column, weighted_mean): values weighted 1..n in key order, n counting the column's non-missing rows.
+
+    One ordering of the rows serves all columns. Inside a bucket the weights count from its start; what lies before it
+    is added on the bucket sums.
+    """
+    missing = F.lit(None).cast("double")
+    rows = df.select(
+        F.col(key).cast("double").alias("_key"), key, *[F.nanvl(F.col(c).cast("double"), missing).alias(c) for c in columns]
+    )
+    bucketed = with_bucket(rows, "_key", range_bounds(rows, "_key"))
+    upto = Window.partitionBy("bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = bucketed.select("bucket", *columns, *[F.count(c).over(upto).alias(f"_p_{c}") for c in columns])
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count(c).alias("size"),
+            F.sum(c).alias("plain"),
+            F.sum(F.col(c) * F.col(f"_p_{c}")).alias("local"),
+        )
+        for c in columns
+    ]
+    sums = placed.groupBy("bucket").agg(F.array(*cells).alias("cells")).select("bucket", F.inline("cells"))
+    return (
+        _bucket_offsets(sums, ["column"])
+        .groupBy("column")
+        .agg(F.sum(F.col("before") * F.col("plain") + F.col("local")).alias("weighted"), F.max("total").alias("n"))
+        .where("n > 0")
+        .select("column", (F.col("weighted") / (F.col("n") * (F.col("n") + 1.0) / 2)).alias("weighted_mean"))
+    )
