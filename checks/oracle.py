@@ -97,14 +97,21 @@ listings(
     f"""SELECT product_name, list_min({PARSED}) AS price_min, list_max({PARSED}) AS price_max, price_raw, supplier_name,
     city, source_url, strftime(scraped_at, '%Y-%m-%d %H:%M:%S') AS scraped_at FROM listings""",
 )
+
+
+def unescaped(column: str) -> str:
+    """The character references that occur in the given pages; the ampersand last."""
+    for reference, char in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#x27;", "''"), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·")):
+        column = f"replace({column}, '{reference}', '{char}')"
+    return f"trim(replace({column}, '&amp;', '&'))"
+
+
 plain(
     "extract_page_fields",
-    r"""SELECT page_id,
-    trim(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&amp;', '&')) AS title,
-    trim(replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '&amp;', '&')) AS h1,
+    rf"""SELECT page_id, {unescaped("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title,
+    {unescaped("regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)")} AS h1,
     cast(len(regexp_extract_all(regexp_extract(html, '(?s)<nav.*?</nav>'), '<a [^>]*href=')) AS bigint) AS n_links,
-    trim(replace(replace(regexp_extract(html, '(?s)<footer[^>]*>(.*?)</footer>', 1), '&copy;', '©'), '&middot;', '·'))
-      AS footer_text FROM pages""",
+    {unescaped("regexp_extract(html, '(?s)<footer[^>]*>(.*?)</footer>', 1)")} AS footer_text FROM pages""",
 )
 plain("drop_nested", "SELECT vec_id, label FROM embeddings")
 listings("union_batches", "SELECT id, category, price_min FROM listings")
@@ -896,7 +903,7 @@ listings(
 
 def panel(dashboard: str, name: str, item: str, value: str, source: str) -> str:
     return f"""SELECT '{dashboard}' AS dashboard, '{name}' AS panel, cast({item} AS varchar) AS item,
-    round(cast({value} AS double), 4) AS value FROM ({source})"""
+    round(cast({value} AS double), 6) AS value FROM ({source})"""
 
 
 def top_counts(column: str, k: int) -> str:

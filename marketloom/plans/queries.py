@@ -467,7 +467,7 @@ on_listings("count_bars", groups.count_bars, share=8)
 on_listings("market_hierarchy", groups.market_hierarchy, avg_price=4)
 on_listings("category_funnel", groups.category_funnel, pct_of_first=6)
 on_listings("correlation_heatmap", lambda df: corr.correlation_heatmap(df, NUMERIC_COLUMNS))
-on_listings("dashboard_panels", lambda df: charts.dashboard_panels(df, ("executive", "category")), value=4)
+on_listings("dashboard_panels", lambda df: charts.dashboard_panels(df, ("executive", "category")), value=6)
 on_listings("dashboard_summary", lambda df: charts.dashboard_panels(df, ("summary", "deep_dive")))
 on_listings("volume_vs_price", groups.volume_vs_price, avg_price=4)
 on_listings("insights", insights.insights)
