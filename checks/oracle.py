@@ -100,10 +100,10 @@ listings(
 
 
 def unescaped(column: str) -> str:
-    """The character references that occur in the given pages; the ampersand last."""
-    for reference, char in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#x27;", "''"), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·")):
-        column = f"replace({column}, '{reference}', '{char}')"
-    return f"trim(replace({column}, '&amp;', '&'))"
+    """The character references that occur in the given pages, also cut off before the semicolon; the ampersand last."""
+    for name, char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        column = f"regexp_replace({column}, '&{name};?', '{char}', 'g')"
+    return f"trim({column})"
 
 
 plain(
