@@ -764,6 +764,41 @@ listings(
     LABELLED + SEGMENTS,
 )
 
+# On a line, clusters are runs of core points without a gap beyond eps.
+plain(
+    "dbscan_balances",
+    """WITH p AS (SELECT c_custkey AS id, c_acctbal AS x, count(*) OVER (ORDER BY c_acctbal
+      RANGE BETWEEN 5.005 PRECEDING AND 5.005 FOLLOWING) AS n FROM customer),
+    core AS (SELECT id, x, CASE WHEN x - lag(x) OVER (ORDER BY x, id) <= 5.005 THEN 0 ELSE 1 END AS starts FROM p WHERE n >= 5),
+    runs AS (SELECT id, x, sum(starts) OVER (ORDER BY x, id ROWS UNBOUNDED PRECEDING) AS g FROM core),
+    num AS (SELECT g, row_number() OVER (ORDER BY min(id)) - 1 AS label FROM runs GROUP BY g),
+    lab AS (SELECT id, x, label FROM runs JOIN num USING (g)),
+    near AS (SELECT p.id, min(label) AS label FROM p JOIN lab ON lab.x BETWEEN p.x - 5.005 AND p.x + 5.005 GROUP BY p.id)
+    SELECT p.id, cast(coalesce(lab.label, near.label, -1) AS bigint) AS dbscan_cluster,
+    coalesce(lab.label, near.label) IS NULL AS is_anomaly
+    FROM p LEFT JOIN lab ON lab.id = p.id LEFT JOIN near ON near.id = p.id""",
+)
+plain(
+    "kdistance_balances",
+    """WITH d AS (SELECT a.s_suppkey AS i, abs(a.s_acctbal - b.s_acctbal) AS d,
+      row_number() OVER (PARTITION BY a.s_suppkey ORDER BY abs(a.s_acctbal - b.s_acctbal)) AS k FROM supplier a, supplier b),
+    s AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS place, lead(d) OVER (ORDER BY d) - d AS jump FROM d WHERE k = 5)
+    SELECT cast(5 AS int) AS k_neighbors, round(d, 6) AS optimal_eps, cast(place AS int) AS knee_index FROM s
+    ORDER BY jump DESC NULLS LAST, place LIMIT 1""",
+)
+plain(
+    "lof_balances",
+    """WITH d AS (SELECT a.s_suppkey AS i, b.s_suppkey AS j, abs(a.s_acctbal - b.s_acctbal) AS d,
+      row_number() OVER (PARTITION BY a.s_suppkey ORDER BY abs(a.s_acctbal - b.s_acctbal), b.s_suppkey) AS k
+      FROM supplier a JOIN supplier b ON a.s_suppkey <> b.s_suppkey),
+    nn AS (SELECT i, j, d FROM d WHERE k <= 20), kd AS (SELECT i, max(d) AS reach FROM nn GROUP BY i),
+    dens AS (SELECT nn.i, 1 / (avg(greatest(reach, d)) + 1e-10) AS dens FROM nn JOIN kd ON kd.i = nn.j GROUP BY nn.i),
+    lof AS (SELECT nn.i, avg(o.dens) / any_value(own.dens) AS lof FROM nn JOIN dens o ON o.i = nn.j JOIN dens own ON own.i = nn.i
+      GROUP BY nn.i)
+    SELECT s_acctbal AS value, count(*) AS ties, round(any_value(lof), 6) AS lof FROM lof JOIN supplier ON s_suppkey = i
+    GROUP BY s_acctbal""",
+)
+
 # --- text ------------------------------------------------------------------------------------------------------------------------------
 
 

@@ -300,6 +300,10 @@ def _block_factors(k: int, pdf: pd.DataFrame) -> pd.DataFrame:
     x = np.repeat(pdf["value"].to_numpy(dtype=float), copies)
     first = np.cumsum(copies) - copies
     n = len(x)
+    # Only a table of at most k rows has fewer neighbours to offer.
+    k = max(min(k, n - 1), 0)
+    if k == 0:
+        return pd.DataFrame({"value": pdf["value"], "ties": pdf["ties"], "lof": 1.0})
     # The k nearest neighbours of a sorted value are among the k places on either side of it.
     place = np.arange(n)[:, None]
     around = place + np.concatenate([np.arange(-k, 0), np.arange(1, k + 1)])[None, :]

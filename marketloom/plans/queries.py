@@ -355,6 +355,7 @@ on_listings("outliers_mad", outliers.outliers_mad, median=6, mad=6, outlier_perc
 on_listings("outliers_iforest", outliers.outliers_iforest)
 on_listings("outliers_iforest_2d", lambda df: outliers.outliers_iforest(df, ("price_min", "price_max")))
 on_listings("outliers_lof", outliers.outliers_lof)
+on_table("lof_balances", "supplier", lambda df: outliers.lof_factors(df, "s_acctbal"), lof=6)
 on_listings("outliers_elliptic", outliers.outliers_elliptic)
 on_listings("outlier_comparison", outliers.outlier_comparison, average_outliers=4)
 on_listings("anomaly_flags", outliers.anomaly_flags)
@@ -413,6 +414,18 @@ on_listings(
 )
 on_listings("kdistance_eps", lambda df: density.kdistance_eps(matrix(df), FEATURE_COLUMNS))
 on_listings("dbscan", lambda df: density.dbscan(matrix(df), FEATURE_COLUMNS))
+on_table(
+    "dbscan_balances",
+    "customer",
+    # Balances are in cents; half a cent keeps distances off the limit.
+    lambda df: density.dbscan_labels(df.withColumnRenamed("c_custkey", "id"), ["c_acctbal"], 5.005),
+)
+on_table(
+    "kdistance_balances",
+    "supplier",
+    lambda df: density.kdistance_eps(df.withColumnRenamed("s_suppkey", "id"), ["s_acctbal"]),
+    optimal_eps=6,
+)
 on_listings("hierarchical_cluster", lambda df: cluster.hierarchical_cluster(matrix(df), FEATURE_COLUMNS))
 on_listings("gmm_select", lambda df: cluster.gmm_select(matrix(df), FEATURE_COLUMNS))
 on_listings("gmm_fit", lambda df: cluster.gmm_fit(matrix(df), FEATURE_COLUMNS))
