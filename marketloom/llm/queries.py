@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import toxicity
+from marketloom.llm import decontaminate, near_dedup, toxicity
 from marketloom.sources.driver_tables import table
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.components(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")).select(
@@ -17,6 +29,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_near_dedup": op3_near_dedup,
+    "op8_decontaminate": op8_decontaminate,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
