@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import decontaminate, near_dedup, toxicity
+from marketloom.llm import decontaminate, mixing, near_dedup, oracles, toxicity
 from marketloom.sources.driver_tables import table
 
 
@@ -14,6 +14,13 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).select(
@@ -30,7 +37,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_near_dedup": op3_near_dedup,
+    "op7_mixing": op7_mixing,
     "op8_decontaminate": op8_decontaminate,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op3_near_dedup": oracles.NEAR_DEDUP,
+    "op8_decontaminate": oracles.DECONTAMINATE,
+}
