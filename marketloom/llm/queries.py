@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import decontaminate, mixing, near_dedup, oracles, toxicity
+from marketloom.llm import decontaminate, mixing, near_dedup, oracles, pii, toxicity
 from marketloom.sources.driver_tables import table
 
 
@@ -14,6 +14,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select(
@@ -37,6 +41,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_near_dedup": op3_near_dedup,
+    "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
     "op8_decontaminate": op8_decontaminate,
     "op10_toxicity": op10_toxicity,
