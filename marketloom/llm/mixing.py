@@ -8,8 +8,9 @@ to single hashes. What a threshold leaves over, because the next document is too
 ``FILLS`` further passes to documents beyond the threshold that are short enough. Nothing is sorted, and a hot source is only ever summed.
 
 Nulls: a null text has size 0; a null source is a source of its own, last in order.  Documents with
-equal hash (rows equal in doc_id and text) are taken together. With no words at all, targets are 0. Reruns agree, as
-the hash depends on the row's content alone.
+equal hash (rows equal in doc_id and text) are taken together. With no words at all, targets are 0. Other columns
+are carried along; those named like a column made here are replaced. Reruns agree, as the hash
+depends on the row's content alone.
 """
 
 from __future__ import annotations
@@ -33,14 +34,19 @@ def word_count(text: str = "text") -> F.Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """``docs`` without texts, with ``size``, ``source_key`` (never null) and ``hash`` (60 bits)."""
+def row_hash() -> F.Column:
+    """60 bits that depend on a row's doc_id and text alone."""
     digest = F.md5(F.concat_ws("\x1f", F.col("doc_id").cast("string"), F.col("text")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """``docs`` without texts, with ``size``, ``source_key`` (never null) and ``hash``."""
     return docs.select(
-        *[c for c in docs.columns if c != "text"],
+        *[c for c in docs.columns if c not in ("text", "size", "source_key", "hash", "source_size", "target", "copies")],
         word_count().alias("size"),
         F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("source_key"),
-        F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("hash"),
+        row_hash().alias("hash"),
     )
 
 

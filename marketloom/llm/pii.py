@@ -274,31 +274,34 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_nodes: int = SAM
     return Field(u, c, s)
 
 
+def document_spans(texts: list[str | None], field: Field) -> tuple[list[list[tuple[int, int, int]]], list[list[tuple[int, int, int]]]]:
+    """(detected, added) spans of each text, by kind and start."""
+    base = [sorted(base_spans(t)) if t else [] for t in texts]
+    added: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    g = graph(texts, base)
+    if len(g.nodes):
+        p = marginals(field, g)
+        best = p.argmax(1)
+        for i in np.flatnonzero((g.nodes[:, 3] < 0) & (best > 0) & (p.max(1) >= CERTAIN)):
+            d, a, b, _ = g.nodes[i]
+            added[d].append((int(best[i]) - 1, int(a), int(b)))
+    return base, [sorted(x) for x in added]
+
+
 def detect(docs: DataFrame, field: Field | None = None) -> DataFrame:
-    """``docs`` plus ``base`` and ``added``: lists of (kind number, start, end), by kind and start."""
+    """doc_id, and ``base`` and ``added``: lists of (kind number, start, end), by kind and start."""
     field = fit(docs) if field is None else field
-    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
+        as_rows = lambda spans: pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in x] for x in spans], kind)
         for rows in slices(batches, "text"):
-            texts = rows.column("text").to_pylist()
-            base = [sorted(base_spans(t)) if t else [] for t in texts]
-            added: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-            g = graph(texts, base)
-            if len(g.nodes):
-                p = marginals(field, g)
-                best = p.argmax(1)
-                for i in np.flatnonzero((g.nodes[:, 3] < 0) & (best > 0) & (p.max(1) >= CERTAIN)):
-                    d, a, b, _ = g.nodes[i]
-                    added[d].append((int(best[i]) - 1, int(a), int(b)))
-            as_rows = lambda spans: pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in x] for x in spans], kind)
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns, as_rows(base), as_rows([sorted(x) for x in added])], names=[*names, "base", "added"]
-            )
+            base, added = document_spans(rows.column("text").to_pylist(), field)
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), as_rows(base), as_rows(added)], names=["doc_id", "base", "added"])
 
     span = "array<struct<kind:int,start:int,end:int>>"
-    return docs.mapInArrow(run, widened(docs.schema.fields, f"base {span}, added {span}"))
+    docs = docs.select("doc_id", "text")
+    return docs.mapInArrow(run, widened([docs.schema["doc_id"]], f"base {span}, added {span}"))
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -316,15 +319,17 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def masked(docs: DataFrame, field: Field | None = None) -> DataFrame:
-    """``docs`` with every span, detected or added, replaced by its kind in brackets; overlapping spans are one, of the first kind."""
-    found = detect(docs, field)
+    """``docs`` with every span, detected or added, replaced by its kind in brackets; of overlapping spans the first names the
+    kind and all their text goes."""
+    field = fit(docs) if field is None else field
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, "text"):
+            texts = rows.column("text").to_pylist()
             out = []
-            for text, base, added in zip(*(rows.column(c).to_pylist() for c in ("text", "base", "added"))):
-                spans = sorted((s["start"], s["end"], s["kind"]) for s in base + added)
+            for text, base, added in zip(texts, *document_spans(texts, field)):
+                spans = sorted((a, b, kind) for kind, a, b in base + added)
                 if not spans:
                     out.append(text)
                     continue
@@ -337,4 +342,4 @@ def masked(docs: DataFrame, field: Field | None = None) -> DataFrame:
             column = pa.array(out, rows.column("text").type)
             yield pa.RecordBatch.from_arrays([column if n == "text" else rows.column(n) for n in names], names=names)
 
-    return found.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import decontaminate, mixing, near_dedup, oracles, pii, toxicity
+from marketloom.llm import decontaminate, mixing, near_dedup, oracles, pii, substring_dedup, toxicity
 from marketloom.sources.driver_tables import table
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_dedup.components(docs).select("doc_id", "n_shingles", "component_id", "kept")
@@ -40,6 +44,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
@@ -47,6 +52,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 ORACLE = {
+    "op2_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op3_near_dedup": oracles.NEAR_DEDUP,
     "op8_decontaminate": oracles.DECONTAMINATE,
 }

@@ -9,6 +9,7 @@ nearest are exact. Votes weigh with nearness; a logistic curve fitted on leave-o
 Nulls: a null text is an empty text; rows without label or key are no examples; without examples every score is 0.5 times
 the toxic share (0 if there is none). A document that holds none of the terms is judged by the examples that hold none either.
 Rows with one doc_id are scored each by its own text. Ties between equally near examples go to the lower example number.
+Other columns are carried along; those named like a column made here are replaced.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.words import ALPHANUMERIC, Words, mix, signed, slices, widened
@@ -83,7 +84,7 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def document_vectors(docs: DataFrame, terms: np.ndarray) -> DataFrame:
     """``docs`` without its texts, with the counts of ``terms`` (sorted codes) in each whole text: slots and counts."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
-    kept = docs.drop("text")
+    kept = docs.drop("text", "slots", "counts")
     names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,10 +254,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_term
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
     known = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("row_id")).distinct()
-    by_hash = Window.partitionBy("toxic").orderBy(F.xxhash64("row_id"), "row_id")
-    sample = cut_lineage(
-        rated.join(known, "row_id", "left_semi").withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= per_class).drop("place")
-    )
+    of_class = lambda t: rated.join(known, "row_id", "left_semi").where(F.col("toxic") == t)
+    first = lambda t: of_class(t).orderBy(F.xxhash64("row_id"), "row_id").limit(per_class)
+    sample = cut_lineage(first(0).unionByName(first(1)))
     texts = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("row_id"), "text")
     vectors = cut_lineage(
         texts.join(F.broadcast(sample), "row_id")  # at most 2 * per_class rows of two integers
@@ -317,7 +317,7 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k:
     share = {t: totals.get(t, 0) / max((toxic == t).sum(), 1) for t in (0, 1)}
     weight = np.where(toxic == 1, share[1], share[0])
     shared = spark.sparkContext.broadcast(pack(idf, at[order], slot[order], count[order], toxic, weight, np.array(ids, np.int64)))
-    kept = [c for c in rows.columns if c not in ("slots", "counts")]
+    kept = [c for c in rows.columns if c not in ("slots", "counts", "score", "predicted", "evidence", "held_out")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Examples = shared.value
