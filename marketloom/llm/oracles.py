@@ -75,3 +75,85 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+def licenses() -> str:
+    """Every window of the scan's grid, compared with every template of its length."""
+    from marketloom.llm import licenses as L
+
+    rows = []
+    for name, text in L.TEMPLATES.items():
+        w = L.template_words(text)
+        window, stride = L.geometry(len(w))
+        shingles = ", ".join(f"'{s}'" for s in L._shingles(w))
+        rows.append(f"('{name}', {window}, {stride}, [{shingles}])")
+    return f"""
+    WITH t(license, win, stride, wanted) AS (VALUES {", ".join(rows)}),
+    d AS (SELECT doc_id, {words(r"[a-z0-9\x{80}-\x{10FFFF}]+")} AS w FROM documents),
+    grid AS (
+        SELECT doc_id, license, i, wanted, w[i + 1:i + win] AS x
+        FROM d, t, generate_series(0, greatest(len(w) - win + stride - 1, 0), stride) AS g(i) WHERE len(w) >= 2
+    ),
+    found AS (
+        SELECT doc_id, license, i, len(list_filter(wanted, lambda s: list_contains(
+            list_transform(range(1, len(x)), lambda j: x[j] || ' ' || x[j + 1]), s))) / len(wanted) AS containment
+        FROM grid
+    )
+    SELECT doc_id, license, count(*) AS n_windows, max(containment) AS containment, min(i) AS first_word
+    FROM found WHERE containment >= 0.8 GROUP BY ALL
+    """
+
+
+LICENSES = licenses()
+
+
+def mixing(fills: int = 3) -> str:
+    """Water filling by sorted limits; budgets filled in the order of the hash, again and again with what is left."""
+    passes = []
+    for i in range(fills + 1):
+        rows = "sizes JOIN aims USING (k)" if not i else f"left_{i - 1}"
+        need = "need" if not i else "rest"
+        passes.append(f"""
+        run_{i} AS (
+            SELECT row_id, k, hash, size, {need} AS need, sum(size) OVER (PARTITION BY k ORDER BY hash) AS upto
+            FROM {rows} WHERE size > 0 AND size <= {need}
+        ),
+        got_{i} AS (SELECT row_id FROM run_{i} WHERE upto <= need),
+        left_{i} AS (
+            SELECT row_id, k, hash, size, need - coalesce(max(CASE WHEN upto <= need THEN upto END) OVER (PARTITION BY k), 0) AS rest
+            FROM run_{i} QUALIFY row_id NOT IN (SELECT row_id FROM got_{i})
+        )""")
+    return f"""
+    WITH sizes AS (
+        SELECT row_number() OVER () AS row_id, doc_id, len({words(SPACED, False)}) AS size,
+               CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS k,
+               CAST('0x' || substr(md5(concat_ws(chr(31), doc_id, text)), 1, 15) AS BIGINT) AS hash
+        FROM documents
+    ),
+    totals AS (SELECT k, sum(size) AS source_size FROM sizes GROUP BY k),
+    weighed AS (
+        SELECT k, source_size, 3.0::DOUBLE * source_size AS lim,
+               [5.0::DOUBLE, 2.0, 1.0][CAST((row_number() OVER (ORDER BY k = 'n', k) - 1) % 3 + 1 AS INT)] AS weight
+        FROM totals
+    ),
+    rates AS (
+        SELECT lim / weight AS ratio, weight, lim, k,
+               ((SELECT sum(source_size) FROM totals) - coalesce(sum(lim) OVER (ORDER BY lim / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+               / sum(weight) OVER (ORDER BY lim / weight, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+        FROM weighed
+    ),
+    rate AS (SELECT rate FROM rates WHERE rate * weight <= lim ORDER BY ratio, k LIMIT 1),
+    aimed AS (SELECT k, source_size, least(lim, weight * (SELECT rate FROM rate)) AS target FROM weighed),
+    aims AS (
+        SELECT *, greatest(target - epochs * source_size, 0) AS need
+        FROM (SELECT *, CASE WHEN source_size > 0 THEN least(CAST(floor(target / source_size) AS BIGINT), 3) ELSE 0 END AS epochs FROM aimed)
+    ),
+    {",".join(passes)},
+    more AS ({" UNION ALL ".join(f"SELECT row_id FROM got_{i}" for i in range(fills + 1))})
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+           CAST(least(epochs + (CASE WHEN more.row_id IS NULL THEN 0 ELSE 1 END), 3) * size AS BIGINT) AS taken
+    FROM sizes JOIN aims USING (k) LEFT JOIN more ON more.row_id = sizes.row_id
+    """
+
+
+MIXING = mixing()

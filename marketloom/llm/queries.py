@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import ann, chat, decontaminate, mixing, near_dedup, oracles, pii, substring_dedup, toxicity, warc
+from marketloom.llm import ann, chat, decontaminate, licenses, mixing, near_dedup, oracles, pii, substring_dedup, toxicity, warc
 from marketloom.session import shared_folder
 from marketloom.sources.driver_tables import table
 
@@ -57,6 +57,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.licensed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "license", "n_windows", "containment", "first_word")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")).select(
@@ -73,10 +78,13 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
     "op8_decontaminate": op8_decontaminate,
+    "op9_licenses": op9_licenses,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE = {
     "op2_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op3_near_dedup": oracles.NEAR_DEDUP,
+    "op7_mixing": oracles.MIXING,
     "op8_decontaminate": oracles.DECONTAMINATE,
+    "op9_licenses": oracles.LICENSES,
 }
