@@ -235,7 +235,7 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             heard = np.zeros((2, len(label), labels))  # from the left and from the right node of each edge
             np.add.at(heard[0], (edges[:, 1], label[edges[:, 0]]), 1)
             np.add.at(heard[1], (edges[:, 0], label[edges[:, 1]]), 1)
-            near.append(heard.transpose(1, 0, 2).reshape(len(label), -1))
+            near.append(heard.transpose(1, 0, 2).reshape(len(label), 2 * labels))
         yield pa.RecordBatch.from_arrays(
             [pa.array(label, pa.int32())] + [pa.array(list(x), pa.list_(pa.float64())) for x in (g.features, *near)],
             names=["label", "shape", "chain", "skip"],
@@ -252,11 +252,11 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_nodes: int = SAM
         return Field(np.zeros((labels, FEATURES)), np.zeros((labels, labels)), np.zeros((labels, labels)))
     table = docs.where(F.col("text").isNotNull() & (key <= bound)).select("text").mapInArrow(_training, TRAINING).limit(sample_nodes).toArrow()
     label = table.column("label").to_numpy()
+    if not label.any():
+        return Field(np.zeros((labels, FEATURES)), np.zeros((labels, labels)), np.zeros((labels, labels)))
     stack = lambda c: np.array(table.column(c).to_pylist(), np.float64).reshape(len(label), -1)
     x, chain, skip = stack("shape"), stack("chain"), stack("skip")
     u, c, s = np.zeros((labels, x.shape[1])), np.zeros((labels, labels)), AGREE * np.eye(labels)
-    if not len(label) or not label.any():
-        return Field(u, c, s)
     truth = np.eye(labels)[label]
     left, right = chain[:, :labels], chain[:, labels:]
     alike = skip[:, :labels] + skip[:, labels:]
