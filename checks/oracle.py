@@ -511,6 +511,43 @@ listings(
 )
 
 
+listings(
+    "kendall_sampled",
+    "SELECT column_a, column_b, CASE WHEN room > 0 THEN round(s / sqrt(room), 6) END AS tau FROM ("
+    + " UNION ALL ".join(
+        f"""SELECT '{a}' AS column_a, '{b}' AS column_b, sum(sign(p.{a} - q.{a}) * sign(p.{b} - q.{b})) AS s,
+        sum(cast(p.{a} <> q.{a} AS int))::double * sum(cast(p.{b} <> q.{b} AS int)) AS room
+        FROM drawn p, drawn q WHERE p.{a} IS NOT NULL AND p.{b} IS NOT NULL AND q.{a} IS NOT NULL AND q.{b} IS NOT NULL"""
+        for a in NUMERIC
+        for b in NUMERIC
+    )
+    + ")",
+    ", drawn AS (SELECT * FROM listings ORDER BY md5(cast(id AS varchar)), id LIMIT 1000)",
+)
+plain(
+    "kendall_customers",
+    " UNION ALL ".join(
+        f"""SELECT '{a}' AS column_a, '{b}' AS column_b, round(sum(sign(p.{a} - q.{a}) * sign(p.{b} - q.{b}))
+        / sqrt(sum(cast(p.{a} <> q.{a} AS int))::double * sum(cast(p.{b} <> q.{b} AS int))), 9) AS tau FROM customer p, customer q"""
+        for a, b in (("c_acctbal", "c_nationkey"), ("c_acctbal", "c_custkey"), ("c_nationkey", "c_custkey"))
+    ),
+)
+listings("sample_rows", "SELECT id, price_min, price_max FROM listings ORDER BY md5(cast(id AS varchar)), id LIMIT 1000")
+listings(
+    "price_scatter",
+    """, drawn AS (SELECT id, price_min, price_max FROM listings WHERE price_min IS NOT NULL AND price_max IS NOT NULL
+      ORDER BY md5(cast(id AS varchar)), id LIMIT 600)
+    SELECT id, price_min, price_max, (SELECT max(greatest(price_min, price_max)) FROM drawn) AS reference_max FROM drawn""",
+)
+listings(
+    "csv_round_trip",
+    """SELECT category, count(*) * CASE WHEN category = 'PROMO' THEN 2 ELSE 1 END AS rows,
+    count(description) * CASE WHEN category = 'PROMO' THEN 2 ELSE 1 END AS described, min(product_name) AS first_name,
+    round(sum(price_min) * CASE WHEN category = 'PROMO' THEN 2 ELSE 1 END, 2) AS total_min
+    FROM listings GROUP BY category""",
+)
+
+
 def partial(a: str, b: str, given: list[str]) -> str:
     """Recursive partial correlation from plain ones."""
     if not given:

@@ -7,18 +7,15 @@ from pyspark.sql import functions as F
 
 from marketloom.session import cut_lineage
 
-MAX_ROUNDS = 200
-
-
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, comp): ``comp`` is the lowest node of the component. ``edges`` has columns a and b, in any direction.
 
     Each round takes the lowest label among the neighbours and then follows that label's own label, so chains shorten
-    by half; rounds are checkpointed and stop when no label falls.
+    by half; rounds are checkpointed and end when no label falls, as labels only ever fall.
     """
     both = cut_lineage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     labels = cut_lineage(nodes.select("node", F.col("node").alias("comp")))
-    for _ in range(MAX_ROUNDS):
+    while True:
         heard = (
             both.join(labels.withColumnRenamed("node", "b"), "b")
             .groupBy(F.col("a").alias("node"))
@@ -35,4 +32,3 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = jumped.select("node", F.col("next").alias("comp"))
         if not changed:
             return labels
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

@@ -11,13 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions import special as S
-from marketloom.operators.groups import sample_rows
-from marketloom.operators.lookup import bounded_local
-from marketloom.operators.ranks import average_rank, melt, usable, value_ladder
+from marketloom.operators.ranks import average_rank, melt, range_bounds, usable, value_ladder, with_bucket
 from marketloom.session import cut_lineage
 
-KENDALL_SAMPLE = 1000
-KENDALL_CELLS = 4000
 STRONG = 0.7
 
 
@@ -132,68 +128,111 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # --- Kendall ----------------------------------------------------------------------------------------------------------
 
 
-def _tau_b(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
-    """tau-b of weighted points."""
-    n = w.sum()
+#
+# Both columns are cut into range buckets; a value heavy enough to be a bound has a bucket of its own. Two rows then differ in
+# both buckets, share the first, or share the second only. The first kind is counted from the table of bucket counts, the others inside
+# one bucket each, from distinct value pairs with their counts. A bucket of a single value has nothing to compare, so a
+# value shared by a third of all rows costs nothing.
+
+KENDALL_BUCKET_ROWS = 100_000
+KENDALL_BUCKETS = 512
+
+
+def _order_sum(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
+    """Sum over pairs of w * w * sign(dx) * sign(dy), by merge counting: one level for each bit of the rank of x."""
+    x, y = (np.unique(v, return_inverse=True)[1].astype(np.int64) for v in (x, y))
+    order = np.argsort(y, kind="stable")
+    x, y, w = x[order], y[order], w[order]
+    total, width = 0.0, int(y[-1]) + 1 if len(y) else 1
+    for bit in range(int(x.max()).bit_length() if len(x) else 0):
+        block, right = x >> (bit + 1), (x >> bit) & 1 == 1
+        order = np.argsort(block, kind="stable")  # stays ordered by y inside a block
+        place = block[order] * width + y[order]
+        left = np.where(right[order], 0.0, w[order])
+        upto = np.concatenate([[0.0], np.cumsum(left)])
+        here = place[right[order]]
+        own = here // width
+        below = upto[np.searchsorted(place, here, "left")] - upto[np.searchsorted(place, own * width, "left")]
+        above = upto[np.searchsorted(place, (own + 1) * width, "left")] - upto[np.searchsorted(place, here, "right")]
+        total += float((w[order][right[order]] * (below - above)).sum())
+    return total
+
+
+def _grid_sum(cells: pd.DataFrame) -> float:
+    """The same sum over pairs that differ in both buckets, from the counts of bucket pairs."""
+    table = cells.pivot_table(index="a", columns="b", values="n", aggfunc="sum", fill_value=0).to_numpy(dtype=float)
+    corner = np.zeros((table.shape[0] + 1, table.shape[1] + 1))
+    corner[1:, 1:] = table.cumsum(0).cumsum(1)
+    lower = corner[:-1, :-1]  # rows in earlier buckets of both
+    higher = corner[:-1, -1:] - corner[:-1, 1:]  # earlier bucket of the first, later of the second
+    return float((table * (lower - higher)).sum())
+
+
+def _kendall_bounds(rows: DataFrame, column: str) -> list[float]:
+    bounds = range_bounds(rows.where(F.col(column).isNotNull()), column, KENDALL_BUCKET_ROWS)
+    step = -(-len(bounds) // KENDALL_BUCKETS)
+    return bounds[:: max(step, 1)]
+
+
+def _kendall_bucket(df: DataFrame, column: str, bounds: Sequence[float], name: str) -> DataFrame:
+    """Bucket 2i lies between two bounds, bucket 2i + 1 holds the i-th bound alone."""
+    cut = with_bucket(df, column, bounds)
+    alone = F.col(column).isin(list(bounds)) if bounds else F.lit(False)
+    return cut.withColumn(name, 2 * F.col("bucket") - alone.cast("int")).drop("bucket")
+
+
+def _tau(rows: DataFrame, a: str, b: str, bounds: dict[str, list[float]]) -> float | None:
+    both = rows.select(F.col(a).alias("x"), F.col(b).alias("y")).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    cells = _kendall_bucket(_kendall_bucket(both.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")), "x", bounds[a], "a"), "y", bounds[b], "b")
+    cells = cut_lineage(cells)
+    grid = cells.groupBy("a", "b").agg(F.sum("w").alias("n")).toPandas()  # at most (2 * KENDALL_BUCKETS + 1) squared rows
+    n = float(grid["n"].sum())
+    ties = lambda c: cells.groupBy(c).agg(F.sum("w").cast("double").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0] or 0.0
     pairs = n * (n - 1) / 2
-    sign = np.sign(x[:, None] - x[None, :]) * np.sign(y[:, None] - y[None, :])
-    agreement = float(w @ sign @ w) / 2
-    tied = lambda v: sum(t * (t - 1) / 2 for t in pd.Series(w).groupby(v).sum())
-    room = (pairs - tied(x)) * (pairs - tied(y))
-    return agreement / float(np.sqrt(room)) if room > 0 else float("nan")
-
+    room = (pairs - ties("x")) * (pairs - ties("y"))
+    if not room > 0:
+        return None
+    first = cells.where(F.col("a") % 2 == 0).select(F.lit(0).alias("part"), F.col("a").alias("bucket"), F.col("x").alias("u"), F.col("y").alias("v"), "w")
+    second = cells.where(F.col("b") % 2 == 0).select(
+        F.lit(1).alias("part"), F.col("b").alias("bucket"), F.col("a").cast("double").alias("u"), F.col("y").alias("v"), "w"
+    )
 
-def _tau_rows(points: dict[tuple[str, str], pd.DataFrame]) -> list[tuple[str, str, float | None]]:
-    out = []
-    for (a, b), cells in points.items():
-        x, y, w = (cells[c].to_numpy(dtype=float) for c in ("x", "y", "w"))
-        tau = _tau_b(x, y, w) if len(w) else float("nan")
-        out.append((a, b, None if np.isnan(tau) else tau))
-    return out
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"s": [_order_sum(pdf["u"].to_numpy(), pdf["v"].to_numpy(), pdf["w"].to_numpy(dtype=float))]})
 
+    merged = first.unionByName(second).groupBy("part", "bucket", "u", "v").agg(F.sum("w").alias("w"))
+    local = merged.groupBy("part", "bucket").applyInPandas(inside, "s double").agg(F.sum("s")).first()[0] or 0.0
+    return (local + _grid_sum(grid)) / float(np.sqrt(room))
 
-def kendall_matrix(df: DataFrame, columns: Sequence[str], sample: int | None = KENDALL_SAMPLE, key: str = "id") -> DataFrame:
-    """tau-b over a repeatable sample of rows; the whole table when it is not larger than the sample.
 
-    Only the sampled rows, a fixed number, are paired up.
-    """
-    drawn = _numeric(sample_rows(df.select(key, *columns), sample, key), columns).toPandas()
-    points = {}
-    for a, b in _triangle(columns):
-        cells = pd.DataFrame({"x": drawn[a], "y": drawn[b], "w": 1.0})
-        points[a, b] = cells.dropna()
-    upper = df.sparkSession.createDataFrame(_tau_rows(points), "column_a string, column_b string, tau double")
-    return _mirrored(upper, ["tau"])
+def kendall_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """tau-b of every pair of columns over all rows where both are present; undefined is null."""
+    rows = _numeric(df, columns)
+    bounds = {c: _kendall_bounds(rows, c) for c in columns}
+    found = [(a, b, _tau(rows, a, b, bounds)) for a, b in combinations(columns, 2)]
+    return df.sparkSession.createDataFrame(found, "column_a string, column_b string, tau double")
 
 
-def kendall_exact(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """tau-b over every row, for columns of few distinct values: rows collapse to counted value pairs first."""
+def kendall_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Full matrix of tau-b over all rows; the diagonal is 1 for a column of several values, else null."""
     rows = _numeric(df, columns)
-    points = {}
-    for a, b in combinations(columns, 2):
-        cells = (
-            rows.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-            .groupBy(F.col(a).alias("x"), F.col(b).alias("y"))
-            .agg(F.count(F.lit(1)).cast("double").alias("w"))
-        )
-        local = bounded_local(cells, KENDALL_CELLS)
-        if local is None:
-            raise ValueError(f"{a} and {b} have more than {KENDALL_CELLS} distinct pairs; use kendall_matrix")
-        points[a, b] = local.toPandas()
-    return df.sparkSession.createDataFrame(_tau_rows(points), "column_a string, column_b string, tau double")
+    distinct = rows.agg(*[(F.min(c) < F.max(c)).alias(c) for c in columns]).first()
+    ones = [(c, c, 1.0 if distinct[c] else None) for c in columns]
+    diagonal = df.sparkSession.createDataFrame(ones, "column_a string, column_b string, tau double")
+    return _mirrored(diagonal.unionByName(kendall_pairs(df, columns)), ["tau"])
 
 
 # --- partial correlation ------------------------------------------------------------------------------------------------
 
 
-def partial_correlation(df: DataFrame, columns: Sequence[str], limit: int = 5) -> DataFrame:
-    """Correlation of each pair given the other of the first five columns, over complete rows.
+def partial_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Correlation of each pair given all other columns, over complete rows.
 
     Equal to the correlation of least-squares residuals, read off the inverse covariance matrix. Needs at least three
     columns and ten rows; constant columns are left out of the result.
     """
     schema = "column_a string, column_b string, partial_r double"
-    columns = list(columns)[:limit]
+    columns = list(columns)
     present = _numeric(df, columns)
     for c in columns:
         present = present.where(usable(F.col(c)))

@@ -290,6 +290,18 @@ def _join_components(
     return comps.join(final, "comp").select("node", F.col("root").alias("comp"))
 
 
+def _coinciding_labels(matrix: DataFrame, columns: Sequence[str], min_samples: int, key: str) -> DataFrame:
+    """Labels at a distance of 0, where only equal points are neighbours: each point of enough copies is a cluster."""
+    rows = matrix.select(key, *columns)
+    groups = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"), F.min(key).alias("lowest"))
+    full = cut_lineage(groups.where(F.col("copies") >= min_samples))
+    numbered = row_positions(full, "lowest").select(*columns, (F.col("position") - 1).cast("long").alias("label"))
+    label = F.coalesce(F.col("label"), F.lit(-1)).cast("long")
+    return rows.join(numbered, list(columns), "left").select(
+        key, label.alias("dbscan_cluster"), (label == -1).alias("is_anomaly")
+    )
+
+
 def dbscan_labels(
     matrix: DataFrame, columns: Sequence[str], eps: float | None = None, min_samples: int = 5, key: str = "id"
 ) -> DataFrame:
@@ -301,7 +313,7 @@ def dbscan_labels(
     if eps is None:
         eps = find_eps(matrix, columns, min_samples, key)
     if eps <= 0:
-        raise ValueError("eps must be positive; all points may coincide")
+        return _coinciding_labels(matrix, columns, min_samples, key)
     d, limit = len(columns), eps * eps
     rows, cells = _grid(matrix, columns, key, eps, min_samples)
     near = cut_lineage(_near_cells(cells, d, limit))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -150,23 +150,10 @@ def qq_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _royston(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Shapiro-Wilk W and p of one column of at most 5000 rows (Royston 1995); ``q`` holds the normal scores."""
-    pdf = pdf.sort_values("place")
-    x, m = pdf["value"].to_numpy(), pdf["q"].to_numpy()
-    n = len(x)
-    spread = ((x - x.mean()) ** 2).sum()
-    if spread == 0:
-        return pd.DataFrame({"column": pdf["column"].iloc[:1], "statistic": [1.0], "p_value": [1.0]})
-    total = (m * m).sum()
-    u = 1 / math.sqrt(n)
-    # Royston's polynomials, highest power first.
-    end = np.polyval([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, 0.0], u) + m[-1] / math.sqrt(total)
-    near = np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, 0.0], u) + m[-2] / math.sqrt(total)
-    scale = math.sqrt((total - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * end**2 - 2 * near**2))
-    a = m / scale
-    a[[0, 1, -2, -1]] = -end, -near, near, end
-    w = min(1.0, float((a * x).sum() ** 2 / spread))
+def _royston_p(w: float, n: int) -> float | None:
+    """The p-value of W, which holds up to 5000 values (Royston 1995)."""
+    if n > SHAPIRO_MAX_ROWS:
+        return None
     if n >= 12:
         mu = np.polyval([0.0038915, -0.083751, -0.31082, -1.5861], math.log(n))
         sigma = math.exp(np.polyval([0.0030302, -0.082676, -0.4803], math.log(n)))
@@ -175,20 +162,50 @@ def _royston(pdf: pd.DataFrame) -> pd.DataFrame:
         mu = np.polyval([-0.0006714, 0.025054, -0.39978, 0.5440], n)
         sigma = math.exp(np.polyval([-0.0020322, 0.062767, -0.77857, 1.3822], n))
         score = -math.log(-2.273 + 0.459 * n - math.log(1 - w)) if w < 1 else -math.inf
-    p = 0.5 * math.erfc((score - mu) / sigma / math.sqrt(2))
-    return pd.DataFrame({"column": pdf["column"].iloc[:1], "statistic": [w], "p_value": [p]})
+    return 0.5 * math.erfc((score - mu) / sigma / math.sqrt(2))
+
+
+def _shapiro_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Shapiro-Wilk W from the sums over a column's positions and its two outermost values and scores at each end."""
+    for pdf in batches:
+        rows = []
+        for r in pdf.itertuples():
+            n, total = r.n, r.mm
+            if r.x_first == r.x_last:
+                rows.append((r.column, 1.0, 1.0))
+                continue
+            u = 1 / math.sqrt(n)
+            # Royston's polynomials, highest power first.
+            end = np.polyval([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, 0.0], u) + r.m_last / math.sqrt(total)
+            near = np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, 0.0], u) + r.m_near / math.sqrt(total)
+            scale = math.sqrt((total - 2 * r.m_last**2 - 2 * r.m_near**2) / (1 - 2 * end**2 - 2 * near**2))
+            inner = r.mx - r.m_last * (r.x_last - r.x_first) - r.m_near * (r.x_near - r.x_second)
+            sum_ax = inner / scale + end * (r.x_last - r.x_first) + near * (r.x_near - r.x_second)
+            w = min(1.0, sum_ax**2 / r.spread)
+            rows.append((r.column, w, _royston_p(w, n)))
+        yield pd.DataFrame(rows, columns=["column", "statistic", "p_value"])
 
 
 def normality_shapiro(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Only for columns of at most 5000 values, beyond which its p-value does not hold."""
-    ladder = value_ladder(melt(df, columns), "value", ["column"])
-    small = ladder.where(F.col("total").between(MIN_ROWS, SHAPIRO_MAX_ROWS))
-    scored = S.with_norm_ppf(positions(small), (F.col("place") - 0.375) / (F.col("total") + 0.25), "q")
-    stat = (
-        scored.select("column", "value", "place", "q")
-        .groupBy("column")
-        .applyInPandas(_royston, "column string, statistic double, p_value double")
+    """W for any number of values, from one aggregation over their positions; beyond 5000 values its p-value, and so the verdict, is null."""
+    ladder = value_ladder(melt(df, columns), "value", ["column"]).where(F.col("total") >= MIN_ROWS)
+    scored = S.with_norm_ppf(positions(ladder), (F.col("place") - 0.375) / (F.col("total") + 0.25), "q")
+    at = lambda c, place: F.max(F.when(F.col("place") == place, F.col(c)))
+    means = ladder.groupBy("column").agg((F.sum(F.col("value") * F.col("ties")) / F.sum("ties")).alias("mean"))
+    centred = scored.join(means, "column").withColumn("x", F.col("value") - F.col("mean"))
+    sums = centred.groupBy("column").agg(
+        F.max("total").alias("n"),
+        F.sum(F.col("x") * F.col("x")).alias("spread"),
+        F.sum(F.col("q") * F.col("q")).alias("mm"),
+        F.sum(F.col("q") * F.col("x")).alias("mx"),
+        at("x", F.lit(1)).alias("x_first"),
+        at("x", F.lit(2)).alias("x_second"),
+        at("x", F.col("total") - 1).alias("x_near"),
+        at("x", F.col("total")).alias("x_last"),
+        at("q", F.col("total") - 1).alias("m_near"),
+        at("q", F.col("total")).alias("m_last"),
     )
+    stat = sums.mapInPandas(_shapiro_rows, "column string, statistic double, p_value double")
     return _tested(stat, "shapiro_wilk", F.col("p_value"))
 
 
@@ -213,7 +230,7 @@ def normality_verdict(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (
         normality_tests(df, columns)
         .groupBy("column")
-        .agg(F.count_if("is_normal").alias("tests_passed"), F.count(F.lit(1)).alias("total_tests"))
+        .agg(F.count_if("is_normal").alias("tests_passed"), F.count("is_normal").alias("total_tests"))
         .withColumn("is_likely_normal", F.col("tests_passed") >= F.floor(F.col("total_tests") / 2))
     )
 

@@ -222,8 +222,8 @@ def price_waterfall(df: DataFrame, k: int = 8) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, key: str = "id") -> DataFrame:
-    """A repeatable sample of n rows: the rows with the lowest key hashes."""
-    return df.orderBy(F.xxhash64(key), key).limit(n)
+    """A repeatable sample of n rows: the rows with the lowest digests of their keys, the same in any engine."""
+    return df.orderBy(F.md5(F.col(key).cast("string").cast("binary")), key).limit(n)
 
 
 def price_scatter(df: DataFrame, n: int = 600) -> DataFrame:

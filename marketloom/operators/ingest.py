@@ -47,15 +47,23 @@ def score_listings(df: DataFrame) -> DataFrame:
 
 def accepted(df: DataFrame) -> DataFrame:
     """Valid listings, cleaned and scored."""
-    valid = validate_listings(with_defaults(df)).where("is_valid").drop("is_valid", "reject_reasons")
-    return score_listings(valid)
+    return accepted_of(validate_listings(with_defaults(df)))
+
+
+def accepted_of(judged: DataFrame) -> DataFrame:
+    """The valid ones of validated listings, cleaned and scored."""
+    return score_listings(judged.where("is_valid").drop("is_valid", "reject_reasons"))
 
 
 def ingest_audit(df: DataFrame, by: str = "source") -> DataFrame:
     """Collected, validated and rejected counts of one ingest."""
+    return audit_of(validate_listings(with_defaults(df)), by)
+
+
+def audit_of(judged: DataFrame, by: str = "source") -> DataFrame:
+    """Counts of validated listings."""
     return (
-        validate_listings(with_defaults(df))
-        .groupBy(by)
+        judged.groupBy(by)
         .agg(
             F.count(F.lit(1)).alias("records_collected"),
             F.count_if("is_valid").alias("records_validated"),
@@ -75,10 +83,15 @@ def coerce_types(df: DataFrame) -> DataFrame:
     return df
 
 
-def city_state_lookup(df: DataFrame, states: dict[str, str] | None = None, default: str = DEFAULT_STATE) -> DataFrame:
-    """Add ``looked_up_state`` from the city; unknown cities get the default."""
+def city_state_lookup(
+    df: DataFrame, states: dict[str, str] | DataFrame | None = None, default: str = DEFAULT_STATE
+) -> DataFrame:
+    """Add ``looked_up_state`` from the city; unknown cities get the default. ``states`` is a table (city, state) or a dictionary."""
     schema = T.StructType([T.StructField("city", T.StringType()), T.StructField("looked_up_state", T.StringType())])
-    pairs = df.sparkSession.createDataFrame(list((states or CITY_STATES).items()), schema)
+    if isinstance(states, DataFrame):
+        pairs = states.toDF(*schema.names)
+    else:
+        pairs = df.sparkSession.createDataFrame(list((states or CITY_STATES).items()), schema)
     joined = lookup_join(df, pairs, ["city"])
     return joined.withColumn("looked_up_state", F.coalesce("looked_up_state", F.lit(default)))
 

@@ -353,7 +353,7 @@ def outliers_lof(df: DataFrame, column: str = PRICE, k: int = 20, contamination:
     """Count of values below the contamination quantile of the negated factor; needs at least k values."""
     total = _values(df, column).count()
     schema = "n_neighbors int, contamination double, outlier_count long, outlier_percentage double"
-    if total <= k:
+    if total < k:
         return df.sparkSession.createDataFrame([], schema)
     factors = cut_lineage(lof_factors(df, column, k).select((-F.col("lof")).alias("s"), "ties"))
     cut = exact_quantiles(factors, "s", [contamination], weight="ties").first()["quantile"]

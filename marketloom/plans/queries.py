@@ -130,6 +130,30 @@ def _stored_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 _register("append_listings", _stored_round_trip)
 
+
+def _csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings as CSV, read back, a table replaced by them twice, one category appended again, and the table read."""
+    from uuid import uuid4
+
+    from marketloom.session import shared_folder
+
+    folder = f"{shared_folder(spark)}/csv-{uuid4().hex}"
+    store.write_csv(listings(spark, sf), f"{folder}/csv")
+    read = store.read_csv(spark, f"{folder}/csv")
+    store.replace_listings(read.where("category = 'PROMO'"), f"{folder}/table")
+    store.replace_listings(read, f"{folder}/table")
+    store.append_listings(read.where("category = 'PROMO'"), f"{folder}/table")
+    stored = store.load_listings(spark, f"{folder}/table", f"{folder}/csv")
+    return stored.groupBy("category").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("description").alias("described"),
+        F.min("product_name").alias("first_name"),
+        F.round(F.sum("price_min"), 2).alias("total_min"),
+    )
+
+
+_register("csv_round_trip", _csv_round_trip)
+
 # --- fields, validation ----------------------------------------------------------------------------------------------------
 
 on_table("clean_name", "documents", lambda df: df.select("doc_id", L.clean_name(F.col("text")).alias("name")))
@@ -168,8 +192,8 @@ on_listings(
 def _city_state(spark: SparkSession, sf: str) -> DataFrame:
     """Cities of one region are left out of the dictionary and get the default state."""
     nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    known = bounded_local(nations.where(F.col("r_name") != "ASIA").select("n_name", "r_name")).collect()
-    df = ingest.city_state_lookup(listings(spark, sf), {r["n_name"]: r["r_name"] for r in known})
+    known = nations.where(F.col("r_name") != "ASIA").select("n_name", "r_name")
+    df = ingest.city_state_lookup(listings(spark, sf), known)
     return df.select("id", "city", "looked_up_state")
 
 
@@ -312,8 +336,9 @@ on_listings("qq_correlation", lambda df: dist.qq_correlation(df, NUMERIC_COLUMNS
 
 on_listings("pearson_matrix", lambda df: corr.pearson_matrix(df, NUMERIC_COLUMNS).drop("p_value"), r=6)
 on_listings("spearman_matrix", lambda df: corr.spearman_matrix(df, NUMERIC_COLUMNS), rho=6)
-on_listings("kendall_matrix", lambda df: corr.kendall_exact(df, ["supplier_rating", "quality_score"]), tau=6)
-on_listings("kendall_sampled", lambda df: corr.kendall_matrix(df, NUMERIC_COLUMNS))
+on_listings("kendall_matrix", lambda df: corr.kendall_pairs(df, ["supplier_rating", "quality_score"]), tau=6)
+on_listings("kendall_sampled", lambda df: corr.kendall_matrix(groups.sample_rows(df, 1000), NUMERIC_COLUMNS), tau=6)
+on_table("kendall_customers", "customer", lambda df: corr.kendall_pairs(df, ["c_acctbal", "c_nationkey", "c_custkey"]), tau=9)
 on_listings("partial_correlation", lambda df: corr.partial_correlation(df, NUMERIC_COLUMNS), partial_r=6)
 on_listings("strong_correlations", lambda df: corr.strong_correlations(df, NUMERIC_COLUMNS), r=6)
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 from typing import TypeVar
+from urllib.parse import urlparse
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
@@ -31,19 +33,16 @@ def build_session(app_name: str = "marketloom", master: str | None = None, **con
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The reliable checkpoint folder, as the cluster names it in ``spark.checkpoint.dir``.
+    """The reliable checkpoint folder, as the cluster names it in ``spark.checkpoint.dir``; else one in the warehouse.
 
-    A temporary folder is used only in local mode, where driver and executors share one disk.
+    On a local master the application's own subfolder in the warehouse is removed when the process ends.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            context.setCheckpointDir(configured)
-        elif context.master.startswith("local"):
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="marketloom-"))
-        else:
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/marketloom-cuts")
+        if not configured and context.master.startswith("local"):
+            atexit.register(shutil.rmtree, urlparse(context.getCheckpointDir()).path, ignore_errors=True)
     return context.getCheckpointDir()
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,10 @@ from marketloom.schema import DEFAULTS
 from marketloom.session import shared_folder
 
 
+_built: set[str] = set()
+_building = threading.Lock()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -75,10 +80,10 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     digest = hashlib.sha256(f"{spark.sparkContext.applicationId}|{sf_dir}".encode()).hexdigest()[:16]
     path = f"{shared_folder(spark)}/listings-{digest}"
-    context = spark.sparkContext
-    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop_path):
-        build_listings(spark, sf_dir).write.mode("overwrite").parquet(path)
+    with _building:  # threads of one application build it once
+        if path not in _built:
+            build_listings(spark, sf_dir).write.mode("overwrite").parquet(path)
+            _built.add(path)
     return spark.read.parquet(path)
 
 

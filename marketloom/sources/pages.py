@@ -105,6 +105,13 @@ class _Tree(HTMLParser):
     def handle_data(self, data):
         self.here.parts.append(data)
 
+    def parse_html_declaration(self, i):
+        """Declarations as usual; a marked section that is none, such as ``<![foo bar]]>``, is text."""
+        if self.rawdata[i : i + 3] != "<![" or self.rawdata[i : i + 9] == "<![CDATA[":
+            return super().parse_html_declaration(i)
+        self.handle_data("<![")
+        return i + 3
+
 
 def _descendants(node: Node) -> Iterator[Node]:
     """Elements below ``node`` in page order, without recursion: pages may nest deeply."""
@@ -179,26 +186,32 @@ def parse_page(html: str, rules: Rules) -> list[dict[str, str | None]]:
 
 
 def extract_fields(pages: DataFrame, rules: str, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, one text column per field): no row, one or many for each page."""
+    """(key, place on the page, one text column per field): no row, one or many for each page."""
     chosen = RULES[rules]
     names = list(chosen.fields)
 
     def extract(batches):
         for pdf in batches:
-            rows = [(k, *r.values()) for k, text in zip(pdf[key], pdf[html]) for r in parse_page(text or "", chosen)]
-            yield pd.DataFrame(rows, columns=[key, *names])
+            parsed = ((k, parse_page(text or "", chosen)) for k, text in zip(pdf[key], pdf[html]))
+            rows = [(k, place, *r.values()) for k, found in parsed for place, r in enumerate(found)]
+            yield pd.DataFrame(rows, columns=[key, "place", *names])
 
-    schema = f"{key} long, " + ", ".join(f"{n} string" for n in names)
+    schema = f"{key} long, place int, " + ", ".join(f"{n} string" for n in names)
     return spread(pages.select(key, html)).mapInPandas(extract, schema)
 
 
 def extract_listings(pages: DataFrame, category: str | Column, key: str = "page_id") -> DataFrame:
-    """Raw listings of marketplace pages, ready for validation."""
+    """Raw listings of marketplace pages, ready for validation.
+
+    ``id`` is a 64-bit code of the page's key, the listing's place on the page and its link: two listings of a page differ, and
+    unequal listings share one with a probability of n * n / 2^65 among n listings.
+    """
     found = extract_fields(pages, "marketplace", key)
     slug = F.lit(category) if isinstance(category, str) else category
     prices = L.price_bounds(F.col("price_raw"))
     name = F.when(F.length("product_name") > 0, F.col("product_name")).otherwise(F.coalesce("name_title", F.lit("")))
     return found.select(
+        F.xxhash64(key, "place", "source_url").alias("id"),
         key,
         name.alias("product_name"),
         prices["price_min"].alias("price_min"),
@@ -215,4 +228,4 @@ def extract_listings(pages: DataFrame, category: str | Column, key: str = "page_
 
 def extract_page_fields(pages: DataFrame) -> DataFrame:
     """Title, headline, number of navigation links and footer of whole web pages."""
-    return extract_fields(pages, "page").withColumn("n_links", F.col("n_links").cast("long"))
+    return extract_fields(pages, "page").drop("place").withColumn("n_links", F.col("n_links").cast("long"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,9 @@ STORED_SCHEMA = T.StructType(
     [T.StructField("tags", T.StringType()) if f.name == "tags" else f for f in LISTING_SCHEMA]
 )
 
+# Folder of each batch, above the categories.
+BATCH = "ingest_batch"
+
 # Columns of a stored listing that readers get.
 SCAN_COLUMNS = tuple(f.name for f in LISTING_SCHEMA if f.name not in ("product_id", "is_complete"))
 
@@ -34,21 +39,24 @@ def scan_listings(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORED_SCHEMA).parquet(path)
+    return spark.read.schema(STORED_SCHEMA).parquet(path).select(*STORED_SCHEMA.names)
 
 
-def append_listings(df: DataFrame, path: str) -> None:
-    """Append in one job commit: either every row of the batch becomes visible or none.
+def append_listings(df: DataFrame, path: str, batch: str | None = None) -> None:
+    """Add one batch in one job commit. A batch written again under its name replaces itself, so a repeated attempt adds nothing.
 
     Rows are not regrouped by category before the write, so a category with a third of all rows is written by many
     tasks.
     """
-    _stored(df).write.mode("append").partitionBy("category").parquet(path)
+    named = _stored(df).withColumn(BATCH, F.lit(batch or f"batch-{uuid4().hex}"))
+    writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(BATCH, "category").parquet(path)
 
 
 def replace_listings(df: DataFrame, path: str) -> None:
     """Replace the whole table; an empty DataFrame clears it."""
-    _stored(df).write.mode("overwrite").partitionBy("category").parquet(path)
+    named = _stored(df).withColumn(BATCH, F.lit(f"batch-{uuid4().hex}"))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BATCH, "category").parquet(path)
 
 
 def listings_by_category(df: DataFrame, category: str) -> DataFrame:

@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from marketloom.operators.ingest import accepted
-from marketloom.sources.store import STORED_SCHEMA, _stored
+from marketloom.sources.store import append_listings
 
 
 def ingest_stream(raw: DataFrame, table_path: str, checkpoint_path: str) -> StreamingQuery:
-    """Validation and scoring are row by row, so they run unchanged on a stream; the file sink writes each row once.
+    """Micro-batches go through the writer of batches, each under a name made of the checkpoint and its number, so one that is
+    tried again after a failure replaces itself, and stream and batches share a table.
 
     Processes what is available and stops; run it on a schedule, or again after a failure.
     """
-    valid = _stored(accepted(raw)).select(*STORED_SCHEMA.names)
+    stream = hashlib.sha256(checkpoint_path.encode()).hexdigest()[:16]
+
+    def append(batch: DataFrame, number: int) -> None:
+        append_listings(accepted(batch), table_path, f"stream-{stream}-{number}")
+
     return (
-        valid.writeStream.format("parquet")
-        .partitionBy("category")
-        .option("path", table_path)
+        raw.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint_path)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

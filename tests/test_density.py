@@ -49,8 +49,8 @@ def test_all_noise_and_one_cluster(spark):
     assert {r["dbscan_cluster"] for r in D.dbscan_labels(df, names, 1.0).collect()} == {-1}
     df, names = frame(spark, np.zeros((30, 2)))
     assert {r["dbscan_cluster"] for r in D.dbscan_labels(df, names, 1.0).collect()} == {0}
-    with pytest.raises(ValueError):
-        D.dbscan_labels(df, names)
+    assert {r["dbscan_cluster"] for r in D.dbscan_labels(df, names).collect()} == {0}
+    assert {r["dbscan_cluster"] for r in D.dbscan_labels(df.limit(3), names).collect()} == {-1}
 
 
 def test_k_distances_over_all_rows(spark):

@@ -14,6 +14,12 @@ def brute_lof(x, k):
     return density[near].mean(axis=1) / density
 
 
+def test_lof_needs_k_values(prices):
+    values = [float(i) for i in range(20)]
+    assert O.outliers_lof(prices(values)).count() == 1
+    assert O.outliers_lof(prices(values[:19])).count() == 0
+
+
 def test_lof_with_hot_values_across_blocks(prices, monkeypatch):
     monkeypatch.setattr(O, "LOF_BLOCK", 150)
     rng = np.random.default_rng(0)

@@ -40,3 +40,10 @@ def test_first_container_wins_and_nameless_listings_drop():
 def test_deep_nesting_and_broken_markup():
     html = "<div>" * 5000 + '<div class="c-p"><a class="pn">A</a></span></div>'
     assert P.parse_page(html, P.RULES["marketplace"])[0]["product_name"] == "A"
+
+
+@pytest.mark.parametrize("bad", ["<![foo bar]]>", "<![", "<![if x]>", "<!-", "<?"])
+def test_malformed_markup_keeps_the_rest_of_the_page(bad):
+    html = f'<div class="c-p"><a class="pn" href="/1">Pump</a>{bad}<i class="price">5</i></div>'
+    assert P.parse_page(html, P.RULES["marketplace"])[0]["product_name"] == "Pump"
+    assert P.parse_page("<p>x</p>" + bad, P.RULES["page"]) is not None

@@ -95,8 +95,26 @@ def test_correlations_skip_missing_pairs(spark, many_buckets):
     s = sum(np.sign(p[i] - p[j]) * np.sign(q[i] - q[j]) for i, j in combinations(range(150), 2))
     free = lambda v: sum(v[i] != v[j] for i, j in combinations(range(150), 2))
     assert tau["y", "z"] == pytest.approx(s / math.sqrt(free(p) * free(q)))
-    exact = C.kendall_exact(df, ["y", "z"]).first()["tau"]
-    assert exact == pytest.approx(tau["y", "z"])
+    assert tau["x", "x"] == 1.0
+
+
+@pytest.mark.parametrize("bucket_rows", [25, 100_000])
+def test_kendall_over_many_buckets_hot_values_and_gaps(spark, monkeypatch, bucket_rows):
+    monkeypatch.setattr(C, "KENDALL_BUCKET_ROWS", bucket_rows)
+    rng = np.random.default_rng(11)
+    n = 1500
+    x = np.where(rng.random(n) < 0.35, 5.0, rng.integers(0, 400, n) / 3)
+    y = np.where(rng.random(n) < 0.3, x, rng.integers(0, 90, n).astype(float))
+    z = np.where(rng.random(n) < 0.1, np.nan, rng.normal(size=n))
+    rows = [tuple(float(v) for v in r) for r in zip(x, y, z)]
+    df = spark.createDataFrame(rows, "x double, y double, z double").withColumn("k", F.lit(1.0))
+    got = {(r["column_a"], r["column_b"]): r["tau"] for r in C.kendall_pairs(df, "xyzk").collect()}
+    for (a, p), (b, q) in combinations(zip("xyz", (x, y, z)), 2):
+        both = ~np.isnan(p) & ~np.isnan(q)
+        dp, dq = (np.sign(v[both][:, None] - v[both][None]) for v in (p, q))
+        assert got[a, b] == pytest.approx((dp * dq).sum() / math.sqrt((dp**2).sum() * (dq**2).sum()), abs=1e-12)
+    assert got["x", "k"] is None
+    assert C.kendall_matrix(df.limit(0), "xy").where("tau is not null").count() == 0
 
 
 def test_partial_correlation_equals_residuals(spark):

@@ -50,16 +50,16 @@ def test_raw_csv(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text(
         "product_name,price_info,supplier_name,location,source_url,timestamp\n"
-        "Gear Pump,₹ 417592,Acme,Chennai,mock_generated,2026-01-29T22:17:37.567082\n"
+        "Gear Pump,₹ 73250,Acme,Surat,mock_generated,2024-05-06T07:08:09.101112\n"
         '"Pump, big","₹ 1,200 - ₹ 900",Acme,Pune,mock_generated,not a time\n',
         encoding="utf-8",
     )
     rows = ingest.normalize_raw(store.read_raw_csv(spark, str(path)), "Pumps").orderBy("price_min").collect()
     assert [(r["price_min"], r["price_max"], r["city"], r["category"]) for r in rows] == [
         (900.0, 1200.0, "Pune", "Pumps"),
-        (417592.0, 417592.0, "Chennai", "Pumps"),
+        (73250.0, 73250.0, "Surat", "Pumps"),
     ]
-    assert rows[0]["scraped_at"] is None and rows[1]["scraped_at"].microsecond == 567082
+    assert rows[0]["scraped_at"] is None and rows[1]["scraped_at"].microsecond == 101112
 
 
 def test_collect_pages_stores_and_counts(spark, tmp_path):
@@ -82,7 +82,24 @@ def test_stream_accepts_what_the_batch_accepts(spark, tmp_path):
         query = ingest_stream(stream, table, mark)
         query.awaitTermination(120)
         assert query.exception() is None
-    assert spark.read.parquet(table).count() == ingest.accepted(raw).count() > 0
+    n = ingest.accepted(raw).count()
+    assert store.read_table(spark, table).count() == n > 0
+    store.append_listings(ingest.accepted(raw).limit(5), table)
+    assert store.read_table(spark, table).count() == n + 5
+    raw.limit(9).write.mode("append").parquet(source)
+    ingest_stream(stream, table, mark).awaitTermination(120)
+    assert store.read_table(spark, table).count() == n + 5 + ingest.accepted(raw.limit(9)).count()
+    store.append_listings(ingest.accepted(raw).limit(4), table, "again")
+    store.append_listings(ingest.accepted(raw).limit(4), table, "again")
+    assert store.read_table(spark, table).where("category is not null").count() >= n + 9
+
+
+def test_two_listings_of_a_page_have_two_ids(spark, tmp_path):
+    item = '<div class="c-p"><a class="pn" href="/1">Gear pump large</a><i class="price">Rs 5 - 9</i></div>'
+    pages = spark.createDataFrame([(1, item * 2), (2, item)], "page_id long, html string")
+    collect.collect_pages(pages, "industrial-pumps", str(tmp_path / "t"))
+    ids = [r["id"] for r in store.read_table(spark, str(tmp_path / "t")).collect()]
+    assert len(ids) == len(set(ids)) == 3
 
 
 def test_lookup_beyond_the_limit_is_not_broadcast(spark):
