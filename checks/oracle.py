@@ -823,6 +823,15 @@ plain(
     SELECT cast(5 AS int) AS k_neighbors, round(d, 6) AS optimal_eps, cast(place AS int) AS knee_index FROM s
     ORDER BY jump DESC NULLS LAST, place LIMIT 1""",
 )
+plain(
+    "kdistance_customers",
+    """WITH p AS (SELECT a.c_custkey AS i, sqrt((a.c_acctbal - b.c_acctbal) * (a.c_acctbal - b.c_acctbal)
+        + (a.c_nationkey - b.c_nationkey) * (a.c_nationkey - b.c_nationkey)) AS d FROM customer a, customer b),
+    d AS (SELECT d, row_number() OVER (PARTITION BY i ORDER BY d) AS k FROM p),
+    s AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS place, lead(d) OVER (ORDER BY d) - d AS jump FROM d WHERE k = 5)
+    SELECT cast(5 AS int) AS k_neighbors, round(d, 6) AS optimal_eps, cast(place AS int) AS knee_index FROM s
+    ORDER BY jump DESC NULLS LAST, place LIMIT 1""",
+)
 plain(
     "lof_balances",
     """WITH d AS (SELECT a.s_suppkey AS i, b.s_suppkey AS j, abs(a.s_acctbal - b.s_acctbal) AS d,

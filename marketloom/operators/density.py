@@ -6,75 +6,23 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.operators.cluster import cluster_metrics
 from marketloom.operators.components import connected_components
-from marketloom.operators.groups import sample_rows
 from marketloom.operators.lookup import lookup_join, spread
+from marketloom.operators.neighbours import k_distances, knee
 from marketloom.operators.ranks import row_positions
 from marketloom.session import cut_lineage
 
-QUERY_POINTS = 1000
-
-
-def k_distances(
-    matrix: DataFrame, columns: Sequence[str], k: int = 5, key: str = "id", queries: int = QUERY_POINTS
-) -> np.ndarray:
-    """Sorted distances from sampled points to their k-th nearest point, the point itself being the first.
-
-    Every row is compared with the query points only, whose number is fixed; each task keeps the k smallest distances
-    per query. With at most ``queries`` rows every row is a query.
-    """
-    names = list(columns)
-    points = sample_rows(matrix.select(key, *names), queries, key).toPandas()[names].to_numpy(dtype=float)
-
-    def nearest(batches):
-        best = np.full((len(points), k), np.inf)
-        for pdf in batches:
-            rows = pdf[names].to_numpy(dtype=float)
-            for start in range(0, len(rows), 2048):
-                part = rows[start : start + 2048]
-                gap = np.zeros((len(points), len(part)))
-                for j in range(len(names)):
-                    gap += (points[:, j, None] - part[None, :, j]) ** 2
-                both = np.concatenate([best, gap], axis=1)
-                best = np.partition(both, k - 1, axis=1)[:, :k]
-        found = np.isfinite(best)
-        query, _ = np.nonzero(found)
-        yield pd.DataFrame({"query": query, "square": best[found]})
-
-    order = Window.partitionBy("query").orderBy("square")
-    rows = (
-        spread(matrix.select(*names))
-        .mapInPandas(nearest, "query long, square double")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") == k)
-        .select("square")
-        .toPandas()
-    )
-    return np.sqrt(np.sort(rows["square"].to_numpy()))
-
-
-def _knee(distances: np.ndarray) -> tuple[float, int]:
-    """The distance just before the largest jump; a zero is replaced by the smallest positive distance."""
-    if len(distances) < 2:
-        return (float(distances[0]) if len(distances) else 0.0), 0
-    at = int(np.argmax(np.diff(distances)))
-    eps = float(distances[at])
-    if eps == 0 and (distances > 0).any():
-        eps = float(distances[distances > 0].min())
-    return eps, at
-
 
 def find_eps(matrix: DataFrame, columns: Sequence[str], k: int = 5, key: str = "id") -> float:
-    return _knee(k_distances(matrix, columns, k, key))[0]
+    return knee(k_distances(matrix, columns, k, key))[0]
 
 
 def kdistance_eps(matrix: DataFrame, columns: Sequence[str], k: int = 5, key: str = "id") -> DataFrame:
-    eps, at = _knee(k_distances(matrix, columns, k, key))
+    eps, at = knee(k_distances(matrix, columns, k, key))
     return matrix.sparkSession.createDataFrame(
         [(k, eps, at)], "k_neighbors int, optimal_eps double, knee_index int"
     )

@@ -445,6 +445,12 @@ on_table(
     # Balances are in cents; half a cent keeps distances off the limit.
     lambda df: density.dbscan_labels(df.withColumnRenamed("c_custkey", "id"), ["c_acctbal"], 5.005),
 )
+on_table(
+    "kdistance_customers",
+    "customer",
+    lambda df: density.kdistance_eps(df.select("c_custkey", "c_acctbal", "c_nationkey"), ["c_acctbal", "c_nationkey"], key="c_custkey"),
+    optimal_eps=6,
+)
 on_table(
     "kdistance_balances",
     "supplier",

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from marketloom.operators import density as D
+from marketloom.operators import neighbours as N
 from marketloom.operators.components import connected_components
 
 
@@ -53,16 +54,31 @@ def test_all_noise_and_one_cluster(spark):
     assert {r["dbscan_cluster"] for r in D.dbscan_labels(df.limit(3), names).collect()} == {-1}
 
 
-def test_k_distances_over_all_rows(spark):
-    x = points(2, 9)
+def kth(x, k):
+    return np.sqrt(np.sort(((x[:, None] - x[None]) ** 2).sum(axis=2), axis=1)[:, k - 1])
+
+
+@pytest.mark.parametrize("block_rows", [40, 2048])
+def test_k_distances_over_all_rows(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(N, "BLOCK_ROWS", block_rows)
+    x = np.concatenate([points(2, 9), np.tile(points(2, 9)[:1], (120, 1))])
     df, names = frame(spark, x)
-    gaps = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
-    assert D.k_distances(df.repartition(5), names, 5) == pytest.approx(np.sort(np.sort(gaps, axis=1)[:, 4]), abs=1e-9)
+    got = {r["id"]: r["distance"] for r in N.k_distances(df.repartition(5), names, 5).collect()}
+    assert [got[i] for i in range(len(x))] == pytest.approx(kth(x, 5).tolist(), abs=1e-9)
+    assert N.k_distances(df.limit(3), names, 5).count() == 0
+
+
+@pytest.mark.parametrize("values, eps, at", [([0.0, 0.0, 0.5, 0.6], 0.5, 1), ([0.1, 0.2, 0.9], 0.2, 1), ([0.3, 0.3], 0.3, 0), ([], 0.0, 0)])
+def test_knee_skips_zero(spark, values, eps, at):
+    df = spark.createDataFrame([(v,) for v in values], "distance double")
+    assert N.knee(df) == (eps, at)
 
 
-def test_knee_skips_zero():
-    assert D._knee(np.array([0.0, 0.0, 0.5, 0.6])) == (0.5, 1)
-    assert D._knee(np.array([0.1, 0.2, 0.9])) == (0.2, 1)
+def test_knee_of_many_buckets(spark):
+    x = np.sort(np.random.default_rng(3).exponential(size=40_000))
+    at = int(np.argmax(np.diff(x)))
+    df = spark.createDataFrame([(float(v),) for v in x], "distance double")
+    assert N.knee(df) == (x[at], at)
 
 
 def test_components_of_a_chain(spark):
