@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from checks import sqlmath as M
-from marketloom.operators.text import (
-    BUDGET_WORDS,
-    CLOUD_STOP_WORDS,
-    ENGLISH_STOP_WORDS,
-    QUALITY_WORDS,
+from marketloom.operators.text import ENGLISH_STOP_WORDS  # a parameter of the query
+
+# Fixed values, stated here again so that a wrong word shows.
+QUALITY_WORDS = ("premium", "best", "quality", "certified", "genuine", "authentic")
+BUDGET_WORDS = ("cheap", "budget", "economy", "basic", "simple")
+CLOUD_STOP_WORDS = tuple(
+    "model type new quality best for the and with pro standard grade series version style a an".split()
 )
 
 NUMERIC = ("price_min", "price_max", "supplier_rating", "quality_score")
@@ -489,7 +491,9 @@ def pairs(select: str, source: str = "listings", columns: tuple[str, ...] = NUME
 
 listings(
     "pearson_matrix",
-    pairs("SELECT '{a}' AS column_a, '{b}' AS column_b, count(*) AS n, round(corr({a}, {b}), 6) AS r"),
+    f"SELECT column_a, column_b, n, round(r, 6) AS r, round({M.beta_share('(1-r*r)', '((n-2)/2.0)', '0.5')}, 6) AS p_value FROM ("
+    + pairs("SELECT '{a}' AS column_a, '{b}' AS column_b, count(*) AS n, corr({a}, {b}) AS r")
+    + ")",
 )
 RANKED = ", ranked AS (SELECT " + ", ".join(
     f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in NUMERIC
@@ -588,20 +592,23 @@ def variance_parts(source: str, value: str) -> str:
 
 listings(
     "anova",
-    """SELECT round((b / (k - 1)) / (w / (n - k)), 4) AS f_statistic, round(b / (b + w), 8) AS eta_squared,
+    f"""SELECT round(f, 4) AS f_statistic, round(p, 6) AS p_value, p < 0.05 AS is_significant, round(b / (b + w), 8) AS eta_squared,
     round((b - (k - 1) * w / (n - k)) / (b + w + w / (n - k)), 8) AS omega_squared,
     CASE WHEN b / (b + w) > 0.14 THEN 'Large' WHEN b / (b + w) > 0.06 THEN 'Medium' ELSE 'Small' END
-    AS effect_size_interpretation FROM ss""",
+    AS effect_size_interpretation
+    FROM (SELECT *, {M.f_sf('f', '(k - 1)', '(n - k)')} AS p FROM (SELECT *, (b / (k - 1)) / (w / (n - k)) AS f FROM ss))""",
     variance_parts("listings", "price_min"),
 )
 PRICE_RANKS = """, pr AS (SELECT category, price_min, rank() OVER (ORDER BY price_min)
   + (count(*) OVER (PARTITION BY price_min) - 1) / 2.0 AS r, count(*) OVER ()::double AS n FROM listings)"""
 listings(
     "kruskal",
-    """SELECT round((12 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - t / (n * n * n - n)), 4) AS h_statistic FROM
-    (SELECT sum(rs * rs / c) AS s, any_value(n) AS n FROM (SELECT category, sum(r) AS rs, count(*) AS c, any_value(n) AS n
+    f"""SELECT round(h, 4) AS h_statistic, round(p, 6) AS p_value, p < 0.05 AS is_significant FROM (
+    SELECT h, {M.chi2_sf('h', '(k - 1)')} AS p FROM (
+    SELECT k, (12 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - t / (n * n * n - n)) AS h FROM
+    (SELECT sum(rs * rs / c) AS s, any_value(n) AS n, count(*) AS k FROM (SELECT category, sum(r) AS rs, count(*) AS c, any_value(n) AS n
       FROM pr GROUP BY category)),
-    (SELECT sum(c * c * c - c) AS t FROM (SELECT count(*)::double AS c FROM listings GROUP BY price_min))""",
+    (SELECT sum(c * c * c - c) AS t FROM (SELECT count(*)::double AS c FROM listings GROUP BY price_min))))""",
     PRICE_RANKS,
 )
 # Ranks of each pair of groups pooled on their own.
@@ -625,14 +632,17 @@ DEVIATIONS = """, med AS (SELECT category, quantile_cont(price_min, 0.5) AS m FR
   dv AS (SELECT category, abs(price_min - m) AS d FROM listings JOIN med USING (category))"""
 listings(
     "levene",
-    "SELECT round((b / (k - 1)) / (w / (n - k)), 4) AS statistic FROM ss",
+    f"""SELECT round(f, 4) AS statistic, round(p, 6) AS p_value, p > 0.05 AS equal_variances FROM (
+    SELECT f, {M.f_sf('f', '(k - 1)', '(n - k)')} AS p FROM (SELECT *, (b / (k - 1)) / (w / (n - k)) AS f FROM ss))""",
     DEVIATIONS + variance_parts("dv", "d"),
 )
 listings(
     "bartlett",
-    """SELECT round((f * ln(p) - l) / (1 + (i - 1 / f) / (3 * (k - 1))), 4) AS statistic FROM (
+    f"""SELECT round(x, 4) AS statistic, round(pv, 6) AS p_value, pv > 0.05 AS equal_variances FROM (
+    SELECT x, {M.chi2_sf('x', '(k - 1)')} AS pv FROM (
+    SELECT k, (f * ln(p) - l) / (1 + (i - 1 / f) / (3 * (k - 1))) AS x FROM (
     SELECT count(*) AS k, sum(n - 1) AS f, sum((n - 1) * var) / sum(n - 1) AS p, sum((n - 1) * ln(var)) AS l,
-    sum(1 / (n - 1)) AS i FROM g)""",
+    sum(1 / (n - 1)) AS i FROM g)))""",
     variance_parts("listings", "price_min"),
 )
 listings(
@@ -641,17 +651,20 @@ listings(
     count(*) OVER () AS n FROM dv), fs AS (SELECT category, {M.ppf('(0.5 + r / (2.0 * (n + 1)))')} AS a FROM fr),
     fm AS (SELECT avg(a) AS grand, var_samp(a) AS v FROM fs),
     fg AS (SELECT category, count(*) AS n, avg(a) AS mean FROM fs GROUP BY category)
-    SELECT round(sum(n * power(mean - grand, 2)) / any_value(v), 4) AS statistic FROM fg, fm""",
+    SELECT round(x, 4) AS statistic, round(p, 6) AS p_value, p > 0.05 AS equal_variances FROM (
+    SELECT x, {M.chi2_sf('x', '(k - 1)')} AS p FROM (
+    SELECT sum(n * power(mean - grand, 2)) / any_value(v) AS x, count(*) AS k FROM fg, fm))""",
     DEVIATIONS,
 )
 listings(
     "chi_square",
-    """, o AS (SELECT c.category AS a, v.supplier_verified AS b, (SELECT count(*) FROM listings l WHERE l.category = c.category
+    f""", o AS (SELECT c.category AS a, v.supplier_verified AS b, (SELECT count(*) FROM listings l WHERE l.category = c.category
       AND l.supplier_verified = v.supplier_verified)::double AS o FROM (SELECT DISTINCT category FROM listings) c,
       (SELECT DISTINCT supplier_verified FROM listings) v),
     e AS (SELECT *, sum(o) OVER (PARTITION BY a) * sum(o) OVER (PARTITION BY b) / sum(o) OVER () AS e FROM o),
     x AS (SELECT sum(power(o - e, 2) / e) AS chi2, sum(o) AS n, count(DISTINCT a) AS r, count(DISTINCT b) AS c FROM e)
-    SELECT round(chi2, 6) AS chi2_statistic, cast((r - 1) * (c - 1) AS bigint) AS degrees_of_freedom,
+    SELECT round(chi2, 6) AS chi2_statistic, round({M.chi2_sf('chi2', '((r - 1) * (c - 1))')}, 6) AS p_value,
+    {M.chi2_sf('chi2', '((r - 1) * (c - 1))')} < 0.05 AS is_significant, cast((r - 1) * (c - 1) AS bigint) AS degrees_of_freedom,
     round(sqrt(chi2 / (n * (least(r, c) - 1))), 8) AS cramers_v,
     CASE WHEN sqrt(chi2 / (n * (least(r, c) - 1))) > 0.5 THEN 'Large' WHEN sqrt(chi2 / (n * (least(r, c) - 1))) > 0.3
       THEN 'Medium' ELSE 'Small' END AS effect_size_interpretation FROM x""",

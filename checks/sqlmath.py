@@ -40,3 +40,24 @@ def ppf(p: str) -> str:
     near = f"({q}*{ratio(f'(0.180625-{q}*{q})', PPF_CENTRE)})"
     tail = f"(case when {r}<=5 then {ratio(f'({r}-1.6)', PPF_TAIL)} else {ratio(f'({r}-5)', PPF_FAR_TAIL)} end)"
     return f"(case when abs({q})<=0.425 then {near} when {q}<0 then -{tail} else {tail} end)"
+
+
+def chi2_sf(x: str, dof: str) -> str:
+    """Upper tail of the chi-square law, as the finite sum that integer degrees of freedom allow."""
+    even = f"list_sum(list_transform(range(0, cast({dof} AS bigint) // 2), lambda i: exp(i*ln({x}/2)-lgamma(i+1)-{x}/2)))"
+    odd = (
+        f"{erfc(f'sqrt({x}/2)')}+coalesce(list_sum(list_transform(range(1, (cast({dof} AS bigint)+1) // 2), "
+        f"lambda i: exp((i-0.5)*ln({x}/2)-lgamma(i+0.5)-{x}/2))),0)"
+    )
+    return f"(case when {x}<=0 then 1.0 when cast({dof} AS bigint)%2=0 then {even} else {odd} end)"
+
+
+def beta_share(x: str, a: str, b: str, steps: int = 12_000, width: float = 0.005) -> str:
+    """Regularised incomplete beta function by Simpson's rule in z, where the variable of the integral is x*exp(-z/a)."""
+    weight = f"(case when i=0 or i={steps} then 1 when i%2=1 then 4 else 2 end)"
+    term = f"{weight}*exp({a}*ln({x})-(lgamma({a})+lgamma({b})-lgamma({a}+{b}))-i*{width})*power(1-{x}*exp(-i*{width}/{a}),{b}-1)"
+    return f"(case when {x}<=0 then 0.0 else list_sum(list_transform(range(0, {steps}+1), lambda i: {term}))*{width}/3/({a}) end)"
+
+
+def f_sf(f: str, d1: str, d2: str) -> str:
+    return beta_share(f"(({d2})/(({d2})+({d1})*({f})))", f"(({d2})/2.0)", f"(({d1})/2.0)")

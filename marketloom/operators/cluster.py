@@ -24,6 +24,8 @@ from marketloom.session import cut_lineage, in_parallel
 SEED = 42
 MAX_ITER = 300
 KMEANS_TOLERANCE = 1e-4
+KMEANS_POOL = 4096
+STARTS = 10
 GMM_ITER = 200
 GMM_TOLERANCE = 1e-3
 K_RANGE = tuple(range(2, 11))
@@ -139,16 +141,83 @@ def _mean_variance(matrix: DataFrame, columns: Sequence[str]) -> float:
     return float(np.mean(row)) if row[0] is not None else 0.0
 
 
-def _fit_kmeans(data: DataFrame, k: int, n_init: int, variance: float):
-    """Lowest-cost model over n_init seeds.
+def _plus_plus(pool: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k starting centres among the pool's rows, each drawn with a weight of its squared distance to those before."""
+    rng = np.random.default_rng(seed)
+    chosen = [int(rng.integers(len(pool)))]
+    nearest = ((pool - pool[chosen[0]]) ** 2).sum(1)
+    while len(chosen) < k:
+        total = nearest.sum()
+        chosen.append(int(rng.choice(len(pool), p=nearest / total)) if total > 0 else int(rng.integers(len(pool))))
+        nearest = np.minimum(nearest, ((pool - pool[chosen[-1]]) ** 2).sum(1))
+    return pool[chosen].copy()
 
-    Iteration stops when the squared moves of all centres sum to about 1e-4 of the mean feature variance; the library's
-    own tolerance is the distance one centre moves.
+
+def _nearest_centre(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    gap = (centres**2).sum(1)[None, :] - 2 * points @ centres.T
+    at = gap.argmin(1)
+    return at, gap[np.arange(len(points)), at]
+
+
+def _kmeans_round(data: DataFrame, names: list[str], sets: dict[int, np.ndarray]) -> pd.DataFrame:
+    """(set, centre, n, cost, sums...) of one assignment of all rows to every set of centres, in one pass."""
+    sums = [f"s{j}" for j in range(len(names))]
+
+    def assign(batches):
+        held = {i: np.zeros((len(c), 2 + len(names))) for i, c in sets.items()}
+        for pdf in batches:
+            points = pdf[names].to_numpy(dtype=float)
+            norm = (points**2).sum(1)
+            for i, centres in sets.items():
+                at, gap = _nearest_centre(points, centres)
+                for j, weight in enumerate([None, norm + gap, *points.T]):
+                    held[i][:, j] += np.bincount(at, weights=weight, minlength=len(centres))
+        for i, table in held.items():
+            yield pd.DataFrame(table, columns=["n", "cost", *sums]).assign(set=i, centre=np.arange(len(table)))
+
+    kinds = "n double, cost double, " + ", ".join(f"{c} double" for c in sums) + ", set int, centre int"
+    totals = data.select(*names).mapInPandas(assign, kinds).groupBy("set", "centre")
+    return totals.agg(*[F.sum(c).alias(c) for c in ("n", "cost", *sums)]).toPandas()  # a row per centre
+
+
+def _fit_kmeans(data: DataFrame, columns: Sequence[str], ks: Sequence[int], n_init: int, variance: float) -> dict[int, np.ndarray]:
+    """The centres of lowest cost over ``n_init`` starts, for each k; all starts of all k share every pass over the rows.
+
+    Starts are drawn from the ``KMEANS_POOL`` rows of lowest hash. A start ends when the squared moves of its centres sum to at
+    most 1e-4 of the mean feature variance; a centre without rows stays where it is.
     """
-    tol = max(math.sqrt(KMEANS_TOLERANCE * variance / k), 1e-12)
-    start = lambda i: KMeans(k=k, seed=SEED + i, maxIter=MAX_ITER, tol=tol, featuresCol="features").fit(data)
-    models = in_parallel([lambda i=i: start(i) for i in range(n_init)])
-    return min(models, key=lambda m: m.summary.trainingCost)
+    names = list(columns)
+    pool = data.orderBy(F.xxhash64(*names), *names).limit(KMEANS_POOL).select(*names).toPandas().to_numpy(dtype=float)
+    if not len(pool):
+        return {k: np.zeros((k, len(names))) for k in ks}
+    plans = [(k, start) for k in ks for start in range(n_init)]
+    centres = {i: _plus_plus(pool, k, SEED + start) for i, (k, start) in enumerate(plans)}
+    cost = dict.fromkeys(centres, math.inf)
+    active = set(centres)
+    for _ in range(MAX_ITER):
+        totals = _kmeans_round(data, names, {i: centres[i] for i in sorted(active)})
+        for i, own in totals.groupby("set"):
+            own = own.sort_values("centre")
+            n = own["n"].to_numpy()
+            new = np.where(n[:, None] > 0, own.iloc[:, 4:].to_numpy() / np.maximum(n, 1)[:, None], centres[i])
+            moved, cost[i], centres[i] = float(((new - centres[i]) ** 2).sum()), float(own["cost"].sum()), new
+            if moved <= KMEANS_TOLERANCE * variance:
+                active.discard(i)
+        if not active:
+            break
+    best = {k: min((i for i, p in enumerate(plans) if p[0] == k), key=lambda i: (cost[i], i)) for k in ks}
+    return {k: centres[i] for k, i in best.items()}
+
+
+def _with_cluster(df: DataFrame, columns: Sequence[str], centres: np.ndarray, label: str) -> DataFrame:
+    """Add the number of each row's nearest centre."""
+
+    @F.pandas_udf("int")
+    def nearest(*values: pd.Series) -> pd.Series:
+        points = np.stack([v.to_numpy(dtype=float) for v in values], 1)
+        return pd.Series(_nearest_centre(points, centres)[0].astype(np.int32))
+
+    return df.withColumn(label, nearest(*[F.col(c) for c in columns]))
 
 
 def _argbest(values: list[float | None], best) -> int:
@@ -166,13 +235,13 @@ def choose_k(ks: Sequence[int], inertia: list[float], silhouette: list, davies:
 
 
 def kmeans_select_k(
-    matrix: DataFrame, columns: Sequence[str], ks: Sequence[int] = K_RANGE, n_init: int = 1
+    matrix: DataFrame, columns: Sequence[str], ks: Sequence[int] = K_RANGE, n_init: int = STARTS
 ) -> DataFrame:
     """Scores for each k, with flags for the k chosen by each criterion and by their vote."""
-    data, variance = vectors(matrix, columns), _mean_variance(matrix, columns)
+    data = spread(cut_lineage(matrix))
     labelled = data
-    for k, model in zip(ks, in_parallel([lambda k=k: _fit_kmeans(data, k, n_init, variance) for k in ks])):
-        labelled = model.setPredictionCol(f"k{k}").transform(labelled)
+    for k, centres in _fit_kmeans(data, columns, ks, n_init, _mean_variance(data, columns)).items():
+        labelled = _with_cluster(labelled, columns, centres, f"k{k}")
     quality = label_quality(labelled, columns, [f"k{k}" for k in ks])
     scores = [_scores(quality[quality["labelling"] == f"k{k}"], columns) for k in ks]
     best, elbow, silhouette, davies = choose_k(
@@ -190,13 +259,13 @@ def kmeans_select_k(
     return matrix.sparkSession.createDataFrame(rows, schema)
 
 
-def kmeans_labels(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = 1) -> DataFrame:
+def kmeans_labels(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = STARTS) -> DataFrame:
     """The matrix with its ``cluster``."""
-    data = vectors(matrix, columns)
-    return _fit_kmeans(data, k, n_init, _mean_variance(matrix, columns)).setPredictionCol("cluster").transform(data).drop("features")
+    data = spread(cut_lineage(matrix))
+    return _with_cluster(data, columns, _fit_kmeans(data, columns, [k], n_init, _mean_variance(data, columns))[k], "cluster")
 
 
-def kmeans_fit(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = 1) -> DataFrame:
+def kmeans_fit(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = STARTS) -> DataFrame:
     """Size, share, silhouette and centre of each cluster, next to the scores of the whole clustering."""
     quality = label_quality(kmeans_labels(matrix, columns, k, n_init), columns, ["cluster"])
     scores = _scores(quality, columns)
@@ -337,7 +406,7 @@ def _criteria(log_likelihood: float, k: int, d: int, n: int) -> tuple[float, flo
 
 
 def gmm_select(
-    matrix: DataFrame, columns: Sequence[str], ks: Sequence[int] = K_RANGE, n_init: int = 1
+    matrix: DataFrame, columns: Sequence[str], ks: Sequence[int] = K_RANGE, n_init: int = STARTS
 ) -> DataFrame:
     """BIC and AIC for each number of components; the lowest BIC is chosen."""
     data, d = _mixture_input(matrix, columns)

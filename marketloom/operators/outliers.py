@@ -196,18 +196,15 @@ def _grow_tree(columns: list[str], pdf: pd.DataFrame) -> pd.DataFrame:
 def _grow_forest(rows: DataFrame, columns: Sequence[str], key: str) -> tuple[list[dict[str, np.ndarray]], int]:
     """Trees grown in parallel on repeatable samples; the node tables, at most 511 rows a tree, come to the driver."""
     wanted = TREES * TREE_ROWS
-    pool = sample_rows(rows.select(key, *columns), wanted, key)
-    if pool.count() == wanted:
-        # Enough rows for disjoint samples. The window covers the pool, a fixed number of rows.
-        dealt = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.xxhash64(key), key)) - 1
-        drawn = pool.withColumn("_order", dealt).withColumn("tree", (F.col("_order") % TREES).cast("int"))
-    else:
-        order = Window.partitionBy("tree").orderBy(F.xxhash64(key, "tree"), key)
-        drawn = (
-            pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
-            .withColumn("_order", F.row_number().over(order))
-            .where(F.col("_order") <= TREE_ROWS)
-        )
+    pool = cut_lineage(sample_rows(rows.select(key, *columns), wanted, key))
+    held = pool.count()
+    # The pool, a fixed number of rows at most, is dealt in turn: each tree takes the next rows, from the start again at the end.
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.xxhash64(key), key)) - 1
+    mine = F.filter(
+        F.sequence(F.lit(0), F.lit(TREES - 1)),
+        lambda t: F.pmod(F.col("_order") - t * TREE_ROWS, F.lit(max(held, 1))) < min(TREE_ROWS, held),
+    )
+    drawn = pool.withColumn("_order", place).withColumn("tree", F.explode(mine))
     names = list(columns)
     nodes = (
         drawn.groupBy("tree")

@@ -334,7 +334,7 @@ on_listings("qq_correlation", lambda df: dist.qq_correlation(df, NUMERIC_COLUMNS
 
 # --- correlation ---------------------------------------------------------------------------------------------------------------
 
-on_listings("pearson_matrix", lambda df: corr.pearson_matrix(df, NUMERIC_COLUMNS).drop("p_value"), r=6)
+on_listings("pearson_matrix", lambda df: corr.pearson_matrix(df, NUMERIC_COLUMNS), r=6, p_value=6)
 on_listings("spearman_matrix", lambda df: corr.spearman_matrix(df, NUMERIC_COLUMNS), rho=6)
 on_listings("kendall_matrix", lambda df: corr.kendall_pairs(df, ["supplier_rating", "quality_score"]), tau=6)
 on_listings("kendall_sampled", lambda df: corr.kendall_matrix(groups.sample_rows(df, 1000), NUMERIC_COLUMNS), tau=6)
@@ -346,20 +346,22 @@ on_listings("strong_correlations", lambda df: corr.strong_correlations(df, NUMER
 
 on_listings(
     "anova",
-    lambda df: hypo.anova(df).drop("p_value", "is_significant"),
+    hypo.anova,
     f_statistic=4,
+    p_value=6,
     eta_squared=8,
     omega_squared=8,
 )
-on_listings("kruskal", lambda df: hypo.kruskal(df).select("h_statistic"), h_statistic=4)
+on_listings("kruskal", hypo.kruskal, h_statistic=4, p_value=6)
 on_listings("mann_whitney_pairs", lambda df: hypo.mann_whitney_pairs(df).drop("is_significant"), p_value=6)
-on_listings("levene", lambda df: hypo.levene(df).select("statistic"), statistic=4)
-on_listings("bartlett", lambda df: hypo.bartlett(df).select("statistic"), statistic=4)
-on_listings("fligner", lambda df: hypo.fligner(df).select("statistic"), statistic=4)
+on_listings("levene", hypo.levene, statistic=4, p_value=6)
+on_listings("bartlett", hypo.bartlett, statistic=4, p_value=6)
+on_listings("fligner", hypo.fligner, statistic=4, p_value=6)
 on_listings(
     "chi_square",
-    lambda df: hypo.chi_square(df).drop("p_value", "is_significant"),
+    hypo.chi_square,
     chi2_statistic=6,
+    p_value=6,
     cramers_v=8,
 )
 

@@ -39,3 +39,20 @@ def test_tails_against_published_points():
 
 def test_large_shapes_converge():
     assert float(S.gamma_tail(1e6, 1e6)) == pytest.approx(0.49986702, abs=1e-6)
+
+
+def test_sql_of_the_normal_distribution_equals_the_standard_library():
+    from statistics import NormalDist
+
+    import duckdb
+
+    from checks import sqlmath
+
+    con = duckdb.connect()
+    for x in [i / 7 for i in range(-60, 61)]:
+        upper, lower = con.execute(f"SELECT {sqlmath.sf(f'({x!r}::double)')}, {sqlmath.cdf(f'({x!r}::double)')}").fetchone()
+        assert math.isclose(upper, math.erfc(x / math.sqrt(2)) / 2, rel_tol=1e-12)
+        assert math.isclose(lower, math.erfc(-x / math.sqrt(2)) / 2, rel_tol=1e-12)
+    for p in [1e-12, 1e-6, 0.01, 0.074, 0.076, 0.3, 0.5, 0.8, 0.99, 1 - 1e-9]:
+        got = con.execute(f"SELECT {sqlmath.ppf(f'({p!r}::double)')}").fetchone()[0]
+        assert math.isclose(got, NormalDist().inv_cdf(p), rel_tol=1e-9, abs_tol=1e-12)
