@@ -157,3 +157,32 @@ def mixing(fills: int = 3) -> str:
 
 
 MIXING = mixing()
+
+_GROUP = "CAST('0x' || substr(sha1(payload), {at}, 10) AS BIGINT)"
+BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (({_GROUP.format(at=1 + 10 * g)} >> {35 - 5 * j}) & 31) AS INT), 1)"
+    for g in range(4)
+    for j in range(8)
+)
+
+WARC = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {BASE32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p
+"""
+
+CHAT = """
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|im_start|><|im_sep|><|im_end|>') + length(role) + length(text)
+           + len(regexp_extract_all(role, '<\\\\*\\|')) + len(regexp_extract_all(text, '<\\\\*\\|'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""

@@ -28,7 +28,7 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.write(warc.bundles(table(spark, sf_dir, "pages").select("page_id", "url", "html")), folder)
-    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "frame", "offset")
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +84,8 @@ QUERIES = {
 ORACLE = {
     "op2_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op3_near_dedup": oracles.NEAR_DEDUP,
+    "op4_warc": oracles.WARC,
+    "op5_chat": oracles.CHAT,
     "op7_mixing": oracles.MIXING,
     "op8_decontaminate": oracles.DECONTAMINATE,
     "op9_licenses": oracles.LICENSES,
