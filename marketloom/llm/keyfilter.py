@@ -17,23 +17,32 @@ BITS = 1 << 25
 PAGE = 1 << 15
 
 
-def maybe_among(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """The rows whose ``key``, a 64-bit hash, may be among the column of the same name of ``keys``."""
-    place = F.pmod(F.col(key), F.lit(BITS))
+def key_bitmap(keys: DataFrame, key: str, bits: int = BITS) -> np.ndarray:
+    """Bits set at the place of each 64-bit hash in the column ``key``."""
+    place = F.pmod(F.col(key), F.lit(bits))
     pages = (
         keys.select(key)
         .groupBy(F.shiftright(place, 15).alias("page"))
         .agg(F.bitmap_construct_agg((place % PAGE).cast("long")).alias("bits"))
-        .collect()  # at most BITS / 8 bytes
+        .collect()  # at most bits / 8 bytes
     )
-    bitmap = np.zeros((BITS // PAGE, PAGE // 8), np.uint8)
+    bitmap = np.zeros((bits // PAGE, PAGE // 8), np.uint8)
     for page in pages:
         bitmap[page["page"]] = np.frombuffer(bytes(page["bits"]), np.uint8)
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap.reshape(-1))
+    return bitmap.reshape(-1)
+
+
+def maybe_set(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = np.mod(keys, len(bitmap) * 8)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def maybe_among(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows whose ``key``, a 64-bit hash, may be among the column of the same name of ``keys``."""
+    shared = rows.sparkSession.sparkContext.broadcast(key_bitmap(keys, key))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.mod(batch.column(key).to_numpy(zero_copy_only=False).astype(np.int64), BITS)
-            yield batch.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+            yield batch.filter(pa.array(maybe_set(shared.value, batch.column(key).to_numpy(zero_copy_only=False).astype(np.int64))))
 
     return rows.mapInArrow(run, rows.schema)

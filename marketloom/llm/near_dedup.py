@@ -6,9 +6,11 @@ keeps the smallest point it has seen, and its value is the truncated logarithm o
 two values (``merged``), and two sets agree in a register with a probability that follows their similarity.
 
 Bands of register values put classes into buckets. In a bucket every class is compared with the bucket's most central
-one, so a bucket of any size gives as many pairs as it has members; classes of a bucket that are still in different
-components after that are compared pair by pair, so no link is lost by the hub. A pair is first judged by the likelihood of its register comparisons
-(``joint_estimate``, dropped only ``MARGIN`` standard errors below the threshold), then confirmed on the full sets.
+one, so a bucket of any size gives as many pairs as it has members. Such a pair is judged by the likelihood of its register
+comparisons (``joint_estimate``, dropped only ``MARGIN`` standard errors below the threshold), then confirmed on the full
+sets. Classes that are still in another component than a class of their bucket get an exact join on the full sets (``rest_pairs``):
+shingles are ordered from rare to frequent, only the first of each set are joined, and a pair is a candidate only if the shingles behind
+its first common one can still reach the threshold. So no link is lost by the hub, and no group gives all its pairs.
 
 With 32 bands of 6 registers a pair at the threshold of 0.85 shares no band with a probability below 1e-7.
 
@@ -26,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.llm.keyfilter import key_bitmap, maybe_among, maybe_set
 from marketloom.llm.words import Words, grams, mix, slices
 from marketloom.operators.components import connected_components
 from marketloom.session import cut_lineage
@@ -39,6 +42,8 @@ RATE = 20.0
 TOP = 254
 MARGIN = 6.0
 HUB_ROWS = 500
+COUNTERS = 1 << 16
+REPEATED_BITS = 1 << 27
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SKETCHES = "doc_id long, code long, digest binary, n_shingles long, registers binary"
 
@@ -219,6 +224,59 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, shingl
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
+def rest_pairs(texts: DataFrame, apart: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """(hub, node): pairs of ``apart`` (node, comp) in different components whose sets may be similar enough.
+
+    A prefix join with a positional bound. Shingles that no other set of ``apart`` holds come first, so a set with too many of
+    them is ruled out by their number; then rare ones, by counts in a table of fixed size. Any order is right: what the fixed-size
+    tables can't tell apart only makes the join larger.
+    """
+    held = texts.join(apart, "node").select("node", "comp", "text")
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(rows.column("text"), shingle)[1].view(np.int64))], names=["shingle"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            place = np.mod(batch.column("shingle").to_numpy(), COUNTERS)
+            total += np.bincount(place, weights=batch.column("n").to_numpy(), minlength=COUNTERS).astype(np.int64)
+        slot = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], names=["slot", "n"])
+
+    repeated = held.select("text").mapInArrow(tokens, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    repeated = cut_lineage(repeated)
+    frequency = np.zeros(COUNTERS, np.int64)
+    for r in repeated.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # COUNTERS rows
+        frequency[r["slot"]] = r["n"]
+    shared = texts.sparkSession.sparkContext.broadcast((frequency, key_bitmap(repeated, "shingle", REPEATED_BITS)))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, "text"):
+            text, code = shingle_sets(rows.column("text"), shingle)
+            frequency, repeated_bits = shared.value
+            key = code.view(np.int64)
+            order = np.lexsort((code, frequency[np.mod(key, COUNTERS)], maybe_set(repeated_bits, key), text))
+            text, code = text[order], code[order]
+            size = np.bincount(text, minlength=rows.num_rows)
+            place = np.arange(len(text)) - np.searchsorted(text, np.arange(rows.num_rows))[text]
+            keep = place <= size[text] - -(-size[text] * percent // 100)
+            take = pa.array(text[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(code[keep].view(np.int64)), rows.column("node").take(take), rows.column("comp").take(take), pa.array(place[keep]), pa.array(size[text[keep]])],
+                names=["shingle", "node", "comp", "place", "size"],
+            )
+
+    entries = held.mapInArrow(prefixes, "shingle long, node binary, comp binary, place long, size long")
+    side = lambda s: entries.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "comp", "place", "size")])
+    left, right = side("a"), side("b")
+    reach = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) * (100 + percent)
+    possible = (F.col("comp_a") < F.col("comp_b")) & (reach >= percent * (F.col("size_a") + F.col("size_b")))
+    possible = possible & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
+    return left.join(right, "shingle").where(possible).select(F.col("node_a").alias("hub"), F.col("node_b").alias("node")).distinct()
+
+
 def components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """Per row: doc_id, code of its text, n_shingles, component_id (smallest id reachable by links), kept."""
     rows = cut_lineage(document_sketches(docs, shingle))
@@ -246,25 +304,16 @@ def components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE)
     candidates = cut_lineage(likely(stars, classes, percent))
     wanted = central.select("node").join(classes.select("node", "own.*"), "node")
     key = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("code"), "text")
+    key = maybe_among(key, "code", wanted.select("code"))
     same = key["doc_id"].eqNullSafe(wanted["doc_id"]) & (key["code"] == wanted["code"])
     texts = cut_lineage(key.join(wanted, same).select("node", "text").dropDuplicates(["node"]))
     links = cut_lineage(confirmed(candidates, texts, percent, shingle))
     reached = connected_components(central.select("node"), links)
-    # what the hubs left apart: pairs of one bucket in different components, whole
-    apart = members.join(reached, "node")
-    split = apart.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("bucket")
-    side = lambda name, comp: apart.join(split, "bucket").select("bucket", F.col("node").alias(name), F.col("comp").alias(comp))
-    rest = (
-        side("hub", "comp_a")
-        .join(side("node", "comp_b"), "bucket")
-        .where(F.col("comp_a") < F.col("comp_b"))
-        .select("hub", "node")
-        .distinct()
-    )
-    rest = rest.join(candidates, ["hub", "node"], "left_anti").join(
-        candidates.select(F.col("hub").alias("node"), F.col("node").alias("hub")), ["hub", "node"], "left_anti"
-    )
-    more = cut_lineage(confirmed(cut_lineage(likely(rest, classes, percent)), texts, percent, shingle))
+    # what the hubs left apart: classes of buckets with several components
+    placed = members.join(reached, "node")
+    split = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("bucket")
+    apart = cut_lineage(placed.join(split, "bucket").select("node", "comp").distinct())
+    more = cut_lineage(confirmed(cut_lineage(rest_pairs(texts, apart, percent, shingle)), texts, percent, shingle))
     if more.limit(1).count():
         reached = connected_components(central.select("node"), links.unionByName(more))
     named = reached.join(classes.select("node", "least"), "node")
