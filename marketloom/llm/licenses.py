@@ -7,8 +7,8 @@ so that s is at least ``LEAST_SIMILARITY``: a window with the template shares a
 which is above 0.9999. What a band retrieves is verified exactly: the share of the template's shingles found in the window.
 
 Before any window is cut, a text must hold a word of each template's ``marker``: words chosen such that without any of them more
-shingles would be missing than the containment allows, so no match is lost. The templates are a table of parameters, small
-enough for every plan to hold them.
+shingles would be missing than the containment allows, so no match is lost. The templates are parameters; up to ``BROADCAST_CHARS``
+characters of them are joined by broadcast, more by a shuffle.
 
 Words are runs of letters and digits, lower-cased; nulls and texts without words match nothing. Rows that repeat a doc_id are scanned
 each by its own text, and equal rows give equal results. A template of fewer words than a shingle is refused.
@@ -17,7 +17,7 @@ each by its own text, and equal rows give equal results. A template of fewer wor
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 SHINGLE = 2
 BANDS = 16
 LEAST_SIMILARITY = 0.45
+BROADCAST_CHARS = 1 << 20
 CONTAINMENT = 0.8
 
 # fixed values: the notices that the scan looks for
@@ -70,23 +71,23 @@ def _lowered(text: str) -> Column:
     return F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _hashes(words: Column) -> Column:
-    """Codes of the distinct shingles of an array of words."""
-    pairs = F.zip_with(
-        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-        F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
-    )
-    return F.array_distinct(pairs)
+def _pairs(words: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """``join`` of each word and the next one."""
+    rest = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, rest), F.slice(words, 2, rest), join)
+
 
+def shingles(words: Column) -> Column:
+    return F.array_distinct(_pairs(words, lambda a, b: F.concat_ws(" ", a, b)))
 
-def bands(shingles: Column, n: int = BANDS) -> Column:
-    """The MinHash value of each band."""
 
-    def value(band: int) -> Column:
-        return F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, F.lit(band))))
+def bands(words: Column, n: int = BANDS) -> Column:
+    """The MinHash value of each band: the smallest seeded code of the shingles of an array of words."""
 
-    return F.array(*[value(i) for i in range(n)])
+    def value(codes: Column, band: int) -> Column:
+        return F.array_min(F.transform(codes, lambda c: F.xxhash64(c, F.lit(band))))
+
+    return F.transform(F.array(_pairs(words, lambda a, b: F.xxhash64(a, b))), lambda codes: F.array(*[value(codes, i) for i in range(n)]))[0]
 
 
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
@@ -103,9 +104,12 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment:
     texts = docs.where(F.col("text").isNotNull() & possible).select(
         "doc_id", F.xxhash64("text").alias("code"), F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)).alias("words")
     )
-    known = spark.createDataFrame(
-        [(name, len(words), _shingles(words)) for name, words in split.items()], "license string, length int, wanted array<string>"
-    ).withColumn("bands", bands(F.col("wanted")))
+    known = (
+        spark.createDataFrame([(name, len(words), words) for name, words in split.items()], "license string, length int, words array<string>")
+        .select("license", "length", shingles(F.col("words")).alias("wanted"), F.posexplode(bands(F.col("words"))).alias("band", "value"))
+    )
+    if sum(map(len, templates.values())) <= BROADCAST_CHARS:
+        known = F.broadcast(known)
     lengths = sorted({len(w) for w in split.values()})
     grid = F.array(*[F.struct(F.lit(n).alias("length"), F.lit(geometry(n)[0]).alias("window"), F.lit(geometry(n)[1]).alias("stride")) for n in lengths])
     windows = (
@@ -113,13 +117,12 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment:
         .select("doc_id", "code", "words", F.explode(grid).alias("g"))
         .select("doc_id", "code", "words", "g.*")
         .withColumn("at", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - F.col("window") + F.col("stride") - 1, F.lit(0)), F.col("stride"))))
-        .select("doc_id", "code", "length", "at", _hashes(F.slice("words", F.col("at") + 1, F.col("window"))).alias("found"))
+        .select("doc_id", "code", "length", "at", F.slice("words", F.col("at") + 1, F.col("window")).alias("part"))
     )
-    banded = windows.select("*", F.posexplode(bands(F.col("found"))).alias("band", "value"))
     retrieved = (
-        banded.join(known.select("license", "length", "wanted", F.posexplode("bands").alias("band", "value")), ["length", "band", "value"])
-        .select("doc_id", "code", "license", "at", "found", "wanted")
-        .withColumn("containment", F.size(F.array_intersect("wanted", "found")) / F.size("wanted"))
+        windows.select("*", F.posexplode(bands(F.col("part"))).alias("band", "value"))
+        .join(known, ["length", "band", "value"])
+        .withColumn("containment", F.size(F.array_intersect("wanted", shingles(F.col("part")))) / F.size("wanted"))
         .where(F.col("containment") >= containment)
     )
     return retrieved.select("doc_id", "code", "license", F.col("at").cast("long").alias("first_word"), "containment").distinct()
