@@ -1,13 +1,17 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine of whole texts, and of the terms that mark toxic examples.
 
-``fit`` takes a bounded sample of labelled rows (``per_class`` of each label, by key hash), chooses as terms the words and
-word beginnings that mark toxic examples (by a likelihood ratio), counts their document frequencies over *all* documents, and packs the
-examples' vectors into blocks with, for each term, the largest weight in the block. ``score`` computes every document's vector
-from its whole text and visits blocks from the highest bound down until no block can hold a nearer example, so the ``k``
-nearest are exact. Votes weigh with nearness; a logistic curve fitted on leave-one-out votes turns them into probabilities.
+``fit`` takes a bounded sample of labelled rows (``per_class`` of each label, by key hash). Two votes of the ``k`` nearest examples
+are taken, and a logistic curve fitted on leave-one-out votes turns both into a probability:
 
-Nulls: a null text is an empty text; rows without label or key are no examples; without examples every score is 0.5 times
-the toxic share (0 if there is none). A document that holds none of the terms is judged by the examples that hold none either.
+* over whole texts (``Texts``): the vectors hold every word. Document frequencies are counted over *all* documents, those of words
+  that no example holds too, as these words are part of a document's norm. Cosines with all examples are summed from
+  posting lists, those of frequent words as one matrix product. The evidence is taken from here.
+* over markers (``Examples``): the words and word beginnings that mark toxic examples (by a likelihood ratio). Blocks of examples are
+  visited from the highest bound down until none can hold a nearer example. A document that holds no marker is judged here by
+  the examples that hold none either.
+
+Nulls: a null text is an empty text; rows without label or key are no examples; without examples of both labels every score is
+the toxic share of the examples (0 without any). A text without a word that an example holds has no neighbours.
 Rows with one doc_id are scored each by its own text. Ties between equally near examples go to the lower example number.
 Other columns are carried along; those named like a column made here are replaced.
 """
@@ -19,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +40,10 @@ BLOCK = 64
 NEAR = 0.05
 PRIOR = 0.5
 FOLDS = 5
-FEATURES = "row_id long, toxic int, terms array<long>, counts array<int>"
+COMMON = 16  # a word of more than one in so many examples is a row of the matrix
+ROWS = 128
+FEATURES = "row_id long, toxic int, terms array<long>, counts array<int>, words array<long>, word_counts array<int>"
+MADE = ("slots", "counts", "word_slots", "word_counts", "rest", "rest_counts", "row_at", "rest_square", "score", "predicted", "evidence", "held_out")
 
 
 def fold(doc_id: str = "doc_id") -> F.Column:
@@ -43,13 +51,13 @@ def fold(doc_id: str = "doc_id") -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS
 
 
-def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text, term code) of every word and of the beginning of every longer word."""
+def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
+    """(text, term code) of every word, then of the beginning of every longer word; the number of words."""
     words = Words(column, ALPHANUMERIC, lower=True)
     codes, text = words.codes(), words.text
     long = words.end - words.start > PREFIX_BYTES
     prefixes = mix(words.codes(PREFIX_BYTES)[long] ^ np.uint64(0x5DEECE66D))
-    return np.concatenate([text, text[long]]), np.concatenate([codes, prefixes])
+    return np.concatenate([text, text[long]]), np.concatenate([codes, prefixes]), len(codes)
 
 
 def counted(text: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,47 +77,153 @@ def _lists(text: np.ndarray, values: np.ndarray, texts: int, kind: pa.DataType)
 
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in slices(batches, "text"):
-        text, term, count = counted(*text_terms(rows.column("text")))
-        yield pa.RecordBatch.from_arrays(
-            [
-                rows.column("row_id"),
-                rows.column("toxic"),
-                _lists(text, signed(term), rows.num_rows, pa.int64()),
-                _lists(text, count, rows.num_rows, pa.int32()),
-            ],
-            names=["row_id", "toxic", "terms", "counts"],
-        )
-
-
-def document_vectors(docs: DataFrame, terms: np.ndarray) -> DataFrame:
-    """``docs`` without its texts, with the counts of ``terms`` (sorted codes) in each whole text: slots and counts."""
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
-    kept = docs.drop("text", "slots", "counts")
+        texts, terms, words = text_terms(rows.column("text"))
+        columns = [rows.column("row_id"), rows.column("toxic")]
+        for upto in (len(terms), words):
+            text, term, count = counted(texts[:upto], terms[:upto])
+            columns += [_lists(text, signed(term), rows.num_rows, pa.int64()), _lists(text, count, rows.num_rows, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["row_id", "toxic", "terms", "counts", "words", "word_counts"])
+
+
+def _slots(wanted: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each code in ``wanted`` (sorted), and whether it is there."""
+    if not len(wanted):
+        return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
+    slot = np.minimum(np.searchsorted(wanted, codes), len(wanted) - 1)
+    return slot, wanted[slot] == codes
+
+
+def document_vectors(docs: DataFrame, terms: np.ndarray, vocabulary: np.ndarray) -> DataFrame:
+    """``docs`` without texts, with the counts of ``terms`` and of every word in each whole text: words of ``vocabulary`` by slot,
+    the rest by code (both arguments are sorted codes). ``row_at`` numbers the rows; store the result before it is used."""
+    shared = docs.sparkSession.sparkContext.broadcast((terms, vocabulary))
+    kept = docs.drop("text", *MADE)
     names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
+        wanted, known = shared.value
         present = np.zeros(1 << 20, bool)
         present[(wanted & np.uint64(0xFFFFF)).astype(np.int64)] = True
+        at = TaskContext.get().partitionId() << 40
         for rows in slices(batches, "text"):
-            text, term = text_terms(rows.column("text"))
-            maybe = present[(term & np.uint64(0xFFFFF)).astype(np.int64)]
-            text, term = text[maybe], term[maybe]
-            slot = np.minimum(np.searchsorted(wanted, term), max(len(wanted) - 1, 0))
-            if len(wanted):
-                hit = wanted[slot] == term
-                text, slot = text[hit], slot[hit]
-            text, slot, count = counted(text, slot)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(n) for n in names]
-                + [_lists(text, slot, rows.num_rows, pa.int32()), _lists(text, count, rows.num_rows, pa.int32())],
-                names=[*names, "slots", "counts"],
-            )
-
-    schema = widened(kept.schema.fields, "slots array<int>, counts array<int>")
+            n = rows.num_rows
+            texts, codes, words = text_terms(rows.column("text"))
+            maybe = present[(codes & np.uint64(0xFFFFF)).astype(np.int64)]
+            slot, hit = _slots(wanted, codes[maybe])
+            marks = counted(texts[maybe][hit], slot[hit])
+            text, code, count = counted(texts[:words], codes[:words])
+            slot, hit = _slots(known, code)
+            by_slot = np.lexsort((slot[hit], text[hit]))
+            lists = [
+                _lists(marks[0], marks[1], n, pa.int32()),
+                _lists(marks[0], marks[2], n, pa.int32()),
+                _lists(text[hit], slot[hit][by_slot], n, pa.int32()),
+                _lists(text[hit], count[hit][by_slot], n, pa.int32()),
+                _lists(text[~hit], signed(code[~hit]), n, pa.int64()),
+                _lists(text[~hit], count[~hit], n, pa.int32()),
+                pa.array(np.arange(at, at + n)),
+            ]
+            at += n
+            yield pa.RecordBatch.from_arrays([rows.column(c) for c in names] + lists, names=[*names, *MADE[:7]])
+
+    schema = widened(
+        kept.schema.fields,
+        "slots array<int>, counts array<int>, word_slots array<int>, word_counts array<int>, rest array<long>, rest_counts array<int>, row_at long",
+    )
     return docs.select(*names, "text").mapInArrow(run, schema)
 
 
+def with_rest_square(rows: DataFrame, n_docs: int) -> DataFrame:
+    """``rows`` with the square that the words outside the vocabulary add to their vectors' norms."""
+    each = rows.select("row_at", F.explode(F.arrays_zip("rest", "rest_counts")).alias("v")).select(
+        "row_at", F.col("v.rest").alias("term"), F.col("v.rest_counts").alias("n")
+    )
+    repeated = each.groupBy("term").agg(F.count("*").alias("held")).where(F.col("held") > 1)
+    idf = F.log((n_docs + 1) / (F.coalesce("held", F.lit(1)) + 1)) + 1
+    square = each.join(repeated, "term", "left").groupBy("row_at").agg(F.sum(((1 + F.log("n")) * idf) ** 2).alias("rest_square"))
+    return rows.drop("rest", "rest_counts").join(square, "row_at", "left").fillna(0.0, ["rest_square"])
+
+
+def vote(cosine: np.ndarray, toxic: np.ndarray, total: np.ndarray, prior: float) -> np.ndarray:
+    """Log odds of the distance-weighted votes of the nearest examples."""
+    weight = np.where(cosine > 0, 1.0 / (1.0 - cosine + NEAR), 0.0)
+    yes = (weight * toxic).sum(1) + PRIOR * prior
+    return np.log(yes) - np.log(np.maximum((weight * total).sum(1) + PRIOR - yes, 1e-9))
+
+
+@dataclass
+class Texts:
+    """The examples' whole TF-IDF vectors as posting lists by word; words of many examples as rows of a matrix."""
+
+    idf: np.ndarray
+    first: np.ndarray  # of each word's list, and the end
+    example: np.ndarray
+    weight: np.ndarray
+    common: np.ndarray  # row in the matrix, or -1
+    matrix: np.ndarray  # common word x example
+    toxic: np.ndarray
+    total: np.ndarray
+    keys: np.ndarray
+    prior: float
+
+    @classmethod
+    def of(cls, idf, rows, slots, counts, toxic: np.ndarray, weight: np.ndarray, keys: np.ndarray) -> Texts:
+        """From the examples' counts, given as (row, slot, count) in row order."""
+        n = len(toxic)
+        weights = unit_weights(rows, slots, counts, idf) if len(rows) else np.zeros(0)
+        by_slot = np.lexsort((rows, slots))
+        first = np.searchsorted(slots[by_slot], np.arange(len(idf) + 1))
+        often = np.flatnonzero(np.diff(first) * COMMON > n)
+        common = np.full(len(idf), -1)
+        common[often] = np.arange(len(often))
+        matrix = np.zeros((len(often), n))
+        held = common[slots] >= 0
+        matrix[common[slots[held]], rows[held]] = weights[held]
+        prior = float((weight * toxic).sum() / weight.sum()) if n else 0.0
+        return cls(idf, first, rows[by_slot].astype(np.int32), weights[by_slot], common, matrix, weight * toxic, weight, keys, prior)
+
+    def nearest(self, rows, slots, weights, texts: int, k: int, itself=None) -> tuple[np.ndarray, np.ndarray]:
+        """(example, cosine) of the ``k`` nearest of each of ``texts`` unit vectors; ``itself`` names an example to leave out."""
+        n = len(self.toxic)
+        who, best = np.zeros((texts, k), np.int64), np.full((texts, k), -1.0)
+        if not n or not len(rows):
+            return who, best
+        row = self.common[slots]
+        often = row >= 0
+        asked = np.zeros((texts, len(self.matrix)))
+        asked[rows[often], row[often]] = weights[often]
+        cosine = asked @ self.matrix
+        rows, slots, weights = rows[~often], slots[~often], weights[~often]
+        spans = self.first[slots + 1] - self.first[slots]
+        ends = np.cumsum(spans)
+        pick = np.repeat(self.first[slots] - (ends - spans), spans) + np.arange(ends[-1] if len(ends) else 0)
+        cosine += np.bincount(
+            np.repeat(rows * n, spans) + self.example[pick], np.repeat(weights, spans) * self.weight[pick], texts * n
+        ).reshape(texts, n)
+        if itself is not None:
+            cosine[np.arange(texts), itself] = 0.0
+        least = np.partition(cosine, n - k, axis=1)[:, n - k] if n > k else np.zeros(texts)
+        for i in range(texts):
+            near = np.flatnonzero((cosine[i] >= least[i] - 1e-12) & (cosine[i] > 0))
+            near = near[np.lexsort((near, -np.round(cosine[i, near], 12)))[:k]]
+            who[i, : len(near)], best[i, : len(near)] = near, np.minimum(cosine[i, near], 1.0)
+        return who, best
+
+    def odds(self, who: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+        return vote(cosine, self.toxic[who], self.total[who], self.prior)
+
+    def left_out(self, rows, slots, counts, k: int) -> np.ndarray:
+        """Log odds of each example's vote without itself."""
+        n = len(self.toxic)
+        out = np.zeros(n)
+        weights = unit_weights(rows, slots, counts, self.idf) if len(rows) else np.zeros(0)
+        for lo in range(0, n, ROWS):
+            hi = min(lo + ROWS, n)
+            part = slice(*np.searchsorted(rows, (lo, hi)))
+            out[lo:hi] = self.odds(*self.nearest(rows[part] - lo, slots[part], weights[part], hi - lo, k, np.arange(lo, hi)))
+        return out
+
+
 @dataclass
 class Examples:
     """Distinct example vectors in blocks: (block, term) lists of weights, and the largest weight of each list."""
@@ -122,7 +236,7 @@ class Examples:
     keys: np.ndarray
     empty: tuple[float, float, int]
     prior: float
-    curve: tuple[float, float] = (1.0, 0.0)
+    left_out: np.ndarray | None = None  # log odds of each example's vote without itself
 
     def nearest(self, rows: np.ndarray, slots: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(example, cosine) of the ``k`` nearest of each unit vector, given as (row, slot, weight) in row order."""
@@ -161,43 +275,63 @@ class Examples:
 
     def vote(self, who: np.ndarray, cosine: np.ndarray, less_toxic=0.0, less_total=0.0, itself=None) -> np.ndarray:
         """Log odds of the distance-weighted vote; ``itself`` and the weights to take off serve leave-one-out."""
-        weight = np.where(cosine > 0, 1.0 / (1.0 - cosine + NEAR), 0.0)
         toxic, total = self.toxic[who], self.total[who]
         if itself is not None:
             own = who == itself[:, None]
             toxic = np.maximum(toxic - own * less_toxic, 0.0)
             total = np.maximum(total - own * less_total, 0.0)
-        yes = (weight * toxic).sum(1) + PRIOR * self.prior
-        return np.log(yes) - np.log(np.maximum((weight * total).sum(1) + PRIOR - yes, 1e-9))
+        return vote(cosine, toxic, total, self.prior)
 
-    def probability(self, odds: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(self.curve[0] * odds + self.curve[1], -40, 40)))
+    def without_terms(self, less_toxic=0.0, less_total=0.0) -> np.ndarray:
+        """Log odds among the examples that hold none of the terms."""
+        yes = self.empty[0] - less_toxic + PRIOR * self.prior
+        return np.log(yes) - np.log(np.maximum(self.empty[1] - less_total + PRIOR - yes, 1e-9))
 
 
-def unit_weights(rows: np.ndarray, slots: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+def unit_weights(rows: np.ndarray, slots: np.ndarray, counts: np.ndarray, idf: np.ndarray, rest: np.ndarray | None = None) -> np.ndarray:
+    """TF-IDF weights over the norm of each row's vector, to whose square ``rest`` is added."""
     weights = (1.0 + np.log(counts)) * idf[slots]
     norm = np.zeros(int(rows[-1]) + 1 if len(rows) else 0)
+    if rest is not None:
+        norm += rest[: len(norm)]
     np.add.at(norm, rows, weights**2)
     return weights / np.sqrt(norm[rows]) if len(rows) else weights
 
 
-def _curve(odds: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic curve through smoothed labels, by Newton steps."""
+def _curve(odds: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Slopes of the columns of ``odds``, none below 0, and offset of the logistic curve through smoothed labels, by Newton steps."""
+    start = np.append(np.full(odds.shape[1], 1.0 / max(odds.shape[1], 1)), 0.0)
     yes, no = (weight * toxic).sum(), (weight * (1 - toxic)).sum()
     if yes <= 0 or no <= 0:
-        return 1.0, 0.0
+        return start
     target = np.where(toxic == 1, (yes + 1) / (yes + 2), 1 / (no + 2))
-    x = np.stack([odds, np.ones_like(odds)], 1)
-    beta = np.array([1.0, 0.0])
-    for _ in range(30):
+    x = np.concatenate([odds, np.ones((len(odds), 1))], 1)
+    beta = start.copy()
+
+    def loss(beta: np.ndarray) -> float:
+        z = x @ beta
+        return (weight * (np.logaddexp(0, z) - target * z)).sum() + 0.5e-3 * ((beta - start) ** 2).sum()
+
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -40, 40)))
-        gradient = x.T @ (weight * (p - target)) + 1e-3 * (beta - [1.0, 0.0])
-        curvature = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        gradient = x.T @ (weight * (p - target)) + 1e-3 * (beta - start)
+        curvature = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(beta))
         step = np.linalg.solve(curvature, gradient)
-        beta = beta - np.clip(step, -2, 2)
+        while loss(beta - step) > loss(beta) and np.abs(step).max() >= 1e-8:
+            step /= 2
         if np.abs(step).max() < 1e-8:
             break
-    return (float(beta[0]), float(beta[1])) if beta[0] > 0 else (1.0, 0.0)
+        beta = beta - step
+    wrong = beta[:-1] <= 0
+    if wrong.any():  # a vote that says nothing falls a little when a toxic example is left out
+        beta = start * 0.0
+        use = np.flatnonzero(~wrong)
+        beta[np.append(use, -1)] = _curve(odds[:, use], toxic, weight) if len(use) else np.log(yes / no)
+    return beta
+
+
+def probability(curve: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(odds @ curve[:-1] + curve[-1], -40, 40)))
 
 
 def pack(idf: np.ndarray, rows, slots, counts, toxic: np.ndarray, weight: np.ndarray, keys: np.ndarray) -> Examples:
@@ -226,11 +360,13 @@ def pack(idf: np.ndarray, rows, slots, counts, toxic: np.ndarray, weight: np.nda
         blocks.append((terms, lists))
     empty = (float((weight[nothing] * toxic[nothing]).sum()), float(weight[nothing].sum()), int(keys[nothing[0]]) if nothing else -1)
     index = Examples(idf, bounds, blocks, yes, total, np.array([keys[g[0]] for g in members], np.int64), empty, prior)
+    index.left_out = np.zeros(n)
+    if nothing and 0 < prior < 1:
+        index.left_out[nothing] = index.without_terms((weight * toxic)[nothing], weight[nothing])
     if members:
         group_of = np.full(n, -1)
         for j, g in enumerate(members):
             group_of[g] = j
-        odds, labels, mass = [], [], []
         for lo in range(0, n, 500):
             part = np.arange(lo, min(lo + 500, n))
             part = part[group_of[part] >= 0]
@@ -239,15 +375,12 @@ def pack(idf: np.ndarray, rows, slots, counts, toxic: np.ndarray, weight: np.nda
             spans = first[part + 1] - first[part]
             pick = np.concatenate([np.arange(first[i], first[i + 1]) for i in part])
             who, cosine = index.nearest(np.repeat(np.arange(len(part)), spans), slots[pick], weights[pick], NEIGHBOURS)
-            odds.append(index.vote(who, cosine, (weight * toxic)[part][:, None], weight[part][:, None], group_of[part]))
-            labels.append(toxic[part])
-            mass.append(weight[part])
-        index.curve = _curve(np.concatenate(odds), np.concatenate(labels), np.concatenate(mass))
+            index.left_out[part] = index.vote(who, cosine, (weight * toxic)[part][:, None], weight[part][:, None], group_of[part])
     return index
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_terms: int = MAX_TERMS) -> tuple[np.ndarray, DataFrame]:
-    """(chosen term codes, the sample's vectors); both bounded by ``per_class`` and ``max_terms``."""
+    """(marker codes, at most ``max_terms``; the vectors of at most 2 * ``per_class`` examples, with all their words)."""
     rated = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (fold() != 0))
         .groupBy(F.col("doc_id").alias("row_id"))
@@ -290,60 +423,80 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k:
     """``docs`` without texts, plus held_out, score, predicted and evidence (nearest examples with cosine and votes)."""
     spark = docs.sparkSession
     terms, vectors = fit(docs, labels, per_class)
-    rows = cut_lineage(document_vectors(docs, terms))
+    examples = vectors.select("row_id", "toxic", "words", "word_counts").toArrow()  # at most 2 * per_class texts' words
+    ids, place = np.unique(examples.column("row_id").to_numpy(), return_inverse=True)
+    toxic = np.zeros(len(ids))
+    toxic[place] = examples.column("toxic").to_numpy()
+    vocabulary = np.unique(_flat(examples, "words").view(np.uint64))
+    rows = cut_lineage(document_vectors(docs, terms, vocabulary))
     n_docs = rows.count()
-    frequency = np.zeros(len(terms))
-    for r in rows.select(F.explode("slots").alias("slot")).groupBy("slot").count().collect():  # at most max_terms rows
-        frequency[r["slot"]] = r["count"]
-    idf = np.log((n_docs + 1) / (frequency + 1)) + 1
+
+    def idf(column: str, size: int) -> np.ndarray:
+        found = rows.select(F.explode(column).alias("slot")).groupBy("slot").count().toArrow()  # at most ``size`` rows
+        frequency = np.zeros(size)
+        frequency[found.column("slot").to_numpy()] = found.column("count").to_numpy()
+        return np.log((n_docs + 1) / (frequency + 1)) + 1
+
+    def ordered(at: np.ndarray, slot: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, slot, count) of the examples in row order; of texts with one id the largest count."""
+        order = np.lexsort((-n, slot, at))
+        at, slot, n = at[order], slot[order], n[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1]) | (slot[1:] != slot[:-1])
+        return at[new], slot[new], n[new]
+
+    spans = np.diff(np.asarray(examples.column("words").combine_chunks().offsets))
+    words = ordered(
+        np.repeat(place.astype(np.int32), spans),
+        np.searchsorted(vocabulary, _flat(examples, "words").view(np.uint64)).astype(np.int32),
+        _flat(examples, "word_counts"),
+    )
+    del examples
     wanted = spark.createDataFrame([(int(t), i) for i, t in enumerate(signed(terms))], "term long, slot int")
     found = (
         vectors.select("row_id", F.explode(F.arrays_zip("terms", "counts")).alias("v"))
         .select("row_id", F.col("v.terms").alias("term"), F.col("v.counts").alias("n"))
         .join(F.broadcast(wanted), "term")  # at most max_terms rows
         .select("row_id", "slot", "n")
+        .toArrow()
     )
-    # both bounded: 2 * per_class examples, each with at most max_terms terms
-    people = {r["row_id"]: r["toxic"] for r in vectors.select("row_id", "toxic").collect()}
-    ids = sorted(people)
-    table = found.groupBy("row_id", "slot").agg(F.max("n").alias("n")).toArrow()
-    place = {r: i for i, r in enumerate(ids)}
-    at = np.array([place[r] for r in table.column("row_id").to_pylist()], np.int64)
-    slot = table.column("slot").to_numpy().astype(np.int64)
-    count = table.column("n").to_numpy().astype(np.float64)
-    order = np.lexsort((slot, at))
-    toxic = np.array([people[r] for r in ids], np.float64)
+    marks = ordered(np.searchsorted(ids, found.column("row_id").to_numpy()), *[found.column(c).to_numpy().astype(np.int64) for c in ("slot", "n")])
     totals = {r["toxic"]: r["count"] for r in labels.where(F.col("toxic").isin(0, 1) & (fold() != 0)).groupBy("toxic").count().collect()}
     share = {t: totals.get(t, 0) / max((toxic == t).sum(), 1) for t in (0, 1)}
     weight = np.where(toxic == 1, share[1], share[0])
-    shared = spark.sparkContext.broadcast(pack(idf, at[order], slot[order], count[order], toxic, weight, np.array(ids, np.int64)))
-    kept = [c for c in rows.columns if c not in ("slots", "counts", "score", "predicted", "evidence", "held_out")]
+    markers = pack(idf("slots", len(terms)), *marks, toxic, weight, ids)
+    whole = Texts.of(idf("word_slots", len(vocabulary)), *words, toxic, weight, ids)
+    curve = None
+    if 0 < markers.prior < 1:
+        curve = _curve(np.stack([whole.left_out(*words, k), markers.left_out], 1), toxic, weight)
+    markers.left_out = None
+    base = markers.prior if len(ids) else 0.0
+    shared = spark.sparkContext.broadcast((markers, whole, curve))
+    rows = with_rest_square(rows, n_docs)
+    kept = [c for c in rows.columns if c not in MADE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: Examples = shared.value
-        if index.empty[1] > 0:
-            base = (index.empty[0] + PRIOR * index.prior) / (index.empty[1] + PRIOR)
-        else:
-            base = index.prior * 0.5
+        markers, whole, curve = shared.value
         for big in batches:
-            for lo in range(0, big.num_rows, 500):
-                batch = big.slice(lo, 500)
+            for lo in range(0, big.num_rows, ROWS):
+                batch = big.slice(lo, ROWS)
                 n = batch.num_rows
-                slots, counts = batch.column("slots"), batch.column("counts")
-                spans = np.diff(np.asarray(slots.offsets))
-                row = np.repeat(np.arange(n), spans)
-                slot = slots.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                weights = unit_weights(row, slot, counts.flatten().to_numpy(zero_copy_only=False), index.idf)
-                filled = np.flatnonzero(spans)
-                who, cosine = index.nearest(np.searchsorted(filled, row), slot, weights, k)
+                odds = np.zeros((n, 2))
+                row, slot, count, _ = _listed(batch, "word_slots", "word_counts")
+                rest = batch.column("rest_square").to_numpy(zero_copy_only=False)
+                who, cosine = whole.nearest(row, slot, unit_weights(row, slot, count, whole.idf, rest), n, k)
                 score = np.full(n, base)
-                if len(filled):
-                    score[filled] = index.probability(index.vote(who, cosine))
-                evidence: list = [[{"doc_id": index.empty[2], "cosine": 1.0}] if index.empty[1] else [] for _ in range(n)]
-                for j, i in enumerate(filled):
-                    evidence[i] = [
-                        {"doc_id": int(index.keys[w]), "cosine": float(c)} for w, c in zip(who[j, :3], cosine[j, :3]) if c > 0
-                    ]
+                if curve is not None:
+                    odds[:, 0] = whole.odds(who, cosine)
+                    row, slot, count, filled = _listed(batch, "slots", "counts")
+                    odds[:, 1] = markers.without_terms()
+                    if len(filled):
+                        near = markers.nearest(np.searchsorted(filled, row), slot, unit_weights(row, slot, count, markers.idf), k)
+                        odds[filled, 1] = markers.vote(*near)
+                    score = probability(curve, odds)
+                evidence = [
+                    [{"doc_id": int(whole.keys[w]), "cosine": float(c)} for w, c in zip(who[i, :3], cosine[i, :3]) if c > 0] for i in range(n)
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in kept]
                     + [
@@ -358,3 +511,14 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k:
         [rows.schema[c] for c in kept], "score double, predicted int, evidence array<struct<doc_id:bigint,cosine:double>>"
     )
     return rows.mapInArrow(run, schema).withColumn("held_out", F.coalesce(fold() == 0, F.lit(False)))
+
+
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+
+def _listed(batch: pa.RecordBatch, slots: str, counts: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, count) of two list columns in row order, and the rows with any."""
+    spans = np.diff(np.asarray(batch.column(slots).offsets))
+    values = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in (slots, counts)]
+    return np.repeat(np.arange(batch.num_rows), spans), values[0].astype(np.int64), values[1], np.flatnonzero(spans)

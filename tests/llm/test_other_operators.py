@@ -3,6 +3,8 @@ import hashlib
 import math
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -263,3 +265,27 @@ def test_block_max_search_equals_all_cosines():
         every = full @ vector
         best = np.lexsort((np.arange(len(every)), -np.round(every, 12)))[:5]
         assert who[i].tolist() == best.tolist() and np.allclose(cosine[i], every[best])
+
+
+def test_whole_texts_against_all_cosines(spark):
+    """Cosines over every word, also of words that no example holds; toxic wording too rare for a marker is found."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randint(0, 80)}" for _ in range(rng.randint(3, 30)))) for i in range(200)]
+    rows += [(300 + i, f"{a} {b} sod off back home") for i, (a, b) in enumerate([("blot", "cur"), ("dolt", "cad")])]
+    rows += [(400, "sod off back home unseen words"), (401, "unseen"), (402, "")]
+    held = lambda i: zlib.crc32(str(i).encode()) % toxicity.FOLDS == 0
+    labels = [(i, int(i >= 300)) for i, _ in rows if i < 400]
+    got = {r["doc_id"]: r for r in toxicity.classify(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    ).collect()}
+    terms = {i: Counter(t.split()) for i, t in rows}
+    df = Counter(w for c in terms.values() for w in c)
+    weigh = lambda c: {w: (1 + np.log(n)) * (np.log((len(rows) + 1) / (df[w] + 1)) + 1) for w, n in c.items()}
+    vectors = {i: weigh(c) for i, c in terms.items()}
+    norm = {i: np.sqrt(sum(x * x for x in v.values())) for i, v in vectors.items()}
+    for i, v in vectors.items():
+        full = sorted((-round(sum(x * vectors[j].get(w, 0) for w, x in v.items()) / (norm[i] * norm[j]), 12), j) for j, _ in labels if norm[i] and not held(j))
+        want = [(j, -c) for c, j in full if c < 0][:3]
+        assert [e["doc_id"] for e in got[i]["evidence"]] == [j for j, _ in want]
+        assert [e["cosine"] for e in got[i]["evidence"]] == pytest.approx([c for _, c in want])
+    assert got[400]["evidence"] and got[400]["score"] > got[402]["score"]
