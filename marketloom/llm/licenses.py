@@ -6,7 +6,7 @@ similarity to it of at least s = (L - SHINGLE + 1) / (W - SHINGLE + 1). Each of
 so that s is at least ``LEAST_SIMILARITY``: a window with the template shares a band with a probability of at least 1 - (1 - s)^BANDS,
 which is above 0.9999. What a band retrieves is verified exactly: the share of the template's shingles found in the window.
 
-Before any window is cut, a text must hold a word of each template's ``marker``: words chosen such that without any of them more
+Before windows of a length are cut, a text must hold a word of the ``marker`` of a template of this length: words chosen such that without any of them more
 shingles would be missing than the containment allows, so no match is lost. The templates are parameters; up to ``BROADCAST_CHARS``
 characters of them are joined by broadcast, more by a shuffle.
 
@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ LEAST_SIMILARITY = 0.45
 BROADCAST_CHARS = 1 << 20
 CONTAINMENT = 0.8
 
-# fixed values: the notices that the scan looks for
+# fixed values: the notices that the scan looks for, one-line ones first, then the headers and bodies that licensed files carry
 TEMPLATES = {
     "mit": "Released under the MIT License.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -37,6 +39,51 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
     "following conditions are met",
+    "mit-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to "
+    "use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom "
+    "the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission "
+    "notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT "
+    "WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+    "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES "
+    "OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+    "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
+    "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless "
+    "required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, "
+    "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+    "permissions and limitations under the License.",
+    "gpl-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+    "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+    "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You "
+    "should have received a copy of the GNU General Public License along with this program. If not, see "
+    "http://www.gnu.org/licenses/",
+    "lgpl-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+    "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+    "any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more "
+    "details. You should have received a copy of the GNU Lesser General Public License along with this library",
+    "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+    "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "bsd-3-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+    "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this "
+    "list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND "
+    "CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS "
+    "BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON "
+    "ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY "
+    "WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "isc-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "
+    "AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+    "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE "
+    "OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
 }
 WORD = r"[a-z0-9\x{80}-\x{10FFFF}]+"
 
@@ -96,13 +143,23 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment:
     split = {name: template_words(text) for name, text in templates.items()}
     if not all(len(w) >= SHINGLE for w in split.values()):
         raise ValueError(f"a template has at least {SHINGLE} words")
-    marks = sorted({m for w in split.values() for m in marker(w, containment)})
     lowered = _lowered("text")
-    possible = F.lit(False)
-    for m in marks:
-        possible = possible | F.contains(lowered, F.lit(m))
-    texts = docs.where(F.col("text").isNotNull() & possible).select(
-        "doc_id", F.xxhash64("text").alias("code"), F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)).alias("words")
+    lengths = sorted({len(w) for w in split.values()})
+
+    def possible(length: int) -> Column:
+        marks = sorted({m for w in split.values() if len(w) == length for m in marker(w, containment)})
+        return reduce(or_, [F.contains(F.col("lowered"), F.lit(m)) for m in marks])
+
+    def cut(length: int) -> Column:
+        window, stride = geometry(length)
+        return F.when(possible(length), F.struct(F.lit(length).alias("length"), F.lit(window).alias("window"), F.lit(stride).alias("stride")))
+
+    texts = (
+        docs.where(F.col("text").isNotNull())
+        .select("doc_id", F.xxhash64("text").alias("code"), lowered.alias("lowered"))
+        .withColumn("grid", F.array_compact(F.array(*[cut(n) for n in lengths])))
+        .where(F.size("grid") > 0)
+        .select("doc_id", "code", "grid", F.regexp_extract_all("lowered", F.lit(WORD), F.lit(0)).alias("words"))
     )
     known = (
         spark.createDataFrame([(name, len(words), words) for name, words in split.items()], "license string, length int, words array<string>")
@@ -110,11 +167,9 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment:
     )
     if sum(map(len, templates.values())) <= BROADCAST_CHARS:
         known = F.broadcast(known)
-    lengths = sorted({len(w) for w in split.values()})
-    grid = F.array(*[F.struct(F.lit(n).alias("length"), F.lit(geometry(n)[0]).alias("window"), F.lit(geometry(n)[1]).alias("stride")) for n in lengths])
     windows = (
         texts.where(F.size("words") >= SHINGLE)
-        .select("doc_id", "code", "words", F.explode(grid).alias("g"))
+        .select("doc_id", "code", "words", F.explode("grid").alias("g"))
         .select("doc_id", "code", "words", "g.*")
         .withColumn("at", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - F.col("window") + F.col("stride") - 1, F.lit(0)), F.col("stride"))))
         .select("doc_id", "code", "length", "at", F.slice("words", F.col("at") + 1, F.col("window")).alias("part"))

@@ -208,6 +208,23 @@ def test_licenses(documents):
         licenses.scan(documents([]), {"short": "word"})
 
 
+def test_license_texts_and_headers(documents):
+    """Each real text is found between other words, wrapped as comment lines, and with some words changed."""
+    filler = " ".join(f"w{i}" for i in range(300))
+    long = {n: t for n, t in licenses.TEMPLATES.items() if len(t) > 150}
+    assert {"mit-text", "apache-2.0-header", "gpl-header", "lgpl-header", "mpl-2.0-header", "bsd-3-text", "isc-text"} <= set(long)
+    rows, names = [], {}
+    for i, (name, text) in enumerate(sorted(long.items())):
+        words = text.split()
+        wrapped = "\n".join(" * " + " ".join(words[j : j + 9]) for j in range(0, len(words), 9))
+        changed = " ".join("other" if j % 25 == 24 else w for j, w in enumerate(words))
+        for j, found in enumerate((text, wrapped, changed)):
+            rows.append((10 * i + j, f"{filler[: 70 * j]} {found} {filler}", "s"))
+            names[10 * i + j] = name
+    got = {(r["doc_id"], r["license"]) for r in licenses.licensed(documents(rows)).collect()}
+    assert set(names.items()) <= got
+
+
 @pytest.fixture(scope="module")
 def judged(spark):
     rng = random.Random(4)
