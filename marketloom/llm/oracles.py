@@ -186,3 +186,96 @@ SELECT conv_id, count(*) AS n_turns,
            + len(regexp_extract_all(role, '<\\\\*\\|')) + len(regexp_extract_all(text, '<\\\\*\\|'))) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+
+RUNS = f"""
+WITH keyed AS (
+    SELECT doc_id, {words(SPACED, False)} AS w,
+           xor(4294967295, list_reduce(
+               flatten(list_prepend([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+               lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END
+           )) AS h
+    FROM documents
+),
+placed AS (SELECT *, len(w) AS n, (h // 10) AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) ELSE 0 END AS a FROM keyed),
+repeated AS (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+        list_transform(range(0, n), lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END]) ELSE w END AS w
+    FROM placed
+),
+words AS MATERIALIZED (SELECT doc_id, n, unnest(range(0, n)) AS i, unnest(w) AS word FROM repeated),
+same AS (
+    SELECT x.doc_id, y.i - x.i AS q, x.i AS i
+    FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+),
+stretches AS (
+    SELECT doc_id, q, min(i) AS s, count(*) + q AS l
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same) GROUP BY doc_id, q, island
+),
+runs AS MATERIALIZED (
+    SELECT doc_id, s, l, min(q) AS q FROM stretches WHERE l >= greatest(6, 4 * q) GROUP BY doc_id, s, l
+),
+digests AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+           min(struct_pack(l := -l, s := s, q := q)) AS top
+    FROM runs GROUP BY doc_id
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS k FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(top.s AS BIGINT) AS start, CAST(-top.l AS BIGINT) AS length,
+       CAST(top.q AS BIGINT) AS period, CAST(1000 * -top.l // top.q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k, '')) AS collapsed_sha256
+FROM repeated LEFT JOIN digests USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+GRAM_JOIN = NEAR_DEDUP.replace("w[i:i + 2]", "w[i:i + 4]").replace("len(w) - 2, 1", "len(w) - 4, 1").replace(
+    "100 * c >= 85", "100 * c >= 80"
+).replace(", d.doc_id = component_id AS kept", "")
+
+
+def vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Rounds of exact nearest entries and floored means, as one query each."""
+    nearest = """
+a{r} AS MATERIALIZED (
+    SELECT id, part, min(struct_pack(gap := list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), entry := entry)) AS near
+    FROM v JOIN b{r} b USING (part) GROUP BY id, part
+)"""
+    move = """
+b{n} AS MATERIALIZED (
+    SELECT part, entry, coalesce(m.x, b.x) AS x FROM b{r} b LEFT JOIN (
+        SELECT part, entry, list(mean ORDER BY j) AS x FROM (
+            SELECT part, near.entry AS entry, j, (sum(c) - ((sum(c) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+            FROM (SELECT id, part, unnest(x) AS c, generate_subscripts(x, 1) AS j FROM v) JOIN a{r} USING (id, part)
+            GROUP BY part, near.entry, j
+        ) GROUP BY part, entry
+    ) m USING (part, entry)
+)"""
+    steps = [nearest.format(r=0)]
+    for r in range(rounds):
+        steps += [move.format(r=r, n=r + 1), nearest.format(r=r + 1)]
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS id,
+           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+v AS MATERIALIZED (
+    SELECT id, part, x[part * len(x) // {parts} + 1 : (part + 1) * len(x) // {parts}] AS x FROM kept, range({parts}) AS t(part)
+),
+b0 AS MATERIALIZED (SELECT part, id - 1 AS entry, x FROM v WHERE id <= {entries}),
+{",".join(steps)},
+books AS (
+    SELECT sha256(string_agg(list_aggregate(x, 'string_agg', ','), ',' ORDER BY part, entry)) AS digest FROM b{rounds}
+),
+coded AS (
+    SELECT vec_id, label, string_agg(printf('%02x', near.entry), '' ORDER BY part) AS code, CAST(sum(near.gap) AS BIGINT) AS error
+    FROM a{rounds} JOIN kept USING (id) GROUP BY id, vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM coded, books
+"""
+
+
+VECTOR_CODES = vector_codes()

@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import ann, chat, decontaminate, licenses, mixing, near_dedup, oracles, pii, substring_dedup, toxicity, warc
-from marketloom.session import shared_folder
+from marketloom.llm import ann, chat, decontaminate, gram_join, licenses, mixing, near_dedup, oracles, pii, runs, substring_dedup, toxicity, vector_codes, warc
+from marketloom.session import cut_lineage, shared_folder
 from marketloom.sources.driver_tables import table
 
 
@@ -69,6 +69,53 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """Texts of which a tenth (by the key's crc32) repeat a stretch of their words from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: F.Column) -> F.Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = lambda i: F.when(i >= a, a + (i - a) % p).otherwise(i)
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i).cast("int"))), " "))
+
+    words = F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
+    return docs.withColumn("text", F.when(h % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(F.col("text")))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"].alias("period"))))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))))
+    return found.withColumn("top", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        (-F.col("top.col1")).alias("length"),
+        F.col("top.period").alias("period"),
+        F.floor(-1000 * F.col("top.col1") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_gram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return gram_join.components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = vector_codes.encode(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    found = cut_lineage(found)
+    errors = found.groupBy(F.col("label").alias("of_label")).agg(F.sum("error").alias("label_error"))
+    return found.join(errors, F.col("label").eqNullSafe(F.col("of_label"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256")
+    )
+
+
 QUERIES = {
     "op1_nearest": op1_nearest,
     "op2_substring_dedup": op2_substring_dedup,
@@ -80,6 +127,9 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_licenses": op9_licenses,
     "op10_toxicity": op10_toxicity,
+    "op11_runs": op11_runs,
+    "op12_gram_join": op12_gram_join,
+    "op13_vector_codes": op13_vector_codes,
 }
 ORACLE = {
     "op2_substring_dedup": oracles.SUBSTRING_DEDUP,
@@ -89,4 +139,7 @@ ORACLE = {
     "op7_mixing": oracles.MIXING,
     "op8_decontaminate": oracles.DECONTAMINATE,
     "op9_licenses": oracles.LICENSES,
+    "op11_runs": oracles.RUNS,
+    "op12_gram_join": oracles.GRAM_JOIN,
+    "op13_vector_codes": oracles.VECTOR_CODES,
 }
