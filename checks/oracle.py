@@ -40,6 +40,9 @@ WITH offers AS (
 ), listings AS (SELECT *, quality_score >= 0.7 AS is_complete FROM scored)
 """
 
+SCALED_PRICES = """, sc AS (SELECT id, category, (price_min - avg(price_min) OVER ()) / stddev_pop(price_min) OVER () AS x,
+  (price_max - avg(price_max) OVER ()) / stddev_pop(price_max) OVER () AS y FROM listings)
+"""
 LABELLED = """, labelled AS (
   SELECT *, cast(CASE WHEN price_min > 50000 THEN -1 ELSE least(floor(price_min / 1000), 9) END AS bigint) AS cluster
   FROM listings)
@@ -430,9 +433,19 @@ AD = f""", ad AS (SELECT "column", -any_value(n) - sum((2 * i - 1) * ln({M.cdf('
 AD_NORMAL = "a2 < round(0.787 / (1 + 4 / n - 25 / (n * n)), 3)"
 listings(
     "normality_ks",
-    """SELECT "column", 'kolmogorov_smirnov' AS test, round(d, 6) AS statistic FROM ks""",
+    f"""SELECT "column", 'kolmogorov_smirnov' AS test, round(d, 6) AS statistic, round({M.kolmogorov_sf('d', 'n')}, 6) AS p_value,
+    {M.kolmogorov_sf('d', 'n')} > 0.05 AS is_normal FROM ks""",
     LONG + MOMENTS + SORTED + KS,
 )
+plain(
+    "normality_ks_exact",
+    f"""WITH RECURSIVE z AS (SELECT (s_acctbal - avg(s_acctbal) OVER ()) / stddev_samp(s_acctbal) OVER () AS z,
+      row_number() OVER (ORDER BY s_acctbal)::double AS i, count(*) OVER () AS n FROM supplier),
+    ks AS (SELECT max(greatest({M.cdf('z')} - (i - 1) / n, i / n - {M.cdf('z')})) AS d, any_value(n) AS n FROM z),
+    {M.kolmogorov_exact('ks')}
+    SELECT 's_acctbal' AS "column", 'kolmogorov_smirnov' AS test, round(d, 6) AS statistic, round(p_value, 6) AS p_value,
+    p_value > 0.05 AS is_normal FROM ks, kolmogorov""",
+)
 listings(
     "normality_anderson",
     f"""SELECT "column", 'anderson_darling' AS test, round(a2, 2) AS statistic, {AD_NORMAL} AS is_normal FROM ad""",
@@ -491,7 +504,7 @@ def pairs(select: str, source: str = "listings", columns: tuple[str, ...] = NUME
 
 listings(
     "pearson_matrix",
-    f"SELECT column_a, column_b, n, round(r, 6) AS r, round({M.beta_share('(1-r*r)', '((n-2)/2.0)', '0.5')}, 6) AS p_value FROM ("
+    f"SELECT column_a, column_b, n, round(r, 6) AS r, round({M.correlation_p('r', 'n')}, 6) AS p_value FROM ("
     + pairs("SELECT '{a}' AS column_a, '{b}' AS column_b, count(*) AS n, corr({a}, {b}) AS r")
     + ")",
 )
@@ -628,6 +641,22 @@ listings(
       / sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))) AS z FROM u)
     SELECT ga AS group_a, gb AS group_b, u AS u_statistic, round(least(1.0, 2 * {M.sf('z')}), 6) AS p_value FROM z""",
 )
+# Groups of a few untied rows: every arrangement counted, rank by rank.
+plain(
+    "mann_whitney_small",
+    """WITH RECURSIVE g AS (SELECT concat(s_nationkey, '') AS grp, s_acctbal AS x FROM supplier),
+    sizes AS (SELECT grp, count(*) AS n FROM g GROUP BY grp HAVING count(*) >= 2),
+    u AS (SELECT a.grp AS ga, b.grp AS gb, sum((a.x > b.x)::int + 0.5 * (a.x = b.x)::int) AS u, any_value(p.n) AS n1, any_value(q.n) AS n2
+      FROM g a JOIN g b ON a.grp < b.grp JOIN sizes p ON p.grp = a.grp JOIN sizes q ON q.grp = b.grp GROUP BY 1, 2),
+    kinds AS (SELECT DISTINCT n1, n2 FROM u),
+    ways AS (SELECT n1, n2, 0 AS rank, 0 AS taken, 0 AS total, 1::hugeint AS c FROM kinds
+      UNION ALL SELECT n1, n2, rank + 1, taken + d, total + d * (rank + 1), sum(c)::hugeint FROM ways, (VALUES (0), (1)) AS t(d)
+        WHERE rank < n1 + n2 AND taken + d <= n1 AND n1 + n2 - rank - 1 >= n1 - taken - d GROUP BY ALL),
+    law AS (SELECT n1, n2, total - n1 * (n1 + 1) / 2 AS u, c, sum(c) OVER (PARTITION BY n1, n2) AS whole FROM ways WHERE rank = n1 + n2)
+    SELECT ga AS group_a, gb AS group_b, any_value(u.u)::double AS u_statistic,
+    round(least(1.0, 2 * sum(c) FILTER (law.u >= greatest(u.u, u.n1 * u.n2 - u.u)) / any_value(whole)), 6) AS p_value
+    FROM u JOIN law USING (n1, n2) GROUP BY ga, gb""",
+)
 DEVIATIONS = """, med AS (SELECT category, quantile_cont(price_min, 0.5) AS m FROM listings GROUP BY category),
   dv AS (SELECT category, abs(price_min - m) AS d FROM listings JOIN med USING (category))"""
 listings(
@@ -912,6 +941,39 @@ plain(
     SELECT word, count, round(count / (SELECT max(count) FROM k), 8) AS weight FROM k""",
 )
 
+def word_cloud(head: str, source: str, column: str) -> str:
+    """Every pair of neighbours is counted, without any pruning."""
+    stop = words(CLOUD_STOP_WORDS)
+    log_l = lambda k, of, p: f"(ln(greatest({p}, 1e-10)) * {k} + ln(greatest(1 - {p}, 1e-10)) * ({of} - {k}))"
+    p, p1, p2 = "(c2 / n)", "(c12 / c1)", "((c2 - c12) / (n - c1))"
+    ratio = f"-2 * ({log_l('c12', 'c1', p)} + {log_l('(c2 - c12)', '(n - c1)', p)} - {log_l('c12', 'c1', p1)} - {log_l('(c2 - c12)', '(n - c1)', p2)})"
+    plural = "suffix({0}, 's') AND NOT suffix({0}, 'ss') AND length({0}) > 1"
+    return (
+        head
+        + f"""lists AS MATERIALIZED (SELECT list_filter(list_transform(regexp_extract_all(lower(coalesce({column}, '')),
+      '[\\p{{L}}\\p{{N}}_][\\p{{L}}\\p{{N}}_'']*'), lambda w: regexp_replace(w, '''s$', '')), lambda w: NOT regexp_matches(w, '^\\p{{Nd}}+$')) AS ws FROM {source}),
+    raw AS (SELECT word, count(*) AS c FROM (SELECT unnest(ws) AS word FROM lists) WHERE word NOT IN ({stop}) GROUP BY word),
+    forms AS MATERIALIZED (SELECT r.word, r.c, coalesce(s.word, r.word) AS form FROM raw r LEFT JOIN raw s
+      ON s.word = left(r.word, -1) AND {plural.format('r.word')}),
+    counts AS MATERIALIZED (SELECT form, sum(c)::double AS c FROM forms GROUP BY form),
+    pairs AS MATERIALIZED (SELECT p.a, p.b, count(*) AS c FROM (SELECT unnest([{{'a': ws[i], 'b': ws[i + 1]}} FOR i IN range(1, len(ws))]) AS p FROM lists)
+      WHERE p.a NOT IN ({stop}) AND p.b NOT IN ({stop}) GROUP BY ALL),
+    folded AS (SELECT p.a, coalesce(s.b, p.b) AS b, sum(p.c)::double AS c12 FROM pairs p LEFT JOIN pairs s
+      ON s.a = p.a AND s.b = left(p.b, -1) AND {plural.format('p.b')} GROUP BY 1, 2),
+    sized AS (SELECT a, b, c12, fa.form AS f1, fb.form AS f2, ca.c AS c1, cb.c AS c2, (SELECT sum(c) FROM counts) AS n FROM folded
+      JOIN forms fa ON fa.word = a JOIN forms fb ON fb.word = b JOIN counts ca ON ca.form = fa.form JOIN counts cb ON cb.form = fb.form),
+    kept AS MATERIALIZED (SELECT * FROM sized WHERE n > c1 AND n > c2 AND {ratio} > 30),
+    taken AS (SELECT form, sum(c12) AS t FROM (SELECT f1 AS form, c12 FROM kept UNION ALL SELECT f2, c12 FROM kept) GROUP BY form),
+    terms AS (SELECT form AS word, c - coalesce(t, 0) AS c FROM counts LEFT JOIN taken USING (form) WHERE c - coalesce(t, 0) > 0
+      UNION ALL SELECT a || ' ' || b, c12 FROM kept),
+    k AS (SELECT * FROM terms ORDER BY c DESC, word LIMIT 120)
+    SELECT word, cast(c AS bigint) AS count, round(c / (SELECT max(c) FROM k), 8) AS weight, left(word, 18) AS label FROM k"""
+    )
+
+
+plain("word_cloud", word_cloud("WITH ", "documents", "text"))
+listings("word_cloud_titles", ", " + word_cloud("", "listings", "product_name"))
+
 # --- chart tables ----------------------------------------------------------------------------------------------------------------------
 
 
@@ -1054,3 +1116,45 @@ listings(
     UNION ALL SELECT 'quality_words', 'info', 'hits', cast(h AS double),
     concat('Quality-indicator products: ', cast(h AS bigint), ' (', printf('%.1f', h * 100 / n), '%)') FROM qw""",
 )
+
+
+def kmeans_rounds(k: int = 5, rounds: int = 3) -> str:
+    """Rounds of k-means from the k rows of lowest id, one query after the other."""
+    steps = [f", c0 AS (SELECT row_number() OVER (ORDER BY id) - 1 AS c, x AS cx, y AS cy FROM sc QUALIFY c < {k})"]
+    for r in range(rounds):
+        steps.append(
+            f""", a{r} AS MATERIALIZED (SELECT id, x, y, arg_min(c, g) AS c, min(g) AS g FROM (
+            SELECT id, x, y, c, power(x - cx, 2) + power(y - cy, 2) AS g FROM sc, c{r}) GROUP BY id, x, y),
+            c{r + 1} AS (SELECT p.c, coalesce(avg(x), any_value(cx)) AS cx, coalesce(avg(y), any_value(cy)) AS cy, count(id) AS size,
+            coalesce(sum(g), 0) AS cost FROM c{r} p LEFT JOIN a{r} ON a{r}.c = p.c GROUP BY p.c)"""
+        )
+    return "".join(steps) + f"""SELECT cast(c AS int) AS cluster, size, round(cost, 4) AS cost, round(cx, 6) AS price_min,
+    round(cy, 6) AS price_max FROM c{rounds}"""
+
+
+listings("kmeans_rounds", kmeans_rounds(), SCALED_PRICES)
+# One component per category, from fixed memberships: likelihood of the mixture of their normal laws.
+listings(
+    "mixture_scores",
+    """, comp AS (SELECT category, count(*) / (SELECT count(*) FROM sc)::double AS w, avg(x) AS mx, avg(y) AS my, var_pop(x) + 1e-6 AS vx,
+      var_pop(y) + 1e-6 AS vy, covar_pop(x, y) AS v FROM sc GROUP BY category),
+    dens AS (SELECT id, sum(w * exp(-(vy * (x - mx) * (x - mx) - 2 * v * (x - mx) * (y - my) + vx * (y - my) * (y - my))
+      / (2 * (vx * vy - v * v))) / (2 * pi() * sqrt(vx * vy - v * v))) AS f FROM sc, comp GROUP BY id),
+    s AS (SELECT sum(ln(f)) AS ll, count(*)::double AS n, (SELECT count(*) FROM comp) AS k FROM dens)
+    SELECT cast(k AS int) AS n_components, round(ll, 2) AS log_likelihood, round(-2 * ll + (6 * k - 1) * ln(n), 2) AS bic,
+    round(-2 * ll + 2 * (6 * k - 1), 2) AS aic FROM s""",
+    SCALED_PRICES,
+)
+# One reweighting from the medians: the 50 % and 97.5 % points of the chi-square law with two degrees of freedom are closed forms.
+listings(
+    "robust_reweighting",
+    """, med AS (SELECT median(price_min) AS mx, median(price_max) AS my FROM listings),
+    mad AS (SELECT mx, my, power(1.4826 * median(abs(price_min - mx)), 2) AS vx, power(1.4826 * median(abs(price_max - my)), 2) AS vy
+      FROM listings, med GROUP BY mx, my),
+    d AS (SELECT price_min AS x, price_max AS y, power(price_min - mx, 2) / vx + power(price_max - my, 2) / vy AS d FROM listings, mad),
+    k AS (SELECT x, y FROM d WHERE d / ((SELECT median(d) FROM d) / (-2 * ln(0.5))) < -2 * ln(0.025)),
+    s AS (SELECT avg(x) AS mx, avg(y) AS my, covar_pop(x, x) AS vx, covar_pop(x, y) AS v, covar_pop(y, y) AS vy FROM k)
+    SELECT unnest(['location price_min', 'location price_max', 'scatter price_min price_min', 'scatter price_min price_max',
+      'scatter price_max price_max']) AS element, unnest([round(mx, 3), round(my, 3), round(vx, 3), round(v, 3), round(vy, 3)]) AS value
+    FROM s""",
+)

@@ -10,34 +10,41 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.operators import mixtures, ward
+from marketloom.operators.blocks import hopeless, pack, square_gaps, starts, total
 from marketloom.operators.groups import topk_per_group, union_batches
-from marketloom.operators.lookup import LOOKUP_ROWS, lookup_join, spread
+from marketloom.operators.lookup import LOOKUP_ROWS, lookup_join
+from marketloom.operators.mixtures import principal
 from marketloom.operators.ranks import melt, quantile_table
-from marketloom.session import cut_lineage, in_parallel
+from marketloom.session import cut_lineage
 
 SEED = 42
 MAX_ITER = 300
 KMEANS_TOLERANCE = 1e-4
-KMEANS_POOL = 4096
 STARTS = 10
-GMM_ITER = 200
-GMM_TOLERANCE = 1e-3
 K_RANGE = tuple(range(2, 11))
-MICRO_CLUSTERS = 500
+LEAVES = 2000
 
 
-def vectors(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Feature columns plus their vector, stored reliably because every iteration reads it."""
-    return spread(cut_lineage(VectorAssembler(inputCols=list(columns), outputCol="features").transform(matrix)))
+# --- quality of a labelling --------------------------------------------------------------------------------------------
 
 
-# --- quality of a labelling --------------------------------------------------------------------------------------------
+def silhouettes(points, own_norm, rows, at, size, mean_norm, mean) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distance, squared distance, silhouette) of each row in cluster ``at``, from sizes, mean norms and means of all clusters."""
+    square = ((points - mean[at]) ** 2).sum(axis=1)
+    # Mean squared distance from each point to all members of each cluster.
+    to_all = np.maximum(own_norm[:, None] + mean_norm[None, :] - 2 * points @ mean.T, 0)
+    inside = to_all[rows, at] * size[at] / np.maximum(size[at] - 1, 1)
+    to_all[rows, at] = np.inf
+    nearest = to_all.min(axis=1)
+    larger = np.maximum(inside, nearest)
+    lone = (size[at] == 1) | ~np.isfinite(nearest) | (larger == 0)
+    return np.sqrt(square), square, np.where(lone, 0.0, (nearest - inside) / np.where(lone, 1.0, larger))
 
 
 def label_quality(df: DataFrame, columns: Sequence[str], labels: Sequence[str]) -> pd.DataFrame:
@@ -71,17 +78,8 @@ def label_quality(df: DataFrame, columns: Sequence[str], labels: Sequence[str])
             own_norm = (points**2).sum(axis=1)
             for label, (clusters, size, mean_norm, mean) in tables.items():
                 at = np.searchsorted(clusters, pdf[label].to_numpy())
-                square = ((points - mean[at]) ** 2).sum(axis=1)
-                # Mean squared distance from each point to all members of each cluster.
-                to_all = np.maximum(own_norm[:, None] + mean_norm[None, :] - 2 * points @ mean.T, 0)
-                rows = np.arange(len(points))
-                inside = to_all[rows, at] * size[at] / np.maximum(size[at] - 1, 1)
-                to_all[rows, at] = np.inf
-                nearest = to_all.min(axis=1)
-                larger = np.maximum(inside, nearest)
-                lone = (size[at] == 1) | ~np.isfinite(nearest) | (larger == 0)
-                score = np.where(lone, 0.0, (nearest - inside) / np.where(lone, 1.0, larger))
-                part = pd.DataFrame({"cluster": clusters[at], "dist": np.sqrt(square), "sse": square, "sil": score})
+                dist, square, score = silhouettes(points, own_norm, np.arange(len(points)), at, size, mean_norm, mean)
+                part = pd.DataFrame({"cluster": clusters[at], "dist": dist, "sse": square, "sil": score})
                 out = part.groupby("cluster", as_index=False).sum()
                 yield out.assign(labelling=label)[["labelling", "cluster", "dist", "sse", "sil"]]
 
@@ -136,79 +134,104 @@ def cluster_metrics(df: DataFrame, columns: Sequence[str], label: str) -> DataFr
 # --- k-means -----------------------------------------------------------------------------------------------------------
 
 
-def _mean_variance(matrix: DataFrame, columns: Sequence[str]) -> float:
-    row = matrix.agg(*[F.var_pop(c).alias(f"{i}") for i, c in enumerate(columns)]).first()
-    return float(np.mean(row)) if row[0] is not None else 0.0
+def _nearest_centre(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    gap = square_gaps(points, centres)
+    at = gap.argmin(1)
+    return at, gap[np.arange(len(points)), at]
 
 
-def _plus_plus(pool: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k starting centres among the pool's rows, each drawn with a weight of its squared distance to those before."""
-    rng = np.random.default_rng(seed)
-    chosen = [int(rng.integers(len(pool)))]
-    nearest = ((pool - pool[chosen[0]]) ** 2).sum(1)
-    while len(chosen) < k:
-        total = nearest.sum()
-        chosen.append(int(rng.choice(len(pool), p=nearest / total)) if total > 0 else int(rng.integers(len(pool))))
-        nearest = np.minimum(nearest, ((pool - pool[chosen[-1]]) ** 2).sum(1))
-    return pool[chosen].copy()
+def _kmeans_round(blocks: DataFrame, width: int, sets: list[np.ndarray]) -> list[np.ndarray]:
+    """(n, cost, norm, sums...) by centre of one assignment of all rows to each set of centres, in one pass.
 
+    The gaps to all centres of all sets are one matrix product, the sums by centre another.
+    """
+    stacked = np.concatenate(sets)
+    ends = np.cumsum([len(c) for c in sets])
 
-def _nearest_centre(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    gap = (centres**2).sum(1)[None, :] - 2 * points @ centres.T
-    at = gap.argmin(1)
-    return at, gap[np.arange(len(points)), at]
+    def kernel(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+        rows, norm = np.arange(len(x)), (x**2).sum(1)
+        gap = square_gaps(x, stacked)
+        share = np.zeros_like(gap)
+        out = np.zeros((len(stacked), 3 + width))
+        for own, end in zip(sets, ends):
+            at = end - len(own) + gap[:, end - len(own) : end].argmin(1)
+            share[rows, at] = w
+            out[:, 1] += np.bincount(at, weights=w * np.maximum(norm + gap[rows, at], 0.0), minlength=len(stacked))
+        out[:, [0, *range(2, 3 + width)]] = share.T @ np.concatenate([np.ones((len(x), 1)), norm[:, None], x], 1)
+        return out
 
+    found = total(blocks, width, kernel)
+    return [found[end - len(own) : end] for own, end in zip(sets, ends)]
 
-def _kmeans_round(data: DataFrame, names: list[str], sets: dict[int, np.ndarray]) -> pd.DataFrame:
-    """(set, centre, n, cost, sums...) of one assignment of all rows to every set of centres, in one pass."""
-    sums = [f"s{j}" for j in range(len(names))]
 
-    def assign(batches):
-        held = {i: np.zeros((len(c), 2 + len(names))) for i, c in sets.items()}
-        for pdf in batches:
-            points = pdf[names].to_numpy(dtype=float)
-            norm = (points**2).sum(1)
-            for i, centres in sets.items():
-                at, gap = _nearest_centre(points, centres)
-                for j, weight in enumerate([None, norm + gap, *points.T]):
-                    held[i][:, j] += np.bincount(at, weights=weight, minlength=len(centres))
-        for i, table in held.items():
-            yield pd.DataFrame(table, columns=["n", "cost", *sums]).assign(set=i, centre=np.arange(len(table)))
+def _moved(centres: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Centres at the means of their rows; a centre without rows stays where it is."""
+    return np.where(sums[:, :1] > 0, sums[:, 3:] / np.maximum(sums[:, :1], 1), centres)
+
 
-    kinds = "n double, cost double, " + ", ".join(f"{c} double" for c in sums) + ", set int, centre int"
-    totals = data.select(*names).mapInPandas(assign, kinds).groupBy("set", "centre")
-    return totals.agg(*[F.sum(c).alias(c) for c in ("n", "cost", *sums)]).toPandas()  # a row per centre
+def _mean_variance(blocks: DataFrame, width: int) -> float:
+    n, centre, _, _ = principal(blocks, width)
+    if n == 0:
+        return 0.0
+    return float(total(blocks, width, lambda x, w: (((x - centre) ** 2) * w[:, None]).sum(0)[None, :]).mean() / n)
 
 
-def _fit_kmeans(data: DataFrame, columns: Sequence[str], ks: Sequence[int], n_init: int, variance: float) -> dict[int, np.ndarray]:
+def _fit_kmeans(blocks: DataFrame, width: int, ks: Sequence[int], n_init: int) -> dict[int, np.ndarray]:
     """The centres of lowest cost over ``n_init`` starts, for each k; all starts of all k share every pass over the rows.
 
-    Starts are drawn from the ``KMEANS_POOL`` rows of lowest hash. A start ends when the squared moves of its centres sum to at
-    most 1e-4 of the mean feature variance; a centre without rows stays where it is.
+    Starts are seeded on points drawn over all rows in proportion to their cost. A start ends when the squared moves of its centres sum to at most
+    1e-4 of the mean feature variance, after ``MAX_ITER`` rounds, or when another one of its k is out of its reach.
     """
-    names = list(columns)
-    pool = data.orderBy(F.xxhash64(*names), *names).limit(KMEANS_POOL).select(*names).toPandas().to_numpy(dtype=float)
-    if not len(pool):
-        return {k: np.zeros((k, len(names))) for k in ks}
     plans = [(k, start) for k in ks for start in range(n_init)]
-    centres = {i: _plus_plus(pool, k, SEED + start) for i, (k, start) in enumerate(plans)}
-    cost = dict.fromkeys(centres, math.inf)
-    active = set(centres)
-    for _ in range(MAX_ITER):
-        totals = _kmeans_round(data, names, {i: centres[i] for i in sorted(active)})
-        for i, own in totals.groupby("set"):
-            own = own.sort_values("centre")
-            n = own["n"].to_numpy()
-            new = np.where(n[:, None] > 0, own.iloc[:, 4:].to_numpy() / np.maximum(n, 1)[:, None], centres[i])
-            moved, cost[i], centres[i] = float(((new - centres[i]) ** 2).sum()), float(own["cost"].sum()), new
-            if moved <= KMEANS_TOLERANCE * variance:
-                active.discard(i)
+    variance = _mean_variance(blocks, width)
+    centres = dict(enumerate(starts(blocks, width, plans, SEED)))
+    cost, gain = dict.fromkeys(centres, math.inf), {}
+    active = set(centres) if blocks.limit(1).count() else set()
+    for turn in range(1, MAX_ITER + 1):
         if not active:
             break
+        order = sorted(active)
+        for i, sums in zip(order, _kmeans_round(blocks, width, [centres[i] for i in order])):
+            new = _moved(centres[i], sums)
+            gain[i], cost[i] = cost[i] - float(sums[:, 1].sum()), float(sums[:, 1].sum())
+            moved, centres[i] = float(((new - centres[i]) ** 2).sum()), new
+            if moved <= KMEANS_TOLERANCE * variance:
+                active.discard(i)
+        if turn >= 3:
+            active -= hopeless(plans, cost, gain, active)
     best = {k: min((i for i, p in enumerate(plans) if p[0] == k), key=lambda i: (cost[i], i)) for k in ks}
     return {k: centres[i] for k, i in best.items()}
 
 
+def _centre_quality(blocks: DataFrame, columns: Sequence[str], fits: dict[str, np.ndarray]) -> pd.DataFrame:
+    """What ``label_quality`` gives, for labellings by the nearest of given centres, in two passes over the blocks."""
+    width, names = len(columns), list(columns)
+    sets = list(fits.values())
+    sums = _kmeans_round(blocks, width, sets)
+    kept = [np.flatnonzero(s[:, 0] > 0) for s in sums]
+    size = [s[at, 0] for s, at in zip(sums, kept)]
+    norm = [s[at, 2] / n for s, at, n in zip(sums, kept, size)]
+    mean = [s[at, 3:] / n[:, None] for s, at, n in zip(sums, kept, size)]
+    ends = np.cumsum([len(n) for n in size])
+
+    def kernel(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+        out, rows, own_norm = np.zeros((int(ends[-1]), 3)), np.arange(len(x)), (x**2).sum(1)
+        for i, (centres, at_kept) in enumerate(zip(sets, kept)):
+            at = np.searchsorted(at_kept, square_gaps(x, centres).argmin(1))
+            part = [w, *[w * v for v in silhouettes(x, own_norm, rows, at, size[i], norm[i], mean[i])]]
+            for j, v in enumerate(part[1:]):
+                out[ends[i] - len(at_kept) : ends[i], j] = np.bincount(at, weights=v, minlength=len(at_kept))
+        return out
+
+    found = total(blocks, width, kernel)
+    tables = []
+    for i, label in enumerate(fits):
+        own = found[ends[i] - len(kept[i]) : ends[i]]
+        table = pd.DataFrame(mean[i], columns=names).assign(labelling=label, cluster=kept[i], size=size[i], norm=norm[i])
+        tables.append(table.assign(dist=own[:, 0], sse=own[:, 1], sil=own[:, 2]))
+    return pd.concat(tables, ignore_index=True)
+
+
 def _with_cluster(df: DataFrame, columns: Sequence[str], centres: np.ndarray, label: str) -> DataFrame:
     """Add the number of each row's nearest centre."""
 
@@ -220,6 +243,20 @@ def _with_cluster(df: DataFrame, columns: Sequence[str], centres: np.ndarray, la
     return df.withColumn(label, nearest(*[F.col(c) for c in columns]))
 
 
+def kmeans_rounds(matrix: DataFrame, columns: Sequence[str], k: int = 5, rounds: int = 3, key: str = "id") -> DataFrame:
+    """Size, cost and centre of each cluster after ``rounds`` rounds from the k rows of lowest key, without any draw."""
+    first = matrix.orderBy(key).limit(k).select(*columns).collect()
+    centres = np.array([[float(v) for v in r] for r in first]).reshape(len(first), len(columns))
+    blocks = pack(matrix, columns)
+    sums = np.zeros((0, 3))
+    for _ in range(rounds if len(first) else 0):
+        (sums,) = _kmeans_round(blocks, len(columns), [centres])
+        centres = _moved(centres, sums)
+    rows = [(i, int(s[0]), float(s[1]), *map(float, c)) for i, (s, c) in enumerate(zip(sums, centres))]
+    schema = "cluster int, size long, cost double, " + ", ".join(f"{c} double" for c in columns)
+    return matrix.sparkSession.createDataFrame(rows, schema)
+
+
 def _argbest(values: list[float | None], best) -> int:
     known = [v for v in values if v is not None]
     return values.index(best(known)) if known else 0
@@ -238,11 +275,9 @@ def kmeans_select_k(
     matrix: DataFrame, columns: Sequence[str], ks: Sequence[int] = K_RANGE, n_init: int = STARTS
 ) -> DataFrame:
     """Scores for each k, with flags for the k chosen by each criterion and by their vote."""
-    data = spread(cut_lineage(matrix))
-    labelled = data
-    for k, centres in _fit_kmeans(data, columns, ks, n_init, _mean_variance(data, columns)).items():
-        labelled = _with_cluster(labelled, columns, centres, f"k{k}")
-    quality = label_quality(labelled, columns, [f"k{k}" for k in ks])
+    blocks = pack(matrix, columns)
+    fits = _fit_kmeans(blocks, len(columns), ks, n_init)
+    quality = _centre_quality(blocks, columns, {f"k{k}": centres for k, centres in fits.items()})
     scores = [_scores(quality[quality["labelling"] == f"k{k}"], columns) for k in ks]
     best, elbow, silhouette, davies = choose_k(
         ks,
@@ -261,13 +296,13 @@ def kmeans_select_k(
 
 def kmeans_labels(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = STARTS) -> DataFrame:
     """The matrix with its ``cluster``."""
-    data = spread(cut_lineage(matrix))
-    return _with_cluster(data, columns, _fit_kmeans(data, columns, [k], n_init, _mean_variance(data, columns))[k], "cluster")
+    return _with_cluster(matrix, columns, _fit_kmeans(pack(matrix, columns), len(columns), [k], n_init)[k], "cluster")
 
 
 def kmeans_fit(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = STARTS) -> DataFrame:
     """Size, share, silhouette and centre of each cluster, next to the scores of the whole clustering."""
-    quality = label_quality(kmeans_labels(matrix, columns, k, n_init), columns, ["cluster"])
+    blocks = pack(matrix, columns)
+    quality = _centre_quality(blocks, columns, {"k": _fit_kmeans(blocks, len(columns), [k], n_init)[k]})
     scores = _scores(quality, columns)
     n = quality["size"].sum()
     rows = [
@@ -288,59 +323,20 @@ def kmeans_fit(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: in
 # --- hierarchical --------------------------------------------------------------------------------------------------------
 
 
-def _ward(size: np.ndarray, centre: np.ndarray, k: int) -> np.ndarray:
-    """Ward merging of weighted points down to k groups; groups are numbered by their first point."""
-    size, centre = size.astype(float).copy(), centre.astype(float).copy()
-    group = np.arange(len(size))
-    live = np.ones(len(size), dtype=bool)
-    weight = size[:, None] * size[None, :] / (size[:, None] + size[None, :])
-    cost = weight * ((centre[:, None, :] - centre[None, :, :]) ** 2).sum(axis=2)
-    np.fill_diagonal(cost, np.inf)
-    for _ in range(len(size) - k):
-        i, j = divmod(int(cost.argmin()), len(size))
-        i, j = min(i, j), max(i, j)
-        total = size[i] + size[j]
-        centre[i] = (size[i] * centre[i] + size[j] * centre[j]) / total
-        size[i] = total
-        live[j] = False
-        group[group == j] = i
-        cost[j, :] = cost[:, j] = np.inf
-        merged = size[i] * size / (size[i] + size) * ((centre - centre[i]) ** 2).sum(axis=1)
-        merged[~live] = np.inf
-        merged[i] = np.inf
-        cost[i, :] = cost[:, i] = merged
-    return np.unique(group, return_inverse=True)[1]
-
-
 def hierarchical_labels(
-    matrix: DataFrame, columns: Sequence[str], k: int = 5, micro: int = MICRO_CLUSTERS
+    matrix: DataFrame, columns: Sequence[str], k: int = 5, leaves: int = LEAVES
 ) -> DataFrame:
-    """Ward clustering in two phases: k-means micro-clusters, then Ward merging of their weighted centres.
-
-    With at most ``micro`` distinct points the points themselves are merged, which is plain Ward.
-    """
-    names = list(columns)
-    # The estimate spares a large table the grouping of all its points.
-    few = matrix.agg(F.approx_count_distinct(F.xxhash64(*names))).first()[0] <= 1.2 * micro
-    distinct = matrix.groupBy(*names).agg(F.count(F.lit(1)).alias("size")).limit(micro + 1)
-    points = distinct.toPandas() if few else None
-    if points is not None and len(points) <= micro:
-        points = points.sort_values(names, ignore_index=True)
-        points["hier_cluster"] = _ward(points["size"].to_numpy(), points[names].to_numpy(), min(k, len(points)))
-        table = matrix.sparkSession.createDataFrame(points[[*names, "hier_cluster"]])
-        return lookup_join(matrix, table, names)
-    data = vectors(matrix, columns)
-    model = KMeans(k=micro, seed=SEED, maxIter=20, predictionCol="micro").fit(data)
-    labelled = model.transform(data).drop("features")
-    parts = (
-        labelled.groupBy("micro")
-        .agg(F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(c) for c in names])
-        .toPandas()
-        .sort_values("micro", ignore_index=True)
-    )
-    parts["hier_cluster"] = _ward(parts["size"].to_numpy(), parts[names].to_numpy(), min(k, len(parts)))
-    table = matrix.sparkSession.createDataFrame(parts[["micro", "hier_cluster"]])
-    return lookup_join(labelled, table, ["micro"]).drop("micro")
+    """Ward clustering over clustering features: the rows are summarised in at most ``leaves`` features (as many as different rows, if
+    fewer), the features are merged by Ward's criterion, and each row takes the group of its nearest feature."""
+    found = ward.features(pack(matrix, columns), len(columns), leaves)
+    if not len(found):
+        return matrix.withColumn("hier_cluster", F.lit(None).cast("int"))
+    size, centre = found[:, 0], found[:, 2:] / found[:, :1]
+    order = np.lexsort(centre.T[::-1])
+    group = ward.groups(size[order], centre[order], min(k, len(size)))
+    nearest = _with_cluster(matrix, columns, centre[order], "_leaf")
+    label = F.element_at(F.array(*[F.lit(int(g)) for g in group]), F.col("_leaf") + 1)
+    return nearest.withColumn("hier_cluster", label).drop("_leaf")
 
 
 def hierarchical_cluster(matrix: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:
@@ -383,68 +379,39 @@ def pca(matrix: DataFrame, columns: Sequence[str], k: int | None = None) -> Data
     )
 
 
-def _mixture_input(matrix: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
-    """Scores of the components that carry variance: the features are collinear, a full covariance is not."""
-    scores, explained = pca_scores(matrix, columns, len(columns))
-    kept = max(1, sum(e > 1e-8 for e in explained))
-    names = [f"pca_{i + 1}" for i in range(kept)]
-    return vectors(scores.select(*matrix.columns, *names), names), kept
-
-
-def _fit_mixture(data: DataFrame, k: int, n: int, n_init: int):
-    """Most likely model over n_init random starts."""
-    # The library stops on the total log-likelihood; the tolerance is meant per row.
-    start = lambda i: GaussianMixture(k=k, seed=SEED + i, maxIter=GMM_ITER, tol=GMM_TOLERANCE * n).fit(data)
-    models = in_parallel([lambda i=i: start(i) for i in range(n_init)])
-    return max(models, key=lambda m: m.summary.logLikelihood)
-
-
-def _criteria(log_likelihood: float, k: int, d: int, n: int) -> tuple[float, float]:
-    """(BIC, AIC) of a full-covariance mixture."""
-    free = k - 1 + k * d + k * d * (d + 1) / 2
-    return -2 * log_likelihood + free * math.log(n), -2 * log_likelihood + 2 * free
-
-
 def gmm_select(
     matrix: DataFrame, columns: Sequence[str], ks: Sequence[int] = K_RANGE, n_init: int = STARTS
 ) -> DataFrame:
     """BIC and AIC for each number of components; the lowest BIC is chosen."""
-    data, d = _mixture_input(matrix, columns)
-    n = data.count()
-    fits = in_parallel([lambda k=k: _fit_mixture(data, k, n, n_init).summary.logLikelihood for k in ks])
-    rows = [(k, float(ll), *_criteria(ll, k, d, n)) for k, ll in zip(ks, fits)]
-    by_bic, by_aic = (min(rows, key=lambda r: r[i])[0] for i in (2, 3))
+    fits = mixtures.fit(matrix, columns, ks, n_init)
+    rows = [(k, f.log_likelihood, *mixtures.criteria(f.log_likelihood, k, fits.d, fits.n)) for k, f in fits.best.items()]
+    by_bic, by_aic = (min(rows, key=lambda r: r[i])[0] if rows else None for i in (2, 3))
     return matrix.sparkSession.createDataFrame(
         [(*r, r[0] == by_bic, r[0] == by_aic) for r in rows],
         "n_components int, log_likelihood double, bic double, aic double, optimal_bic boolean, optimal_aic boolean",
     )
 
 
-def gmm_labels(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = 1) -> DataFrame:
+def gmm_labels(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = STARTS) -> DataFrame:
     """The matrix with ``gmm_cluster`` and the probability of that component."""
-    data, _ = _mixture_input(matrix, columns)
-    out = _fit_mixture(data, k, data.count(), n_init).transform(data)
-    best = F.array_max(vector_to_array("probability"))
-    return out.select(*matrix.columns, F.col("prediction").alias("gmm_cluster"), best.alias("confidence"))
-
-
-def gmm_fit(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = 1) -> DataFrame:
-    data, d = _mixture_input(matrix, columns)
-    n = data.count()
-    model = _fit_mixture(data, k, n, n_init)
-    ll, rounds = model.summary.logLikelihood, model.summary.numIter
-    labelled = cut_lineage(
-        model.transform(data).select(
-            *columns, F.col("prediction").alias("c"), F.array_max(vector_to_array("probability")).alias("p")
-        )
+    return mixtures.labelled(matrix, columns, mixtures.fit(matrix, columns, [k], n_init), k)
+
+
+def gmm_fit(matrix: DataFrame, columns: Sequence[str], k: int = 5, n_init: int = STARTS) -> DataFrame:
+    fits = mixtures.fit(matrix, columns, [k], n_init)
+    schema = (
+        "n_components int, covariance_type string, bic double, aic double, converged boolean, n_iterations int, "
+        "avg_confidence double, min_confidence double, silhouette_score double"
     )
-    confidence = labelled.agg(F.avg("p").alias("avg"), F.min("p").alias("min")).first()
+    if k not in fits.best:
+        return matrix.sparkSession.createDataFrame([], schema)
+    found = fits.best[k]
+    labelled = cut_lineage(mixtures.labelled(matrix.select(*columns), columns, fits, k, "c").where(F.col("c").isNotNull()))
+    confidence = labelled.agg(F.avg("confidence").alias("avg"), F.min("confidence").alias("min")).first()
     scores = _scores(label_quality(labelled, columns, ["c"]), columns)
-    bic, aic = _criteria(ll, k, d, n)
+    bic, aic = mixtures.criteria(found.log_likelihood, k, fits.d, fits.n)
     return matrix.sparkSession.createDataFrame(
-        [(k, "full", bic, aic, rounds < GMM_ITER, rounds, confidence["avg"], confidence["min"], scores["silhouette"])],
-        "n_components int, covariance_type string, bic double, aic double, converged boolean, n_iterations int, "
-        "avg_confidence double, min_confidence double, silhouette_score double",
+        [(k, "full", bic, aic, found.converged, found.rounds, confidence["avg"], confidence["min"], scores["silhouette"])], schema
     )
 
 

@@ -134,8 +134,9 @@ def mann_whitney_pairs(df: DataFrame, value: str = "price_min", group: str = "ca
     """U of the first group for every pair of groups in name order, with its two-sided p.
 
     Rows collapse to counts per (value, group). A pair's U is the sum of what happens inside each value bucket plus, for
-    each bucket, its rows of a times the rows of b in lower buckets. The p-value is the normal approximation, corrected
-    for ties and continuity.
+    each bucket, its rows of a times the rows of b in lower buckets. The p-value is exact where no value is tied, the smaller group has
+    at most 8 rows and the arrangements can be counted in 64 bits; else it is the normal approximation, corrected for ties and
+    continuity.
     """
     ladder = labelled_ladder(_grouped(df, value, group), "value", "grp").select("bucket", "value", "grp", "cnt")
     sizes = settled(ladder.groupBy("bucket", "grp").agg(F.sum("cnt").cast("double").alias("size")))
@@ -154,7 +155,7 @@ def mann_whitney_pairs(df: DataFrame, value: str = "price_min", group: str = "ca
     )
     lower = Window.partitionBy("group_b").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     dense = (
-        in_bucket.withColumn("group_b", F.explode(F.array(*[F.lit(n) for n in names])))
+        in_bucket.withColumn("group_b", F.explode(F.array(*[F.lit(n) for n in names]).cast("array<string>")))
         .withColumn("size_b", F.coalesce(F.try_element_at("by_group", F.col("group_b")), F.lit(0.0)))
         .withColumn("below_b", F.coalesce(F.sum("size_b").over(lower), F.lit(0.0)))
         .select("bucket", "group_b", "below_b")
@@ -180,7 +181,8 @@ def mann_whitney_pairs(df: DataFrame, value: str = "price_min", group: str = "ca
     spread = F.sqrt(product / 12 * (n + 1 - ties / (n * (n - 1))))
     larger = F.greatest("u_statistic", product - F.col("u_statistic"))
     z = F.try_divide(larger - product / 2 - 0.5, spread)
-    return _significance(pairs, F.least(F.lit(1.0), 2 * S.norm_sf(z))).select(
+    exact = S.mann_whitney_p(F.col("u_statistic"), F.col("n_a"), F.col("n_b"), ties)
+    return _significance(pairs, F.coalesce(exact, F.least(F.lit(1.0), 2 * S.norm_sf(z)))).select(
         "group_a", "group_b", "u_statistic", "p_value", "is_significant"
     )
 

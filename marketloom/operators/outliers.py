@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions import special as S
+from marketloom.operators.blocks import gather, monomials, pack, total
 from marketloom.operators.groups import sample_rows, union_batches
 from marketloom.operators.lookup import bounded_local
-from marketloom.operators.ranks import approximate_quantile, exact_quantiles, quantile_table, usable, value_ladder
+from marketloom.operators.ranks import exact_quantiles, quantile_table, usable, value_ladder
 from marketloom.session import cut_lineage
 
 PRICE = "price_min"
@@ -366,10 +367,14 @@ def outliers_lof(df: DataFrame, column: str = PRICE, k: int = 20, contamination:
 
 # --- robust covariance ---------------------------------------------------------------------------------------------------
 
-START_ROWS = 1500
-STARTS = 30
-START_STEPS = 30
-C_STEPS = 10
+GROUP_ROWS = 1500
+GROUP_STARTS = 50
+POOL = 32
+FINALISTS = 5
+C_STEPS = 20
+BINS = 2048  # of the logarithm of a squared distance
+BIN_RANGE = (-40.0, 40.0)
+SEED = 42
 
 
 def _mahalanobis(columns: Sequence[str], location: np.ndarray, precision: np.ndarray) -> Column:
@@ -392,65 +397,162 @@ def _location_scatter(rows: DataFrame, columns: Sequence[str]) -> tuple[np.ndarr
     return np.array([row[f"m{i}"] for i in range(len(columns))]), scatter
 
 
-def _best_start(points: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-    """Lowest-determinant scatter found from random elemental starts on a bounded sample."""
-    n, d = points.shape
-    half = (n + d + 1) // 2
-    rng = np.random.default_rng(42)
-    best = None
-    for _ in range(STARTS):
-        chosen = points[rng.choice(n, d + 1, replace=False)]
-        last = math.inf
-        for _ in range(START_STEPS):
-            location, scatter = chosen.mean(axis=0), np.atleast_2d(np.cov(chosen.T, bias=True))
-            gap = points - location
-            distance = np.einsum("ij,jk,ik->i", gap, np.linalg.pinv(scatter, hermitian=True), gap)
-            chosen = points[np.argsort(distance, kind="stable")[:half]]
-            det = float(np.linalg.det(np.atleast_2d(np.cov(chosen.T, bias=True))))
-            if det >= last * (1 - 1e-12):
-                break
-            last = det
-        if best is None or last < best[0]:
-            best = (last, chosen.mean(axis=0), np.atleast_2d(np.cov(chosen.T, bias=True)))
-    return None if best is None or best[0] <= 0 else best[1:]
+def _squares(x: np.ndarray, location: np.ndarray, scatter: np.ndarray) -> np.ndarray:
+    """candidate x row: squared distances from each candidate's location in its scatter."""
+    gap = x[None, :, :] - location[:, None, :]
+    return np.einsum("cni,cij,cnj->cn", gap, np.linalg.pinv(scatter, hermitian=True), gap)
 
 
-def robust_distances(df: DataFrame, columns: Sequence[str], key: str = "id") -> DataFrame | None:
-    """Squared robust distance of each row (minimum covariance determinant); None when no scatter can be found.
+def _from_sums(sums: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Locations and scatters from sums of monomials (candidate x monomial)."""
+    i, j = np.triu_indices(d)
+    location = sums[:, 1 : 1 + d] / sums[:, :1]
+    scatter = np.zeros((len(sums), d, d))
+    scatter[:, i, j] = scatter[:, j, i] = sums[:, 1 + d :] / sums[:, :1] - location[:, i] * location[:, j]
+    return location, scatter
+
+
+def _ranked(location: np.ndarray, scatter: np.ndarray, keep: int) -> np.ndarray:
+    """Rows (determinant, location, scatter) of the candidates with the lowest positive determinants."""
+    rows = np.concatenate([np.linalg.det(scatter)[:, None], location, scatter.reshape(len(scatter), -1)], 1)
+    rows = rows[np.isfinite(rows[:, 0]) & (rows[:, 0] > 1e-14)]
+    return rows[np.argsort(rows[:, 0], kind="stable")[:keep]]
+
+
+def _group_starts(x: np.ndarray, w: np.ndarray, share: float, rng: np.random.Generator) -> np.ndarray:
+    """The best candidates of one group of rows: random smallest subsets, two concentration steps each."""
+    n, d = x.shape
+    if n <= d + 1:
+        return np.zeros((0, 1 + d + d * d))
+    terms, whole = monomials(x), w.sum()
+    chosen = np.stack([rng.choice(n, d + 1, replace=False) for _ in range(GROUP_STARTS)])
+    sums = terms[chosen].sum(1)
+    for _ in range(2):
+        location, scatter = _from_sums(sums, d)
+        order = np.argsort(_squares(x, location, scatter), axis=1, kind="stable")
+        before = np.cumsum(w[order], axis=1) - w[order]
+        mask = np.zeros(order.shape)
+        np.put_along_axis(mask, order, np.where(before < share * whole, w[order], 0.0), 1)
+        sums = mask @ terms
+    return _ranked(*_from_sums(sums, d), FINALISTS)
+
 
-    Starts are sought on a bounded sample; the concentration steps then run over the whole table, each as a quantile of
-    the distances and one aggregation, until the determinant stops falling.
+def _concentrated(blocks: DataFrame, d: int, pool: np.ndarray, centre: np.ndarray, half: float) -> np.ndarray:
+    """One concentration step of every candidate over all rows, in one pass.
+
+    Each candidate's rows are summed by bins of their distance; the bins up to ``half`` rows make the next candidate, the last of
+    them in proportion.
+    """
+    low, high = BIN_RANGE
+    location, scatter = pool[:, 1 : 1 + d], pool[:, 1 + d :].reshape(-1, d, d)
+    size = len(pool)
+
+    def kernel(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+        x = (x - centre[0]) / centre[1]
+        terms = monomials(x) * w[:, None]
+        square = _squares(x, location, scatter)
+        bins = np.clip(((np.log2(np.maximum(square, 1e-300)) - low) * (BINS / (high - low))).astype(np.int64), 0, BINS - 1)
+        place = (bins + np.arange(size)[:, None] * BINS).reshape(-1)
+        return np.stack([np.bincount(place, weights=np.tile(t, size), minlength=size * BINS) for t in terms.T], 1)
+
+    found = total(blocks, d, kernel).reshape(size, BINS, -1)
+    counts = np.cumsum(found[:, :, 0], axis=1)
+    share = np.clip((half - (counts - found[:, :, 0])) / np.maximum(found[:, :, 0], 1e-300), 0.0, 1.0)
+    return _ranked(*_from_sums((found * share[:, :, None]).sum(1), d), size)
+
+
+def minimum_covariance(rows: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray] | None:
+    """Location and scatter of the half of the rows whose scatter has the lowest determinant; None when no scatter can be found.
+
+    The nested search: all rows are dealt into groups of about ``GROUP_ROWS``; in each, ``GROUP_STARTS`` random smallest subsets take two
+    concentration steps on the group, and the best of all groups form a pool. The pool takes two steps over all rows, its
+    ``FINALISTS`` go on until the determinant stops falling.
     """
-    rows = reduce(_values, columns, df).select(key, *[F.col(c).cast("double").alias(c) for c in columns])
     d = len(columns)
-    n = rows.count()
-    start = sample_rows(rows, START_ROWS, key).select(*columns).toPandas().to_numpy(dtype=float)
-    found = _best_start(start) if n >= 10 else None
-    if found is None:
+    blocks = pack(rows, columns)
+    sums = total(blocks, d, lambda x, w: (monomials(x) * w[:, None]).sum(0)[None, :])
+    n = 0 if sums is None else sums[0, 0]
+    if n < 10:
         return None
-    location, scatter = found
-    share = ((n + d + 1) // 2 - 1) / (n - 1)
-    last = math.inf
-    for _ in range(C_STEPS):
-        distance = rows.withColumn("_d", _mahalanobis(columns, location, np.linalg.inv(scatter)))
-        cut = approximate_quantile(distance, "_d", share)
-        moved = _location_scatter(distance.where(F.col("_d") <= cut), columns)
-        det = float(np.linalg.det(moved[1]))
-        if det <= 0:
+    mean = sums[0, 1 : 1 + d] / n
+    spread = np.sqrt(total(blocks, d, lambda x, w: (((x - mean) ** 2) * w[:, None]).sum(0)[None, :])[0] / n)
+    if not (spread > 0).all():
+        return None
+    centre = np.stack([mean, spread])
+    half = (n + d + 1) // 2
+
+    def step(state, x, w, rng):
+        x = (x - centre[0]) / centre[1]
+        deal = rng.permutation(len(x))
+        for part in np.array_split(deal, max(1, round(len(x) / GROUP_ROWS))):
+            found = _group_starts(x[part], w[part], half / n, rng)
+            state = found if state is None else merge(state, found)
+        return state
+
+    def merge(a, b):
+        both = np.concatenate([a, b])
+        return both[np.argsort(both[:, 0], kind="stable")[:POOL]]
+
+    pool = gather(blocks, d, step, merge, seed=SEED)
+    for turn in range(C_STEPS):
+        if not len(pool):
             return None
-        (location, scatter), done = moved, det >= last * (1 - 1e-6)
-        last = det
-        if done:
+        best = pool[0, 0]
+        pool = _concentrated(blocks, d, pool, centre, half)
+        if turn == 1:
+            pool = pool[:FINALISTS]
+        if turn > 1 and (not len(pool) or pool[0, 0] >= best * (1 - 1e-6)):
             break
-    # Consistency at the normal model, then one reweighting.
+    if not len(pool):
+        return None
+    scatter = pool[0, 1 + d :].reshape(d, d) * np.outer(spread, spread)
+    return mean + spread * pool[0, 1 : 1 + d], scatter
+
+
+def reweighted(rows: DataFrame, columns: Sequence[str], location: np.ndarray, scatter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Location and scatter of the rows within the 97.5 % ellipse, after the scatter is made consistent at the normal model by the median
+    distance."""
+    d = len(columns)
     distance = rows.withColumn("_d", _mahalanobis(columns, location, np.linalg.inv(scatter)))
     median = exact_quantiles(distance, "_d", [0.5]).first()["quantile"]
     scatter = scatter * (median / S.chi2_upper_quantile(0.5, d))
     distance = rows.withColumn("_d", _mahalanobis(columns, location, np.linalg.inv(scatter)))
-    location, scatter = _location_scatter(distance.where(F.col("_d") < S.chi2_upper_quantile(0.025, d)), columns)
+    return _location_scatter(distance.where(F.col("_d") < S.chi2_upper_quantile(0.025, d)), columns)
+
+
+def _complete(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    return reduce(_values, columns, df).select(key, *[F.col(c).cast("double").alias(c) for c in columns])
+
+
+def robust_distances(df: DataFrame, columns: Sequence[str], key: str = "id") -> DataFrame | None:
+    """Squared robust distance of each row (reweighted minimum covariance determinant); None when no scatter can be found."""
+    rows = _complete(df, columns, key)
+    found = minimum_covariance(rows, columns)
+    if found is None:
+        return None
+    location, scatter = reweighted(rows, columns, *found)
+    if not np.linalg.det(scatter) > 0:
+        return None
     return rows.select(key, _mahalanobis(columns, location, np.linalg.inv(scatter)).alias("distance"))
 
 
+def robust_reweighting(df: DataFrame, columns: Sequence[str] = ("price_min", "price_max"), key: str = "id") -> DataFrame:
+    """(element, value) of location and scatter after one reweighting that starts at the medians and the median absolute deviations."""
+    rows = _complete(df, columns, key)
+    medians = [exact_quantiles(rows, c, [0.5]).first() for c in columns]
+    if any(m is None for m in medians):
+        return df.sparkSession.createDataFrame([], "element string, value double")
+    location = np.array([m["quantile"] for m in medians])
+    gaps = rows.select(*[F.abs(F.col(c) - float(m)).alias(c) for c, m in zip(columns, location)])
+    spread = np.array([exact_quantiles(gaps, c, [0.5]).first()["quantile"] for c in columns]) * 1.4826
+    if not (spread > 0).all():
+        return df.sparkSession.createDataFrame([], "element string, value double")
+    location, scatter = reweighted(rows, columns, location, np.diag(spread**2))
+    out = [(f"location {c}", float(m)) for c, m in zip(columns, location)]
+    out += [(f"scatter {a} {b}", float(scatter[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns) if i <= j]
+    return df.sparkSession.createDataFrame(out, "element string, value double")
+
+
 def outliers_elliptic(
     df: DataFrame, columns: Sequence[str] = ("price_min", "price_max"), contamination: float = 0.1, key: str = "id"
 ) -> DataFrame:

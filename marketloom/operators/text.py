@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.functions.listing import short_label
 from marketloom.operators.groups import topk_by_count
 from marketloom.operators.lookup import bounded_local, spread
+from marketloom.session import cut_lineage
 
 # Words hinting at quality and at a low price, and words left out of the word cloud.
 QUALITY_WORDS = ("premium", "best", "quality", "certified", "genuine", "authentic")
@@ -34,6 +36,8 @@ ENGLISH_STOP_WORDS = tuple(
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 CLOUD_WORD = r"[\p{L}\p{N}_][\p{L}\p{N}_']*"
+COLLOCATION_THRESHOLD = 30.0
+CLOUD_LABEL = 18
 MAX_FEATURES = 100
 MASK_WORDS = 10_000
 
@@ -176,3 +180,92 @@ def word_frequencies(
     words = words.where(~F.col("word").rlike(r"^\p{Nd}+$"))
     top = topk_by_count(words, "word", k)
     return top.withColumn("weight", F.col("count") / top.agg(F.max("count")).scalar())
+
+
+def _log_likelihood_ratio(both: Column, first: Column, second: Column, n: Column) -> Column:
+    """Dunning's ratio of a pair of neighbouring words against independence (Manning and Schuetze 1999, 5.3.4)."""
+
+    def log_l(k: Column, of: Column, p: Column) -> Column:
+        bounded = lambda x: F.ln(F.greatest(x, F.lit(1e-10)))
+        return bounded(p) * k + bounded(1 - p) * (of - k)
+
+    p, p1, p2 = second / n, both / first, F.try_divide(second - both, n - first)
+    ratio = log_l(both, first, p) + log_l(second - both, n - first, p) - log_l(both, first, p1) - log_l(second - both, n - first, p2)
+    return F.when((n <= first) | (n <= second), F.lit(0.0)).otherwise(-2 * ratio)
+
+
+def _singular(word: Column) -> Column:
+    """The word without its last s, where it may be a plural."""
+    plural = word.endswith("s") & ~word.endswith("ss") & (F.length(word) > 1)
+    return F.when(plural, word.substr(F.lit(1), F.length(word) - 1))
+
+
+def _folded(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys.., word, count) with ``form``: the singular where that occurs too."""
+    known = counts.select(*keys, F.col("word").alias("one"), F.lit(True).alias("known"))
+    found = counts.withColumn("one", _singular(F.col("word"))).join(known, [*keys, "one"], "left")
+    return found.select(*keys, "word", "count", F.when(F.col("known"), F.col("one")).otherwise(F.col("word")).alias("form"))
+
+
+def _pair_counts(lists: DataFrame, stop_words: Sequence[str], frequent: Sequence[str] | None) -> DataFrame:
+    """(first, word, count) of neighbouring words, none of them a stop word, at least one of them frequent."""
+    after = F.slice("words", 2, F.greatest(F.size("words"), F.lit(1)))
+    pair = F.inline(F.zip_with("words", after, lambda a, b: F.struct(a.alias("first"), b.alias("word"))))
+    pairs = lists.select(pair).where(F.col("word").isNotNull() & ~F.col("first").isin(*stop_words) & ~F.col("word").isin(*stop_words))
+    if frequent is not None:
+        pairs = pairs.where(F.col("first").isin(*frequent) | F.col("word").isin(*frequent))
+    return pairs.groupBy("first", "word").agg(F.count(F.lit(1)).alias("count"))
+
+
+def word_cloud(
+    df: DataFrame,
+    column: str = "product_name",
+    k: int = 120,
+    stop_words: Sequence[str] = CLOUD_STOP_WORDS,
+    threshold: float = COLLOCATION_THRESHOLD,
+) -> DataFrame:
+    """The k most frequent words and collocations of a word cloud, with their weight relative to the first and a cut label.
+
+    Words are as in ``word_frequencies``; plurals count for their singular where that occurs. Two neighbouring words of a text, numbers
+    left out, that occur together far more often than by chance (log-likelihood ratio above ``threshold``) are a term of their own,
+    and its count is taken off both words.
+
+    Only pairs with a frequent word are shuffled: a term never counts more than its words, so once the k-th count reaches the
+    frequency asked for, nothing else could have mattered. Until it does, the frequency asked for is halved.
+    """
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(column), F.lit(""))), F.lit(CLOUD_WORD), 0)
+    bare = F.transform(words, lambda w: F.regexp_replace(w, "'s$", ""))
+    lists = spread(df.select(column)).select(F.filter(bare, lambda w: ~w.rlike(r"^\p{Nd}+$")).alias("words"))
+    raw = lists.select(F.explode("words").alias("word")).where(~F.col("word").isin(*stop_words))
+    forms = cut_lineage(_folded(raw.groupBy("word").agg(F.count(F.lit(1)).alias("count"))))
+    counts = cut_lineage(forms.groupBy(F.col("form").alias("word")).agg(F.sum("count").alias("count")))
+    n = counts.agg(F.sum("count")).first()[0] or 0
+    top = counts.orderBy(F.desc("count")).limit(4 * k).agg(F.count("*").alias("n"), F.min("count").alias("floor")).first()
+    floor = top["floor"] if top["n"] == 4 * k else 0
+    form_of = lambda name, form: forms.select(F.col("word").alias(name), F.col("form").alias(form))
+    count_of = lambda form, size: counts.select(F.col("word").alias(form), F.col("count").alias(size))
+    while True:
+        frequent = None
+        if floor > 0:
+            wanted = forms.join(counts.where(F.col("count") >= floor).select(F.col("word").alias("form")), "form", "left_semi")
+            rows = bounded_local(wanted.select("word"), MASK_WORDS)
+            frequent = None if rows is None else [r["word"] for r in rows.collect()]
+        pairs = _folded(_pair_counts(lists, stop_words, frequent), ["first"])
+        pairs = pairs.groupBy("first", F.col("form").alias("word")).agg(F.sum("count").alias("count"))
+        sized = (
+            pairs.join(form_of("first", "form_a"), "first")
+            .join(form_of("word", "form_b"), "word")
+            .join(count_of("form_a", "n_a"), "form_a")
+            .join(count_of("form_b", "n_b"), "form_b")
+        )
+        both, a, b = (F.col(c).cast("double") for c in ("count", "n_a", "n_b"))
+        kept = cut_lineage(sized.where(_log_likelihood_ratio(both, a, b, F.lit(float(n))) > threshold))
+        taken = kept.select(F.explode(F.array("form_a", "form_b")).alias("word"), "count").groupBy("word").agg(F.sum("count").alias("taken"))
+        left = counts.join(taken, "word", "left").select("word", (F.col("count") - F.coalesce("taken", F.lit(0))).alias("count"))
+        terms = left.where(F.col("count") > 0).unionByName(kept.select(F.concat_ws(" ", "first", "word").alias("word"), "count"))
+        found = cut_lineage(terms.orderBy(F.desc("count"), F.asc("word")).limit(k))
+        size = found.agg(F.count("*").alias("n"), F.min("count").alias("least"), F.max("count").alias("most")).first()
+        if frequent is None or (size["n"] == k and size["least"] >= floor):
+            label = short_label(F.col("word"), CLOUD_LABEL).alias("label")
+            return found.select("word", "count", (F.col("count") / F.lit(size["most"])).alias("weight"), label)
+        floor = floor // 2

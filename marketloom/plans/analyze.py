@@ -83,7 +83,7 @@ def report(df: DataFrame) -> dict[str, DataFrame]:
         "hierarchy": groups.market_hierarchy(df),
         "dashboards": charts.dashboard_panels(df, ("executive", "category", "summary", "deep_dive")),
         "keywords": text.tfidf_keywords(df),
-        "word_cloud": text.word_frequencies(df),
+        "word_cloud": text.word_cloud(df),
         "insights": insights.insights(df),
     }
 

@@ -23,6 +23,7 @@ from marketloom.operators import (
     hypo,
     ingest,
     insights,
+    mixtures,
     outliers,
     profile,
     ranks,
@@ -310,9 +311,11 @@ on_listings("normality_dagostino", lambda df: dist.normality_dagostino(df, NUMER
 on_listings("normality_jarque_bera", lambda df: dist.normality_jarque_bera(df, NUMERIC_COLUMNS), statistic=2, p_value=6)
 on_listings(
     "normality_ks",
-    lambda df: dist.normality_ks(df, NUMERIC_COLUMNS).select("column", "test", "statistic"),
+    lambda df: dist.normality_ks(df, NUMERIC_COLUMNS),
     statistic=6,
+    p_value=6,
 )
+on_table("normality_ks_exact", "supplier", lambda df: dist.normality_ks(df, ["s_acctbal"]), statistic=6, p_value=6)
 on_listings(
     "normality_anderson",
     lambda df: dist.normality_anderson(df, NUMERIC_COLUMNS).select("column", "test", "statistic", "is_normal"),
@@ -354,6 +357,14 @@ on_listings(
 )
 on_listings("kruskal", hypo.kruskal, h_statistic=4, p_value=6)
 on_listings("mann_whitney_pairs", lambda df: hypo.mann_whitney_pairs(df).drop("is_significant"), p_value=6)
+on_table(
+    "mann_whitney_small",
+    "supplier",
+    lambda df: hypo.mann_whitney_pairs(
+        df.withColumn("nation", F.col("s_nationkey").cast("string")), "s_acctbal", "nation"
+    ).drop("is_significant"),
+    p_value=6,
+)
 on_listings("levene", hypo.levene, statistic=4, p_value=6)
 on_listings("bartlett", hypo.bartlett, statistic=4, p_value=6)
 on_listings("fligner", hypo.fligner, statistic=4, p_value=6)
@@ -384,6 +395,7 @@ on_listings("outliers_iforest_2d", lambda df: outliers.outliers_iforest(df, ("pr
 on_listings("outliers_lof", outliers.outliers_lof)
 on_table("lof_balances", "supplier", lambda df: outliers.lof_factors(df, "s_acctbal"), lof=6)
 on_listings("outliers_elliptic", outliers.outliers_elliptic)
+on_listings("robust_reweighting", lambda df: outliers.robust_reweighting(df).withColumn("value", F.round(F.col("value"), 3)))
 on_listings("outlier_comparison", outliers.outlier_comparison, average_outliers=4)
 on_listings("anomaly_flags", outliers.anomaly_flags)
 
@@ -428,6 +440,28 @@ def _kmeans_embeddings(df: DataFrame) -> DataFrame:
     return cluster.kmeans_fit(wide, names, 5)
 
 
+def _scaled_prices(df: DataFrame) -> DataFrame:
+    """Both prices, scaled, with the place of the row's category in name order."""
+    scaled = cut_lineage(features.scale_features(df, ("price_min", "price_max")))
+    names = [r["category"] for r in df.select("category").distinct().orderBy("category").collect()]  # six
+    place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("category")).cast("int")
+    return cut_lineage(scaled.join(df.select("id", place.alias("place")), "id"))
+
+
+on_listings(
+    "kmeans_rounds",
+    lambda df: cluster.kmeans_rounds(_scaled_prices(df), ["price_min", "price_max"]),
+    cost=4,
+    price_min=6,
+    price_max=6,
+)
+on_listings(
+    "mixture_scores",
+    lambda df: mixtures.from_labels(_scaled_prices(df), ["price_min", "price_max"], "place"),
+    log_likelihood=2,
+    bic=2,
+    aic=2,
+)
 on_table("kmeans_embeddings", "embeddings", _kmeans_embeddings)
 on_listings(
     "cluster_metrics",
@@ -494,6 +528,9 @@ on_listings("name_patterns", text.name_patterns, avg_name_length=6)
 on_table("quality_word_counts", "documents", lambda df: text.quality_word_counts(df, "text"), hits_pct=6)
 on_table("word_frequencies", "documents", lambda df: text.word_frequencies(df, "text"), weight=8)
 
+on_table("word_cloud", "documents", lambda df: text.word_cloud(df, "text"), weight=8)
+on_listings("word_cloud_titles", text.word_cloud, weight=8)
+
 # --- chart tables ----------------------------------------------------------------------------------------------------------------------
 
 on_listings("histogram", charts.histogram)

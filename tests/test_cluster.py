@@ -3,8 +3,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from marketloom.operators import blocks as B
 from marketloom.operators import cluster as C
 from marketloom.operators import features as E
+from marketloom.operators import mixtures as M
+from marketloom.operators import ward as W
 from marketloom.schema import FEATURE_COLUMNS
 from marketloom.sources.driver_tables import listings
 from tests.conftest import SF_DIR
@@ -86,17 +89,83 @@ def test_ward_is_exact_for_few_points(spark):
     df, names = frame(spark, x)
     rows = C.hierarchical_labels(df, names, 4).toPandas()
     assert {frozenset(g["id"]) for _, g in rows.groupby("hier_cluster")} == brute_ward(x, 4)
+    weights = rng.integers(1, 4, 30)
+    few = rng.normal(size=(30, 3))
+    label = W.groups(weights, few, 5)
+    names_of = np.repeat(np.arange(30), weights)
+    want = {frozenset(names_of[sorted(g)].tolist()) for g in brute_ward(np.repeat(few, weights, axis=0), 5)}
+    assert {frozenset(np.flatnonzero(label == c).tolist()) for c in range(5)} == want
 
 
-def test_ward_through_micro_clusters(spark):
+def test_ward_through_few_features(spark):
     x, labels = blobs(5, 100)
     df, names = frame(spark, x)
-    rows = C.hierarchical_labels(df, names, 3, micro=20).toPandas()
+    rows = C.hierarchical_labels(df, names, 3, leaves=20).toPandas()
     assert {frozenset(g["id"]) for _, g in rows.groupby("hier_cluster")} == {
         frozenset(np.flatnonzero(labels == c).tolist()) for c in range(3)
     }
 
 
+def agreement(a, b):
+    """Adjusted Rand index of two labellings."""
+    pairs = lambda n: n * (n - 1) / 2
+    table = np.zeros((a.max() + 1, b.max() + 1))
+    np.add.at(table, (a, b), 1)
+    both, left, right = pairs(table).sum(), pairs(table.sum(1)).sum(), pairs(table.sum(0)).sum()
+    expected = left * right / pairs(len(a))
+    return (both - expected) / ((left + right) / 2 - expected)
+
+
+def test_ward_of_5000_points_agrees_with_plain_ward(spark):
+    rng = np.random.default_rng(12)
+    groups = ((0, 1.0), (6, 1.5), (-6, 1.0), ((6, -6, 6, -6), 2.0), ((-6, 6, 0, 6), 0.5))
+    x = np.concatenate([rng.normal(c, s, (1000, 4)) for c, s in groups])
+    df, names = frame(spark, x)
+    plain = W.groups(np.ones(len(x)), x, 5)
+    rows = C.hierarchical_labels(df, names, 5).toPandas().sort_values("id")
+    assert agreement(plain, rows["hier_cluster"].to_numpy()) > 0.99
+    coarse = C.hierarchical_labels(df.repartition(7), names, 5, leaves=100).toPandas().sort_values("id")
+    assert agreement(plain, coarse["hier_cluster"].to_numpy()) > 0.95
+
+
+def test_draws_cover_all_rows_and_a_hot_point_takes_one(spark):
+    """A point that a third of the rows share, and a far group of twenty rows: both are among the draws, the first one once."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([np.full((10_000, 3), 0.25), rng.normal(size=(20_000, 3)), rng.normal(40, 0.1, (20, 3))])
+    df, names = frame(spark, x[rng.permutation(len(x))])
+    points, weights = B.weighted_draws(B.pack(df.repartition(5), names), 3, 1)
+    assert len(points) > 1000 and len(np.unique(points, axis=0)) == len(points)
+    assert weights.sum() == len(x) and (points == 0.25).all(1).sum() == 1 and (points > 30).all(1).sum() > 0
+    assert weights[(points == 0.25).all(1)] >= 10_000
+    sizes = sorted(r["size"] for r in C.kmeans_fit(df, names, 2).collect())
+    assert sizes[0] == 20
+
+
+def test_mixture_of_fixed_groups_and_a_fit_in_collinear_features(spark):
+    rng = np.random.default_rng(9)
+    x, labels = blobs(9, 200)
+    df, names = frame(spark, x, labels)
+    got = M.from_labels(df, names, "c", ridge=0.0).first()
+    density = np.zeros(len(x))
+    for c in range(3):
+        own = x[labels == c]
+        gap, cov = x - own.mean(0), np.cov(own.T, bias=True)
+        quad = np.einsum("ij,jk,ik->i", gap, np.linalg.inv(cov), gap)
+        density += len(own) / len(x) * np.exp(-quad / 2) / (2 * np.pi * np.sqrt(np.linalg.det(cov)))
+    assert got["log_likelihood"] == pytest.approx(np.log(density).sum())
+    assert got["bic"] == pytest.approx(-2 * np.log(density).sum() + 17 * np.log(len(x)))
+    # With a third, collinear feature the fit still has two dimensions and the same groups.
+    wide = np.concatenate([x, x @ [[0.5], [2.0]]], 1)
+    df, names = frame(spark, wide[rng.permutation(len(wide))])
+    fit = M.fit(df, names, [3], 3)
+    assert fit.d == 2 and fit.best[3].converged and fit.best[3].mixture.weights == pytest.approx([1 / 3] * 3, abs=0.01)
+    rows = M.labelled(df.withColumn("f0", F.when(F.col("id") > 0, F.col("f0"))), names, fit, 3).collect()
+    assert [r["gmm_cluster"] for r in rows if r["id"] == 0] == [None]
+    assert all(r["confidence"] > 1 / 3 for r in rows if r["id"])
+    none = df.where("id < 0")
+    assert C.gmm_fit(none, names, 3).collect() == [] and C.gmm_select(none, names).collect() == []
+
+
 def test_pca_against_eigenvalues(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(200, 3)) @ rng.normal(size=(3, 3)) + 7

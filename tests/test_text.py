@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.operators import text as T
 
@@ -64,3 +65,52 @@ def test_word_frequencies(spark):
     df = spark.createDataFrame([("The seller's Pump 42 pump's",), ("pump model",)], "product_name string")
     got = {r["word"]: (r["count"], r["weight"]) for r in T.word_frequencies(df).collect()}
     assert got == {"pump": (3, 1.0), "seller": (1, 1 / 3)}
+
+
+def brute_cloud(texts, k, threshold=30.0):
+    import regex
+
+    lists = []
+    for t in texts:
+        words = [regex.sub("'s$", "", w) for w in regex.findall(r"[\p{L}\p{N}_][\p{L}\p{N}_']*", (t or "").lower())]
+        lists.append([w for w in words if not regex.fullmatch(r"\p{Nd}+", w)])
+    stop = set(T.CLOUD_STOP_WORDS)
+
+    def fold(counts, last=lambda w: w, cut=lambda w: w[:-1]):
+        form = {}
+        for w in counts:
+            plural = last(w).endswith("s") and not last(w).endswith("ss") and len(last(w)) > 1
+            form[w] = cut(w) if plural and cut(w) in counts else w
+        out = Counter()
+        for w, c in counts.items():
+            out[form[w]] += c
+        return out, form
+
+    counts, form = fold(Counter(w for ws in lists for w in ws if w not in stop))
+    raw_pairs = Counter((a, b) for ws in lists for a, b in zip(ws, ws[1:]) if a not in stop and b not in stop)
+    pairs, _ = fold(raw_pairs, lambda p: p[1], lambda p: (p[0], p[1][:-1]))
+    n, left = sum(counts.values()), Counter(counts)
+    log_l = lambda k, of, p: math.log(max(p, 1e-10)) * k + math.log(max(1 - p, 1e-10)) * (of - k)
+    for (a, b), c in pairs.items():
+        a1, b1 = form[a], form[b]
+        c1, c2 = counts[a1], counts[b1]
+        if n <= c1 or n <= c2:
+            continue
+        p, p1, p2 = c2 / n, c / c1, (c2 - c) / (n - c1)
+        if -2 * (log_l(c, c1, p) + log_l(c2 - c, n - c1, p) - log_l(c, c1, p1) - log_l(c2 - c, n - c1, p2)) > threshold:
+            left[a1] -= c
+            left[b1] -= c
+            left[f"{a} {b}"] += c
+    return sorted(((w, c) for w, c in left.items() if c > 0), key=lambda x: (-x[1], x[0]))[:k]
+
+
+@pytest.mark.parametrize("k", [5, 40])
+def test_word_cloud_counts_collocations_and_folds_plurals(spark, k):
+    rng = random.Random(k)
+    words = ["pump", "pumps", "gear", "gears", "glass", "the", "ball", "bearing", "bearings", "42", "Valve's", "rare", "élan", "x", "s"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 9)) + ["ball", "bearing" + "s" * rng.randint(0, 1)] * rng.randint(0, 2)) for _ in range(150)]
+    texts += [None, "", *[f"word{i} other{i}" for i in range(60)]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, product_name string")
+    got = [(r["word"], r["count"]) for r in T.word_cloud(df, k=k).orderBy(F.desc("count"), "word").collect()]
+    assert got == brute_cloud(texts, k) and any(" " in w for w, _ in got)
+    assert T.word_cloud(df.where("id < 0")).collect() == []
