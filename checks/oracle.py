@@ -1158,3 +1158,49 @@ listings(
       'scatter price_max price_max']) AS element, unnest([round(mx, 3), round(my, 3), round(vx, 3), round(v, 3), round(vy, 3)]) AS value
     FROM s""",
 )
+
+
+def free_location(points: int = 41, plane: int = 15, rounds: int = 9) -> str:
+    """Likelihoods with the location sought by ever finer grids of its gap to the smallest value; gamma's shape by Newton steps whose
+    digamma function is a difference of lgamma."""
+    at = lambda lo, hi, i, n: f"exp({lo} + ({hi} - {lo}) * {i} / {n - 1}.0)"
+    zoom = f"greatest(b0, u - (hi - lo) / {points - 1}) AS lo, least(b1, u + (hi - lo) / {points - 1}) AS hi"
+
+    def line(name: str, ll: str) -> str:
+        return f"""
+    {name} AS (SELECT 0 AS r, ln(1e-3 * sd) AS lo, ln(1e2 * sd) AS hi, ln(1e-3 * sd) AS b0, ln(1e2 * sd) AS b1, -1e300::double AS ll FROM p
+      UNION ALL SELECT r + 1, {zoom}, b0, b1, ll FROM (
+        SELECT r, lo, hi, b0, b1, max({ll}) AS ll, arg_max(lo + (hi - lo) * i / {points - 1}.0, {ll}) AS u FROM (
+          SELECT r, lo, hi, b0, b1, i, g, n, mx - low + g AS m1, avg(ln(x - low + g)) AS m, greatest(var_pop(ln(x - low + g)), 1e-300) AS v FROM (
+            SELECT z.*, i, {at('lo', 'hi', 'i', points)} AS g FROM {name} z, range({points}) AS t(i) WHERE r < {rounds}), d
+          GROUP BY ALL) GROUP BY r, lo, hi, b0, b1))"""
+
+    dig = "((lgamma(a * 1.0001) - lgamma(a * 0.9999)) / (a * 0.0002))"
+    tri = "((lgamma(a * 1.001) - 2 * lgamma(a) + lgamma(a * 0.999)) / power(a * 0.001, 2))"
+    gap = "(ln(m1) - m)"
+    start = f"((3 - {gap} + sqrt(power({gap} - 3, 2) + 24 * {gap})) / (12 * {gap}))"
+    newton = f"list_reduce(list_prepend({start}, [0.0 FOR i IN range(12)]), lambda a, i: greatest(a / 2, a - (ln(a) - {dig} - {gap}) / (1 / a - {tri})))"
+    gamma = f"(({newton} - 1) * m - {newton} - lgamma({newton}) - {newton} * ln(m1 / {newton}))"
+    return f""", p AS (SELECT avg(price_min) AS mx, stddev_pop(price_min) AS sd, min(price_min) AS low, count(*)::double AS n FROM listings),
+    d AS (SELECT price_min AS x, mx, low, n FROM listings, p),
+    {line('logn', '(-(0.5 * ln(v) + m + 0.5 * ln(2 * pi()) + 0.5))')},
+    {line('gam', gamma)},
+    weib AS (SELECT 0 AS r, ln(1e-3 * sd) AS lo, ln(1e2 * sd) AS hi, ln(0.05) AS cl, ln(50.0) AS ch, ln(1e-3 * sd) AS b0, ln(1e2 * sd) AS b1,
+        -1e300::double AS ll FROM p
+      UNION ALL SELECT r + 1, greatest(b0, u - 3 * (hi - lo) / {plane - 1}), least(b1, u + 3 * (hi - lo) / {plane - 1}),
+        greatest(ln(0.05), lc - 3 * (ch - cl) / {plane - 1}), least(ln(50.0), lc + 3 * (ch - cl) / {plane - 1}), b0, b1, ll FROM (
+        SELECT r, lo, hi, cl, ch, b0, b1, max(ll) AS ll, arg_max(lo + (hi - lo) * i / {plane - 1}.0, ll) AS u,
+          arg_max(cl + (ch - cl) * j / {plane - 1}.0, ll) AS lc FROM (
+          SELECT r, lo, hi, cl, ch, b0, b1, i, j, ln(c) - ln(avg(exp(c * ln((x - low + g) / s)))) - c * ln(s) + (c - 1) * avg(ln(x - low + g)) - 1 AS ll FROM (
+            SELECT z.*, i, j, sd, {at('lo', 'hi', 'i', plane)} AS g, {at('cl', 'ch', 'j', plane)} AS c, sd + {at('lo', 'hi', 'i', plane)} AS s
+            FROM weib z, p, range({plane}) AS t(i), range({plane}) AS o(j) WHERE r < {rounds + 5}), d
+          GROUP BY r, lo, hi, cl, ch, b0, b1, i, j, c, s) GROUP BY r, lo, hi, cl, ch, b0, b1)),
+    f AS (SELECT 'norm' AS distribution, 2 AS k, -(ln(sd) + 0.5 * ln(2 * pi()) + 0.5) AS ll FROM p
+      UNION ALL SELECT 'expon', 2, -ln(mx - low) - 1 FROM p
+      UNION ALL SELECT 'lognorm', 3, max(ll) FROM logn UNION ALL SELECT 'gamma', 3, max(ll) FROM gam
+      UNION ALL SELECT 'weibull_min', 3, max(ll) FROM weib)
+    SELECT distribution, cast(k AS int) AS n_params, round(ll * n, 2) AS log_likelihood, round(2 * k - 2 * ll * n, 2) AS aic,
+    round(k * ln(n) - 2 * ll * n, 2) AS bic, 2 * k - 2 * ll * n = min(2 * k - 2 * ll * n) OVER () AS is_best FROM f, p"""
+
+
+ORACLE["fit_free_location"] = LISTINGS.replace("WITH ", "WITH RECURSIVE ", 1) + free_location()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import special as S
 from marketloom.functions.special import beta_share, gamma_tail
+from marketloom.operators.blocks import pack, total
 from marketloom.operators.groups import union_batches
 from marketloom.operators.lookup import lookup_join, settled
 from marketloom.operators.ranks import melt, usable, value_ladder
@@ -309,15 +310,104 @@ def _weibull_shape(rows: DataFrame, mean_log: float, max_rounds: int = 40) -> fl
     return shape
 
 
+# The gap between the location and the smallest value (for beta also between the largest value and the end), in standard deviations.
+GAP_RANGE = (1e-3, 1e2)
+SHAPE_RANGE = (0.05, 50.0)
+GRID = 41
+PLANE = 21  # points a side, where two parameters are sought together
+ZOOMS = 7
+
+
+def _profiles(gaps: dict[str, tuple[np.ndarray, ...]], mean: float, low: float, high: float, sd: float, blocks: DataFrame) -> dict[str, np.ndarray]:
+    """Mean log-likelihood of every family at every candidate point, the other parameters at their best, from one pass over all rows.
+
+    ``gaps`` holds the candidates' gaps, for ``weibull_min`` also shapes and for ``beta`` also the gaps at the upper end.
+    """
+    lower = np.concatenate([g[0] for g in gaps.values()])
+    upper = gaps["beta"][1] if "beta" in gaps else np.zeros(0)
+    shapes = gaps["weibull_min"][1] if "weibull_min" in gaps else np.zeros(0)
+    from_weibull = gaps["weibull_min"][0] if "weibull_min" in gaps else np.zeros(0)
+    centre = np.log(sd + from_weibull)
+
+    def kernel(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+        y = np.log(x - low + lower)
+        powers = [w @ np.exp((np.log(x - low + from_weibull) - centre) * c) for c in shapes]
+        parts = [[w.sum()], w @ y, w @ (y * y), w @ np.log(high - x + upper), *powers]
+        return np.concatenate(parts)[None, :]
+
+    with np.errstate(over="ignore"):
+        sums = total(blocks, 1, kernel)[0]
+    n, sums = sums[0], sums[1:] / sums[0]
+    logs, squares, tops = np.split(sums, np.cumsum([len(lower), len(lower), len(upper)]))[:3]
+    powers = sums[2 * len(lower) + len(upper) :].reshape(len(shapes), -1)
+    out, at = {}, 0
+    for name, (g, *_) in gaps.items():
+        ml, sl = logs[at : at + len(g)], squares[at : at + len(g)]
+        at += len(g)
+        if name == "lognorm":
+            spread = np.maximum(sl - ml * ml, 1e-300)
+            out[name] = -(0.5 * np.log(spread) + ml + 0.5 * math.log(2 * math.pi) + 0.5)
+        elif name == "gamma":
+            shape = np.array([_fit_gamma(mean - low + a, b)[0] for a, b in zip(g, ml)])
+            norm = np.array([math.lgamma(a) for a in shape])
+            out[name] = (shape - 1) * ml - shape - norm - shape * np.log((mean - low + g) / shape)
+        elif name == "weibull_min":
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ll = np.log(shapes)[:, None] - np.log(powers) - shapes[:, None] * centre + (shapes[:, None] - 1) * ml - 1
+            out[name] = np.where(np.isfinite(ll), ll, -np.inf).T
+        elif name == "beta":
+            ll = np.full((len(g), len(upper)), -np.inf)
+            for i, a in enumerate(g):
+                for j, b in enumerate(upper):
+                    width = high - low + a + b
+                    lx, lr, m, v = ml[i] - math.log(width), tops[j] - math.log(width), (mean - low + a) / width, (sd / width) ** 2
+                    p, q = _fit_beta(lx, lr, m, v)
+                    norm = math.lgamma(p) + math.lgamma(q) - math.lgamma(p + q)
+                    ll[i, j] = (p - 1) * lx + (q - 1) * lr - norm - math.log(width)
+            out[name] = ll
+    return out
+
+
+def free_points(rows: DataFrame, m, names: Sequence[str]) -> dict[str, tuple[float, ...]]:
+    """Per family the gap below the smallest value (and Weibull's shape, beta's gap above the largest one) of highest likelihood.
+
+    Grids of candidates in logarithms, all families in one pass; each next grid lies between the neighbours of the best point. The
+    likelihood of shapes below 1 grows without bound as the location nears the smallest value, so the gap is bounded (``GAP_RANGE``).
+    """
+    sd, low, high = m["sd"], m["low"], m["high"]
+    gap = tuple(math.log(b * sd) for b in GAP_RANGE)
+    shape = tuple(math.log(b) for b in SHAPE_RANGE)
+    spans = {"lognorm": [gap], "gamma": [gap], "weibull_min": [gap, shape], "beta": [gap, gap]}
+    spans = {k: v for k, v in spans.items() if k in names}
+    bounds = {k: list(v) for k, v in spans.items()}
+    blocks = pack(rows, ["x"])
+    best: dict[str, tuple[float, ...]] = {}
+    for _ in range(ZOOMS if spans else 0):
+        grids = {k: [np.linspace(lo, hi, GRID if len(v) == 1 else PLANE) for lo, hi in v] for k, v in spans.items()}
+        found = _profiles({k: tuple(np.exp(g) for g in v) for k, v in grids.items()}, m["mean"], low, high, sd, blocks)
+        for k, ll in found.items():
+            at = np.unravel_index(int(np.argmax(ll)), ll.shape)
+            best[k] = tuple(float(np.exp(g[i])) for g, i in zip(grids[k], at))
+            # Two steps to each side where two parameters pull together, one where a single one is sought.
+            reach = 1 if len(at) == 1 else 3
+            step = [g[1] - g[0] for g in grids[k]]
+            spans[k] = [
+                (max(b[0], g[i] - reach * d), min(b[1], g[i] + reach * d)) for g, i, d, b in zip(grids[k], at, step, bounds[k])
+            ]
+    return best
+
+
 def fit_distributions(
     df: DataFrame,
     column: str = "price_min",
     names: Sequence[str] = ("norm", "lognorm", "expon", "gamma", "beta", "weibull_min"),
+    free: bool = True,
 ) -> DataFrame:
     """Maximum-likelihood fits with their log-likelihood, AIC, BIC and Kolmogorov distance.
 
-    Location is fixed (0; the minimum for the exponential, the padded range for beta), and ``n_params`` counts the
-    fitted parameters. Positive families are left out when a value is not positive. ``is_best`` marks the lowest AIC.
+    The location is fitted too, within ``GAP_RANGE`` of the smallest value. With ``free`` false it is fixed (0; the padded range for beta)
+    and positive families are left out when a value is not positive; the exponential starts at the minimum either way. ``n_params`` counts
+    the fitted parameters. ``is_best`` marks the lowest AIC.
     """
     rows = df.select(F.col(column).cast("double").alias("x")).where(usable(F.col("x")))
     log_x = F.ln(F.when(F.col("x") > 0, F.col("x")))
@@ -333,7 +423,7 @@ def fit_distributions(
     x = F.col("x")
     fits: dict[str, tuple[dict[str, float], Column, Column]] = {}
     if m["n"] and m["sd"] > 0:
-        fits = _fitted(rows, x, m, names)
+        fits = _fitted(rows, x, m, names, free_points(rows, m, names) if free else None)
     if not fits:
         return df.sparkSession.createDataFrame([], _FIT_SCHEMA)
     ladder = value_ladder(rows, "x").withColumnRenamed("value", "x")
@@ -388,11 +478,23 @@ def _beta_cdf(a: float, b: float, low: float, width: float):
     return cdf
 
 
-def _fitted(rows: DataFrame, x: Column, m, names: Sequence[str]):
-    """Name -> (parameters, log-density, distribution function) of the families that can be fitted."""
+def _fitted(rows: DataFrame, x: Column, m, names: Sequence[str], points: dict[str, tuple[float, ...]] | None):
+    """Name -> (parameters, log-density, distribution function) of the families that can be fitted; ``points`` holds the gaps
+    between free locations and the smallest value."""
     root = 0.5 * math.log(2 * math.pi)
     positive = m["low"] > 0
     fits = {}
+
+    def placed(name: str) -> tuple[float, dict[str, float]] | None:
+        """The location, and the parameter it adds; None where the family cannot be fitted."""
+        if name not in names or (points is None and not positive):
+            return None
+        return (0.0, {}) if points is None else (m["low"] - points[name][0], {"loc": m["low"] - points[name][0]})
+
+    def mean_log(loc: float) -> tuple[float, float]:
+        row = rows.agg(F.avg(F.ln(F.col("x") - loc)).alias("m"), F.stddev_pop(F.ln(F.col("x") - loc)).alias("s")).first()
+        return row["m"], row["s"]
+
     if "norm" in names:
         z = (x - m["mean"]) / m["sd"]
         fits["norm"] = (
@@ -400,29 +502,33 @@ def _fitted(rows: DataFrame, x: Column, m, names: Sequence[str]):
             -z * z / 2 - math.log(m["sd"]) - root,
             S.norm_cdf(z),
         )
-    if "lognorm" in names and positive and m["sd_log"] > 0:
-        z = (F.ln(x) - m["mean_log"]) / m["sd_log"]
-        fits["lognorm"] = (
-            {"s": m["sd_log"], "scale": math.exp(m["mean_log"])},
-            -z * z / 2 - F.ln(x) - math.log(m["sd_log"]) - root,
-            S.norm_cdf(z),
-        )
+    if place := placed("lognorm"):
+        loc, extra = place
+        centre, spread = mean_log(loc)
+        if spread > 0:
+            z = (F.ln(x - loc) - centre) / spread
+            fits["lognorm"] = (
+                {"s": spread, "scale": math.exp(centre)} | extra,
+                -z * z / 2 - F.ln(x - loc) - math.log(spread) - root,
+                S.norm_cdf(z),
+            )
     if "expon" in names:
         scale = m["mean"] - m["low"]
         z = (x - m["low"]) / scale
         fits["expon"] = ({"loc": m["low"], "scale": scale}, -z - math.log(scale), 1 - F.exp(-z))
-    if "gamma" in names and positive:
-        shape, scale = _fit_gamma(m["mean"], m["mean_log"])
+    if place := placed("gamma"):
+        loc, extra = place
+        shape, scale = _fit_gamma(m["mean"] - loc, mean_log(loc)[0])
         norm = math.lgamma(shape) + shape * math.log(scale)
         fits["gamma"] = (
-            {"a": shape, "scale": scale},
-            (shape - 1) * F.ln(x) - x / scale - norm,
-            _gamma_cdf(shape, scale)(x),
+            {"a": shape, "scale": scale} | extra,
+            (shape - 1) * F.ln(x - loc) - (x - loc) / scale - norm,
+            _gamma_cdf(shape, scale)(x - loc),
         )
     if "beta" in names:
-        # The range is padded so that no value sits on an end, where the density is undefined.
-        pad = (m["high"] - m["low"]) * 1e-3
-        low, width = m["low"] - pad, m["high"] - m["low"] + 2 * pad
+        # With fixed ends the range is padded so that no value sits on an end, where the density is undefined.
+        pad = ((m["high"] - m["low"]) * 1e-3,) * 2 if points is None else points["beta"]
+        low, width = m["low"] - pad[0], m["high"] - m["low"] + pad[0] + pad[1]
         u = (x - low) / width
         s = rows.agg(
             F.avg(F.ln(u)).alias("lx"), F.avg(F.ln(1 - u)).alias("lr"), F.avg(u).alias("m"), F.var_pop(u).alias("v")
@@ -434,14 +540,17 @@ def _fitted(rows: DataFrame, x: Column, m, names: Sequence[str]):
             (a - 1) * F.ln(u) + (b - 1) * F.ln(1 - u) - norm,
             _beta_cdf(a, b, low, width)(x),
         )
-    if "weibull_min" in names and positive:
-        shape = _weibull_shape(rows, m["mean_log"])
-        power = rows.agg(F.avg(F.exp((F.ln("x") - m["mean_log"]) * shape))).first()[0]
-        scale = math.exp(m["mean_log"] + math.log(power) / shape)
-        lift = F.exp(shape * (F.ln(x) - math.log(scale)))
+    if place := placed("weibull_min"):
+        loc, extra = place
+        centre = mean_log(loc)[0]
+        moved = rows.select((F.col("x") - loc).alias("x"))
+        shape = _weibull_shape(moved, centre)
+        power = moved.agg(F.avg(F.exp((F.ln("x") - centre) * shape))).first()[0]
+        scale = math.exp(centre + math.log(power) / shape)
+        lift = F.exp(shape * (F.ln(x - loc) - math.log(scale)))
         fits["weibull_min"] = (
-            {"c": shape, "scale": scale},
-            math.log(shape) - math.log(scale) + (shape - 1) * (F.ln(x) - math.log(scale)) - lift,
+            {"c": shape, "scale": scale} | extra,
+            math.log(shape) - math.log(scale) + (shape - 1) * (F.ln(x - loc) - math.log(scale)) - lift,
             1 - F.exp(-lift),
         )
     return fits

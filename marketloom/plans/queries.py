@@ -324,7 +324,7 @@ on_listings(
 on_listings("normality_verdict", lambda df: dist.normality_verdict(df, ["price_min", "price_max"]))
 on_listings(
     "fit_distributions",
-    lambda df: dist.fit_distributions(df, names=("norm", "lognorm", "expon")).select(
+    lambda df: dist.fit_distributions(df, names=("norm", "lognorm", "expon"), free=False).select(
         "distribution", "n_params", "log_likelihood", "aic", "bic", "ks_statistic", "is_best"
     ),
     log_likelihood=2,
@@ -332,6 +332,15 @@ on_listings(
     bic=2,
     ks_statistic=6,
 )
+on_listings(
+    "fit_free_location",
+    lambda df: dist.fit_distributions(df, names=("norm", "lognorm", "expon", "gamma", "weibull_min")).select(
+        "distribution", "n_params", "log_likelihood", "aic", "bic", "is_best"
+    ),
+    log_likelihood=2,
+    aic=2,
+    bic=2,
+)
 on_listings("fit_all_distributions", dist.fit_distributions)
 on_listings("qq_correlation", lambda df: dist.qq_correlation(df, NUMERIC_COLUMNS), qq_correlation=6)
 

@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from marketloom.functions import special as S
 from marketloom.operators import corr as C
 from marketloom.operators import dist as D
 from marketloom.operators import hypo as H
@@ -159,7 +160,7 @@ def test_shapiro_published_example(prices):
 
 def test_fits_recover_parameters(prices):
     rng = np.random.default_rng(8)
-    fits = lambda x: {r["distribution"]: r for r in D.fit_distributions(prices(x.tolist())).collect()}
+    fits = lambda x: {r["distribution"]: r for r in D.fit_distributions(prices(x.tolist()), free=False).collect()}
     gamma = fits(rng.gamma(3.0, 2.0, 4000))
     assert gamma["gamma"]["parameters"] == pytest.approx({"a": 3.0, "scale": 2.0}, rel=0.1)
     assert gamma["gamma"]["ks_statistic"] < 0.03 and gamma["gamma"]["ks_p_value"] > 0.01
@@ -203,3 +204,54 @@ def test_profile_of_nothing_and_of_a_constant(prices):
     twice = prices([1.0, 1.0]).select(F.lit(1).alias("id"), "price_min", F.lit(None).cast("string").alias("category"))
     row = P.dataset_profile(twice).first()
     assert (row["duplicate_rows"], row["missing_values"]) == (1, 2)
+
+
+@pytest.mark.parametrize("family", ["lognorm", "gamma", "weibull_min", "beta"])
+def test_free_location_beats_the_true_parameters(prices, family):
+    rng = np.random.default_rng(17)
+    n, loc = 3000, -40.0
+    lgamma = math.lgamma
+    if family == "lognorm":
+        y = rng.lognormal(2.0, 0.4, n)
+        true = (-((np.log(y) - 2.0) ** 2) / (2 * 0.16) - np.log(y) - math.log(0.4) - 0.5 * math.log(2 * math.pi)).sum()
+    elif family == "gamma":
+        y = rng.gamma(3.0, 5.0, n)
+        true = (2 * np.log(y) - y / 5 - lgamma(3) - 3 * math.log(5)).sum()
+    elif family == "weibull_min":
+        y = 8 * rng.weibull(1.7, n)
+        true = (math.log(1.7 / 8) + 0.7 * np.log(y / 8) - (y / 8) ** 1.7).sum()
+    else:
+        y = 30 * rng.beta(2.0, 3.5, n)
+        true = (np.log(y / 30) + 2.5 * np.log(1 - y / 30) - lgamma(2) - lgamma(3.5) + lgamma(5.5) - math.log(30)).sum()
+    df = prices(list(y + loc))
+    got = {r["distribution"]: r for r in D.fit_distributions(df).collect()}
+    own = got[family]
+    assert true - 1e-6 <= own["log_likelihood"] < true + 12
+    assert own["n_params"] == (4 if family == "beta" else 3) and own["is_best"] == (own["aic"] == min(r["aic"] for r in got.values()))
+    assert own["parameters"]["loc"] == pytest.approx(loc, abs=1.5) and own["ks_statistic"] < 0.03
+    assert [r["distribution"] for r in D.fit_distributions(df, names=("gamma", "norm"), free=False).collect()] == ["norm"]
+
+
+def test_exact_laws_of_small_samples(prices):
+    """U by enumeration of all arrangements, D by a published value and by simulation."""
+    for a, b in ((1, 1), (2, 5), (4, 4), (5, 3), (8, 8)):
+        counts = np.zeros(a * b + 1, int)
+        for chosen in combinations(range(a + b), a):
+            counts[sum(chosen) - a * (a - 1) // 2] += 1
+        assert (S.mann_whitney_counts(a, b) == counts).all()
+        for u in range(a * b + 1):
+            want = min(1.0, 2 * counts[max(u, a * b - u) :].sum() / counts.sum())
+            assert S.mann_whitney_exact(u, a, b) == pytest.approx(want)
+    assert math.isnan(S.mann_whitney_exact(40, 9, 9)) and math.isnan(S.mann_whitney_exact(40, 8, 10_000))
+    row = H.mann_whitney_pairs(prices([1, 2, 3, 4, 5, 6, 7], list("aababbb"))).first()
+    assert row["u_statistic"] == 1 and row["p_value"] == pytest.approx(2 * 2 / 35)
+    tied = H.mann_whitney_pairs(prices([1, 2, 2, 4, 5, 6, 7], list("aababbb"))).first()
+    assert tied["p_value"] > 2 * 2 / 35
+    assert S.kolmogorov_tail(0.274, 10) == pytest.approx(1 - 0.6284796154565043)
+    assert S.kolmogorov_tail([0.04, 1.0], [10, 10]).tolist() == [1.0, 0.0]
+    assert abs(S.kolmogorov_tail(0.03, 2000) - S.kolmogorov_tail(0.03, 2001)) < 2e-4
+    rng = np.random.default_rng(8)
+    x = np.sort(rng.random((20_000, 25)), axis=1)
+    d = np.maximum(np.arange(1, 26) / 25 - x, x - np.arange(25) / 25).max(1)
+    for q in (0.15, 0.2, 0.25):
+        assert S.kolmogorov_tail(q, 25) == pytest.approx((d >= q).mean(), abs=0.012)
