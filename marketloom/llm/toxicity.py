@@ -4,8 +4,9 @@
 are taken, and a logistic curve fitted on leave-one-out votes turns both into a probability:
 
 * over whole texts (``Texts``): the vectors hold every word. Document frequencies are counted over *all* documents, those of words
-  that no example holds too, as these words are part of a document's norm. Cosines with all examples are summed from
-  posting lists, those of frequent words as one matrix product. The evidence is taken from here.
+  that no example holds too, as these words are part of a document's norm. Examples lie in blocks, ordered by content. What rare words
+  add is summed from posting lists; with the largest weight of each frequent word in a block it bounds the cosines of the block, and
+  only blocks whose bound reaches the nearest found so far are multiplied out. The evidence is taken from here.
 * over markers (``Examples``): the words and word beginnings that mark toxic examples (by a likelihood ratio). Blocks of examples are
   visited from the highest bound down until none can hold a nearer example. A document that holds no marker is judged here by
   the examples that hold none either.
@@ -40,10 +41,11 @@ BLOCK = 64
 NEAR = 0.05
 PRIOR = 0.5
 FOLDS = 5
-COMMON = 16  # a word of more than one in so many examples is a row of the matrix
+COMMON = 12  # a word of more than one in so many examples is a row of the matrix
 ROWS = 128
 FEATURES = "row_id long, toxic int, terms array<long>, counts array<int>, words array<long>, word_counts array<int>"
-MADE = ("slots", "counts", "word_slots", "word_counts", "rest", "rest_counts", "row_at", "rest_square", "score", "predicted", "evidence", "held_out")
+SEARCHED = ("row_at", "nearest", "product", "square", "odds", "rest", "rest_counts")
+MADE = (*SEARCHED, "rest_square", "score", "predicted", "evidence", "held_out")
 
 
 def fold(doc_id: str = "doc_id") -> F.Column:
@@ -85,63 +87,98 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays(columns, names=["row_id", "toxic", "terms", "counts", "words", "word_counts"])
 
 
-def _slots(wanted: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The place of each code in ``wanted`` (sorted), and whether it is there."""
-    if not len(wanted):
-        return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
-    slot = np.minimum(np.searchsorted(wanted, codes), len(wanted) - 1)
-    return slot, wanted[slot] == codes
+class Lookup:
+    """The place of a code in a sorted list of mixed codes, by open addressing with their upper bits."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes = codes
+        self.bits = max(4, int(4 * len(codes) + 1).bit_length())
+        self.table = np.full(1 << self.bits, -1, np.int32)
+        waiting = np.arange(len(codes), dtype=np.int32)
+        at = self._home(codes)
+        while len(waiting):
+            free = self.table[at] < 0
+            self.table[at[free]] = waiting[free]
+            left = self.table[at] != waiting
+            waiting, at = waiting[left], (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _home(self, codes: np.ndarray) -> np.ndarray:
+        return (codes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """The place of each code, or -1."""
+        out = np.full(len(codes), -1, np.int64)
+        at, asked = self._home(codes), np.arange(len(codes))
+        while len(asked):
+            place = self.table[at]
+            some = place >= 0
+            asked, at, place = asked[some], at[some], place[some]
+            same = self.codes[place] == codes[asked]
+            out[asked[same]] = place[same]
+            asked, at = asked[~same], (at[~same] + 1) & ((1 << self.bits) - 1)
+        return out
 
 
-def document_vectors(docs: DataFrame, terms: np.ndarray, vocabulary: np.ndarray) -> DataFrame:
-    """``docs`` without texts, with the counts of ``terms`` and of every word in each whole text: words of ``vocabulary`` by slot,
-    the rest by code (both arguments are sorted codes). ``row_at`` numbers the rows; store the result before it is used."""
-    shared = docs.sparkSession.sparkContext.broadcast((terms, vocabulary))
-    kept = docs.drop("text", *MADE)
-    names = kept.columns
+def _pairs(text: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, slot, count) in the order of text, then slot."""
+    key, count = np.unique((text << 32) | slot, return_counts=True)
+    return key >> 32, key & 0xFFFFFFFF, count
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, known = shared.value
-        present = np.zeros(1 << 20, bool)
-        present[(wanted & np.uint64(0xFFFFF)).astype(np.int64)] = True
-        at = TaskContext.get().partitionId() << 40
-        for rows in slices(batches, "text"):
-            n = rows.num_rows
-            texts, codes, words = text_terms(rows.column("text"))
-            maybe = present[(codes & np.uint64(0xFFFFF)).astype(np.int64)]
-            slot, hit = _slots(wanted, codes[maybe])
-            marks = counted(texts[maybe][hit], slot[hit])
-            text, code, count = counted(texts[:words], codes[:words])
-            slot, hit = _slots(known, code)
-            by_slot = np.lexsort((slot[hit], text[hit]))
-            lists = [
-                _lists(marks[0], marks[1], n, pa.int32()),
-                _lists(marks[0], marks[2], n, pa.int32()),
-                _lists(text[hit], slot[hit][by_slot], n, pa.int32()),
-                _lists(text[hit], count[hit][by_slot], n, pa.int32()),
-                _lists(text[~hit], signed(code[~hit]), n, pa.int64()),
-                _lists(text[~hit], count[~hit], n, pa.int32()),
-                pa.array(np.arange(at, at + n)),
-            ]
-            at += n
-            yield pa.RecordBatch.from_arrays([rows.column(c) for c in names] + lists, names=[*names, *MADE[:7]])
 
-    schema = widened(
-        kept.schema.fields,
-        "slots array<int>, counts array<int>, word_slots array<int>, word_counts array<int>, rest array<long>, rest_counts array<int>, row_at long",
+def read_terms(column: pa.Array, terms: Lookup, vocabulary: Lookup) -> tuple[tuple, tuple, tuple]:
+    """(text, slot, count) of the markers, (text, slot, count) of the vocabulary's words and (text, code, count) of all other words."""
+    words = Words(column, ALPHANUMERIC, lower=True)
+    codes, text = words.codes(), words.text
+    long = words.end - words.start > PREFIX_BYTES
+    beginning = terms.find(mix(words.codes(PREFIX_BYTES)[long] ^ np.uint64(0x5DEECE66D)))
+    whole = terms.find(codes)
+    marks = _pairs(
+        np.concatenate([text[whole >= 0], text[long][beginning >= 0]]), np.concatenate([whole[whole >= 0], beginning[beginning >= 0]])
     )
-    return docs.select(*names, "text").mapInArrow(run, schema)
+    slot = vocabulary.find(codes)
+    known = slot >= 0
+    return marks, _pairs(text[known], slot[known]), counted(text[~known], codes[~known])
+
 
+def document_frequencies(docs: DataFrame, terms: np.ndarray, vocabulary: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """(number of rows, rows that hold each marker, rows that hold each word of the vocabulary).
 
-def with_rest_square(rows: DataFrame, n_docs: int) -> DataFrame:
-    """``rows`` with the square that the words outside the vocabulary add to their vectors' norms."""
+    A task's counts travel in ranges of terms, so many that what meets in one place stays small whatever the number of tasks.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((terms, vocabulary))
+    size = 1 + len(terms) + len(vocabulary)
+    ranges = min(size, max(16, docs.rdd.getNumPartitions() // 8))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, words = (Lookup(c) for c in shared.value)
+        total = np.zeros(size, np.int64)
+        for rows in slices(batches, "text"):
+            mark, known, _ = read_terms(rows.column("text"), marks, words)
+            total[0] += rows.num_rows
+            total[1 : 1 + len(marks.codes)] += np.bincount(mark[1], minlength=len(marks.codes))
+            total[1 + len(marks.codes) :] += np.bincount(known[1], minlength=len(words.codes))
+        parts = np.array_split(total, ranges)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(ranges)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "counts"])
+
+    def merged(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c, np.int64) for c in rows.column("counts").to_pylist())
+        return pa.table({"part": rows.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    kinds = "part long, counts binary"
+    found = docs.select("text").mapInArrow(run, kinds).groupBy("part").applyInArrow(merged, kinds).collect()  # one number a term
+    shared.destroy()
+    total = np.concatenate([np.frombuffer(bytes(r["counts"]), np.int64) for r in sorted(found, key=lambda r: r["part"])] or [np.zeros(size, np.int64)])
+    return int(total[0]), total[1 : 1 + len(terms)], total[1 + len(terms) :]
+
+
+def rest_squares(rows: DataFrame, n_docs: int) -> DataFrame:
+    """(row_at, rest_square): what the words outside the vocabulary add to the squares of the rows' norms."""
     each = rows.select("row_at", F.explode(F.arrays_zip("rest", "rest_counts")).alias("v")).select(
         "row_at", F.col("v.rest").alias("term"), F.col("v.rest_counts").alias("n")
     )
     repeated = each.groupBy("term").agg(F.count("*").alias("held")).where(F.col("held") > 1)
     idf = F.log((n_docs + 1) / (F.coalesce("held", F.lit(1)) + 1)) + 1
-    square = each.join(repeated, "term", "left").groupBy("row_at").agg(F.sum(((1 + F.log("n")) * idf) ** 2).alias("rest_square"))
-    return rows.drop("rest", "rest_counts").join(square, "row_at", "left").fillna(0.0, ["rest_square"])
+    return each.join(repeated, "term", "left").groupBy("row_at").agg(F.sum(((1 + F.log("n")) * idf) ** 2).alias("rest_square"))
 
 
 def vote(cosine: np.ndarray, toxic: np.ndarray, total: np.ndarray, prior: float) -> np.ndarray:
@@ -151,16 +188,50 @@ def vote(cosine: np.ndarray, toxic: np.ndarray, total: np.ndarray, prior: float)
     return np.log(yes) - np.log(np.maximum((weight * total).sum(1) + PRIOR - yes, 1e-9))
 
 
+def visited(product: np.ndarray, upper: np.ndarray, slack: np.ndarray, k: int, multiply, itself=None) -> tuple[np.ndarray, np.ndarray]:
+    """Block-max search: (products of each text with the examples of the blocks it visits, the k-th largest of them).
+
+    ``product`` (text x block x place) is what is known before any visit, ``upper`` bounds the products of a block, and
+    ``multiply`` gives what a visit of some texts to a block adds. A text visits its most promising blocks first, then all blocks whose bound
+    reaches the k-th product found there.
+    """
+    texts, blocks, _ = product.shape
+    width = blocks * BLOCK
+    least = np.zeros(texts)
+    done = np.zeros((texts, blocks), bool)
+    first = min(blocks, -(-k // BLOCK) + 1)
+    lead = np.argpartition(-upper, first - 1, axis=1)[:, :first]
+    for turn in range(2):
+        wanted = np.zeros((texts, blocks), bool)
+        if turn == 0:
+            np.put_along_axis(wanted, lead, True, 1)
+        else:
+            wanted = (upper >= (least - slack)[:, None]) & (upper > 0) & ~done
+        for block in np.flatnonzero(wanted.any(0)):
+            some = np.flatnonzero(wanted[:, block])
+            product[some, block] += multiply(some, block)
+        done |= wanted
+        seen = np.where(done[:, :, None], product, 0.0).reshape(texts, width)
+        if itself is not None:
+            seen[np.arange(texts), itself] = 0.0
+        if width > k:
+            least = np.maximum(np.partition(seen, width - k, axis=1)[:, width - k], 0.0)
+    return seen, least
+
+
 @dataclass
 class Texts:
-    """The examples' whole TF-IDF vectors as posting lists by word; words of many examples as rows of a matrix."""
+    """The examples' whole TF-IDF vectors in blocks: posting lists of rare words, rows of a matrix for the words of many examples, and
+    these words' largest weights in each block."""
 
     idf: np.ndarray
-    first: np.ndarray  # of each word's list, and the end
+    first: np.ndarray  # of each rare word's list, and the end
     example: np.ndarray
     weight: np.ndarray
     common: np.ndarray  # row in the matrix, or -1
-    matrix: np.ndarray  # common word x example
+    matrix: np.ndarray  # block x common word x place in the block
+    bounds: np.ndarray  # common word x block
+    order: np.ndarray  # the example at each place
     toxic: np.ndarray
     total: np.ndarray
     keys: np.ndarray
@@ -171,42 +242,61 @@ class Texts:
         """From the examples' counts, given as (row, slot, count) in row order."""
         n = len(toxic)
         weights = unit_weights(rows, slots, counts, idf) if len(rows) else np.zeros(0)
-        by_slot = np.lexsort((rows, slots))
-        first = np.searchsorted(slots[by_slot], np.arange(len(idf) + 1))
-        often = np.flatnonzero(np.diff(first) * COMMON > n)
+        often = np.flatnonzero(np.bincount(slots, minlength=len(idf)) * COMMON > n)
         common = np.full(len(idf), -1)
         common[often] = np.arange(len(often))
-        matrix = np.zeros((len(often), n))
+        # Examples with alike frequent words lie together, so that their blocks' bounds are low.
         held = common[slots] >= 0
-        matrix[common[slots[held]], rows[held]] = weights[held]
+        dense = np.zeros((n, len(often)))
+        dense[rows[held], common[slots[held]]] = weights[held]
+        order = _by_content(dense)
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        blocks = -(-n // BLOCK)
+        padded = np.zeros((blocks * BLOCK, len(often)))
+        padded[:n] = dense[order]
+        matrix = np.ascontiguousarray(padded.reshape(blocks, BLOCK, len(often)).transpose(0, 2, 1))
+        rare = np.flatnonzero(~held)
+        rare = rare[np.lexsort((rows[rare], slots[rare]))]
+        first = np.searchsorted(slots[rare], np.arange(len(idf) + 1))
         prior = float((weight * toxic).sum() / weight.sum()) if n else 0.0
-        return cls(idf, first, rows[by_slot].astype(np.int32), weights[by_slot], common, matrix, weight * toxic, weight, keys, prior)
+        return cls(
+            idf, first, place[rows[rare]].astype(np.int32), weights[rare], common, matrix, matrix.max(2).T if blocks else np.zeros((len(often), 0)),
+            order, weight * toxic, weight, keys, prior,
+        )
 
     def nearest(self, rows, slots, weights, texts: int, k: int, itself=None) -> tuple[np.ndarray, np.ndarray]:
-        """(example, cosine) of the ``k`` nearest of each of ``texts`` unit vectors; ``itself`` names an example to leave out."""
-        n = len(self.toxic)
+        """(example, product) of the ``k`` nearest of each of ``texts`` vectors; ``itself`` names an example to leave out.
+
+        The nearest do not depend on a vector's length; of unit vectors the products are cosines.
+        """
+        n, blocks = len(self.toxic), len(self.matrix)
         who, best = np.zeros((texts, k), np.int64), np.full((texts, k), -1.0)
         if not n or not len(rows):
             return who, best
         row = self.common[slots]
         often = row >= 0
-        asked = np.zeros((texts, len(self.matrix)))
+        asked = np.zeros((texts, self.bounds.shape[0]))
         asked[rows[often], row[often]] = weights[often]
-        cosine = asked @ self.matrix
+        length = np.sqrt(np.bincount(rows, weights=weights**2, minlength=texts))
         rows, slots, weights = rows[~often], slots[~often], weights[~often]
         spans = self.first[slots + 1] - self.first[slots]
         ends = np.cumsum(spans)
         pick = np.repeat(self.first[slots] - (ends - spans), spans) + np.arange(ends[-1] if len(ends) else 0)
-        cosine += np.bincount(
-            np.repeat(rows * n, spans) + self.example[pick], np.repeat(weights, spans) * self.weight[pick], texts * n
-        ).reshape(texts, n)
-        if itself is not None:
-            cosine[np.arange(texts), itself] = 0.0
-        least = np.partition(cosine, n - k, axis=1)[:, n - k] if n > k else np.zeros(texts)
+        width = blocks * BLOCK
+        product = np.bincount(
+            np.repeat(rows * width, spans) + self.example[pick], np.repeat(weights, spans) * self.weight[pick], texts * width
+        ).astype(float).reshape(texts, blocks, BLOCK)  # no weights at all would give integers
+        upper = asked @ self.bounds + product.max(2)
+        slack = 1e-9 * length
+        own = None if itself is None else np.argsort(self.order)[itself]
+        seen, least = visited(product, upper, slack, k, lambda some, block: asked[some] @ self.matrix[block], own)
+        unit = np.where(length > 0, length, 1.0)
         for i in range(texts):
-            near = np.flatnonzero((cosine[i] >= least[i] - 1e-12) & (cosine[i] > 0))
-            near = near[np.lexsort((near, -np.round(cosine[i, near], 12)))[:k]]
-            who[i, : len(near)], best[i, : len(near)] = near, np.minimum(cosine[i, near], 1.0)
+            place = np.flatnonzero((seen[i, :n] >= least[i] - slack[i]) & (seen[i, :n] > 0))
+            near, value = self.order[place], seen[i, place]
+            sort = np.lexsort((near, -np.round(value / unit[i], 12)))[:k]
+            who[i, : len(sort)], best[i, : len(sort)] = near[sort], value[sort]
         return who, best
 
     def odds(self, who: np.ndarray, cosine: np.ndarray) -> np.ndarray:
@@ -220,10 +310,30 @@ class Texts:
         for lo in range(0, n, ROWS):
             hi = min(lo + ROWS, n)
             part = slice(*np.searchsorted(rows, (lo, hi)))
-            out[lo:hi] = self.odds(*self.nearest(rows[part] - lo, slots[part], weights[part], hi - lo, k, np.arange(lo, hi)))
+            who, cosine = self.nearest(rows[part] - lo, slots[part], weights[part], hi - lo, k, np.arange(lo, hi))
+            out[lo:hi] = self.odds(who, np.minimum(cosine, 1.0))
         return out
 
 
+def _by_content(dense: np.ndarray) -> np.ndarray:
+    """An order in which neighbouring rows are alike: halved again and again along the widest of their directions."""
+    order = np.arange(len(dense))
+    parts = [order]
+    while parts and max(map(len, parts)) > BLOCK and dense.shape[1]:
+        halves = []
+        for part in parts:
+            if len(part) <= BLOCK:
+                halves.append(part)
+                continue
+            own = dense[part]
+            along = own[:, own.var(0).argmax()]
+            sort = part[np.argsort(along, kind="stable")]
+            middle = max(BLOCK, len(part) // 2 // BLOCK * BLOCK)
+            halves += [sort[:middle], sort[middle:]]
+        parts = halves
+    return np.concatenate(parts) if parts else order
+
+
 @dataclass
 class Examples:
     """Distinct example vectors in blocks: (block, term) lists of weights, and the largest weight of each list."""
@@ -241,36 +351,24 @@ class Examples:
     def nearest(self, rows: np.ndarray, slots: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(example, cosine) of the ``k`` nearest of each unit vector, given as (row, slot, weight) in row order."""
         n = int(rows[-1]) + 1 if len(rows) else 0
-        first = np.searchsorted(rows, np.arange(n))
-        best = np.full((n, k), -1.0)
-        who = np.full((n, k), -1, np.int64)
+        best, who = np.full((n, k), -1.0), np.full((n, k), -1, np.int64)
         if not n or not self.blocks:
             return who, best
-        upper = np.add.reduceat(weights[:, None] * self.bounds[slots], first, axis=0)
-        order = np.argsort(-upper, axis=1, kind="stable")
-        ends = np.append(first[1:], len(rows))
-        for turn in range(len(self.blocks)):
-            at = order[:, turn]
-            active = np.flatnonzero((upper[np.arange(n), at] > 0) & (upper[np.arange(n), at] >= best[:, -1] - 1e-12))
-            if not len(active):
-                break
-            by_block = active[np.argsort(at[active], kind="stable")]
-            cuts = np.flatnonzero(np.diff(at[by_block])) + 1
-            for group in np.split(by_block, cuts):
-                block = int(at[group[0]])
-                terms, lists = self.blocks[block]
-                spans = ends[group] - first[group]
-                pick = np.repeat(first[group] - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
-                place = np.minimum(np.searchsorted(terms, slots[pick]), len(terms) - 1)
-                known = terms[place] == slots[pick]
-                part = np.where(known, weights[pick], 0.0)[:, None] * lists[place]
-                cosine = np.add.reduceat(part, np.concatenate([[0], np.cumsum(spans)[:-1]]), axis=0)
-                number = np.broadcast_to(block * BLOCK + np.arange(lists.shape[1]), cosine.shape)
-                all_cos = np.concatenate([best[group], np.where(cosine > 0, np.minimum(cosine, 1.0), -1.0)], axis=1)
-                all_who = np.concatenate([who[group], number], axis=1)
-                top = np.lexsort((all_who, -np.round(all_cos, 12)), axis=1)[:, :k]
-                best[group] = np.take_along_axis(all_cos, top, 1)
-                who[group] = np.take_along_axis(all_who, top, 1)
+        asked = np.zeros((n, len(self.idf)))
+        asked[rows, slots] = weights
+
+        def multiply(some: np.ndarray, block: int) -> np.ndarray:
+            terms, lists = self.blocks[block]
+            out = np.zeros((len(some), BLOCK))
+            out[:, : lists.shape[1]] = asked[np.ix_(some, terms)] @ lists
+            return out
+
+        product = np.zeros((n, len(self.blocks), BLOCK))
+        seen, least = visited(product, asked @ self.bounds, np.full(n, 1e-9), k, multiply)
+        for i in range(n):
+            near = np.flatnonzero((seen[i] >= least[i] - 1e-9) & (seen[i] > 0))
+            near = near[np.lexsort((near, -np.round(np.minimum(seen[i, near], 1.0), 12)))[:k]]
+            who[i, : len(near)], best[i, : len(near)] = near, np.minimum(seen[i, near], 1.0)
         return who, best
 
     def vote(self, who: np.ndarray, cosine: np.ndarray, less_toxic=0.0, less_total=0.0, itself=None) -> np.ndarray:
@@ -288,13 +386,10 @@ class Examples:
         return np.log(yes) - np.log(np.maximum(self.empty[1] - less_total + PRIOR - yes, 1e-9))
 
 
-def unit_weights(rows: np.ndarray, slots: np.ndarray, counts: np.ndarray, idf: np.ndarray, rest: np.ndarray | None = None) -> np.ndarray:
-    """TF-IDF weights over the norm of each row's vector, to whose square ``rest`` is added."""
+def unit_weights(rows: np.ndarray, slots: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """TF-IDF weights over the norm of each row's vector."""
     weights = (1.0 + np.log(counts)) * idf[slots]
-    norm = np.zeros(int(rows[-1]) + 1 if len(rows) else 0)
-    if rest is not None:
-        norm += rest[: len(norm)]
-    np.add.at(norm, rows, weights**2)
+    norm = np.bincount(rows, weights=weights**2)
     return weights / np.sqrt(norm[rows]) if len(rows) else weights
 
 
@@ -428,14 +523,8 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k:
     toxic = np.zeros(len(ids))
     toxic[place] = examples.column("toxic").to_numpy()
     vocabulary = np.unique(_flat(examples, "words").view(np.uint64))
-    rows = cut_lineage(document_vectors(docs, terms, vocabulary))
-    n_docs = rows.count()
-
-    def idf(column: str, size: int) -> np.ndarray:
-        found = rows.select(F.explode(column).alias("slot")).groupBy("slot").count().toArrow()  # at most ``size`` rows
-        frequency = np.zeros(size)
-        frequency[found.column("slot").to_numpy()] = found.column("count").to_numpy()
-        return np.log((n_docs + 1) / (frequency + 1)) + 1
+    n_docs, held_marks, held_words = document_frequencies(docs, terms, vocabulary)
+    idf = lambda held: np.log((n_docs + 1) / (held + 1)) + 1
 
     def ordered(at: np.ndarray, slot: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, slot, count) of the examples in row order; of texts with one id the largest count."""
@@ -464,61 +553,99 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k:
     totals = {r["toxic"]: r["count"] for r in labels.where(F.col("toxic").isin(0, 1) & (fold() != 0)).groupBy("toxic").count().collect()}
     share = {t: totals.get(t, 0) / max((toxic == t).sum(), 1) for t in (0, 1)}
     weight = np.where(toxic == 1, share[1], share[0])
-    markers = pack(idf("slots", len(terms)), *marks, toxic, weight, ids)
-    whole = Texts.of(idf("word_slots", len(vocabulary)), *words, toxic, weight, ids)
+    markers = pack(idf(held_marks), *marks, toxic, weight, ids)
+    whole = Texts.of(idf(held_words), *words, toxic, weight, ids)
     curve = None
     if 0 < markers.prior < 1:
         curve = _curve(np.stack([whole.left_out(*words, k), markers.left_out], 1), toxic, weight)
     markers.left_out = None
     base = markers.prior if len(ids) else 0.0
-    shared = spark.sparkContext.broadcast((markers, whole, curve))
-    rows = with_rest_square(rows, n_docs)
-    kept = [c for c in rows.columns if c not in MADE]
+    shared = spark.sparkContext.broadcast((terms, vocabulary, markers, whole))
+    kept = docs.drop("text", *MADE)
+    names = kept.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        markers, whole, curve = shared.value
-        for big in batches:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, known, markers, whole = shared.value
+        marks, known = Lookup(marks), Lookup(known)
+        at = TaskContext.get().partitionId() << 40
+        for big in slices(batches, "text"):
             for lo in range(0, big.num_rows, ROWS):
                 batch = big.slice(lo, ROWS)
                 n = batch.num_rows
-                odds = np.zeros((n, 2))
-                row, slot, count, _ = _listed(batch, "word_slots", "word_counts")
-                rest = batch.column("rest_square").to_numpy(zero_copy_only=False)
-                who, cosine = whole.nearest(row, slot, unit_weights(row, slot, count, whole.idf, rest), n, k)
-                score = np.full(n, base)
-                if curve is not None:
-                    odds[:, 0] = whole.odds(who, cosine)
-                    row, slot, count, filled = _listed(batch, "slots", "counts")
-                    odds[:, 1] = markers.without_terms()
-                    if len(filled):
-                        near = markers.nearest(np.searchsorted(filled, row), slot, unit_weights(row, slot, count, markers.idf), k)
-                        odds[filled, 1] = markers.vote(*near)
-                    score = probability(curve, odds)
-                evidence = [
-                    [{"doc_id": int(whole.keys[w]), "cosine": float(c)} for w, c in zip(who[i, :3], cosine[i, :3]) if c > 0] for i in range(n)
-                ]
+                mark, word, rest = read_terms(batch.column("text"), marks, known)
+                row, slot, count = word
+                weights = (1.0 + np.log(count)) * whole.idf[slot]
+                square = np.bincount(row, weights=weights**2, minlength=n)
+                who, product = whole.nearest(row, slot, weights, n, k)
+                odds = np.full(n, markers.without_terms() if len(ids) else 0.0)
+                row, slot, count = mark
+                filled = np.unique(row)
+                if len(filled):
+                    near = markers.nearest(np.searchsorted(filled, row), slot, unit_weights(row, slot, count, markers.idf), k)
+                    odds[filled] = markers.vote(*near)
+                found = (product > 0).sum(1)
+                place = np.repeat(np.arange(n), found)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c) for c in kept]
+                    [batch.column(c) for c in names]
                     + [
-                        pa.array(np.clip(score, 0.0, 1.0)),
-                        pa.array((score >= 0.5).astype(np.int32)),
-                        pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))),
+                        pa.array(np.arange(at, at + n)),
+                        _lists(place, who[product > 0], n, pa.int32()),
+                        _lists(place, product[product > 0], n, pa.float64()),
+                        pa.array(square, pa.float64()),
+                        pa.array(odds, pa.float64()),
+                        _lists(rest[0], signed(rest[1]), n, pa.int64()),
+                        _lists(rest[0], rest[2], n, pa.int32()),
                     ],
-                    names=[*kept, "score", "predicted", "evidence"],
+                    names=[*names, *SEARCHED],
                 )
+                at += n
 
     schema = widened(
-        [rows.schema[c] for c in kept], "score double, predicted int, evidence array<struct<doc_id:bigint,cosine:double>>"
+        kept.schema.fields,
+        "row_at long, nearest array<int>, product array<double>, square double, odds double, rest array<long>, rest_counts array<int>",
     )
-    return rows.mapInArrow(run, schema).withColumn("held_out", F.coalesce(fold() == 0, F.lit(False)))
+    rows = cut_lineage(docs.select(*names, "text").mapInArrow(search, schema))
+    shared.destroy()
+    rest = rest_squares(rows.select("row_at", "rest", "rest_counts"), n_docs)
+    rows = rows.drop("rest", "rest_counts").join(rest, "row_at", "left").fillna(0.0, ["rest_square"])
+    yes, every, keys, prior = whole.toxic, whole.total, whole.keys, whole.prior  # a few numbers for each example
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            place, near, product = _listed(batch, "nearest", "product")
+            norm = np.sqrt(batch.column("square").to_numpy() + batch.column("rest_square").to_numpy())
+            rank = np.arange(len(place)) - np.searchsorted(place, np.arange(n))[place]
+            who, cosine = np.zeros((n, k), np.int64), np.full((n, k), -1.0)
+            who[place, rank], cosine[place, rank] = near, np.minimum(product / np.where(norm > 0, norm, 1.0)[place], 1.0)
+            score = np.full(n, base)
+            if curve is not None:
+                score = probability(curve, np.stack([vote(cosine, yes[who], every[who], prior), batch.column("odds").to_numpy()], 1))
+            evidence = [
+                [{"doc_id": int(keys[w]), "cosine": float(c)} for w, c in zip(who[i, :3], cosine[i, :3]) if c > 0] for i in range(n)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in names]
+                + [
+                    pa.array(np.clip(score, 0.0, 1.0)),
+                    pa.array((score >= 0.5).astype(np.int32)),
+                    pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))),
+                ],
+                names=[*names, "score", "predicted", "evidence"],
+            )
+
+    schema = widened(kept.schema.fields, "score double, predicted int, evidence array<struct<doc_id:bigint,cosine:double>>")
+    return rows.mapInArrow(scored, schema).withColumn("held_out", F.coalesce(fold() == 0, F.lit(False)))
 
 
 def _flat(table: pa.Table, column: str) -> np.ndarray:
     return table.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
 
 
-def _listed(batch: pa.RecordBatch, slots: str, counts: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, slot, count) of two list columns in row order, and the rows with any."""
-    spans = np.diff(np.asarray(batch.column(slots).offsets))
-    values = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in (slots, counts)]
-    return np.repeat(np.arange(batch.num_rows), spans), values[0].astype(np.int64), values[1], np.flatnonzero(spans)
+def _listed(batch: pa.RecordBatch, first: str, second: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first, second) of two list columns in row order."""
+    spans = np.diff(np.asarray(batch.column(first).offsets))
+    values = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in (first, second)]
+    return np.repeat(np.arange(batch.num_rows), spans), values[0].astype(np.int64), values[1]
