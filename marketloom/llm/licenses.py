@@ -3,12 +3,14 @@
 A template's shingles are its runs of ``SHINGLE`` words. For every template length L the text is cut into windows of W = L + stride - 1
 words, ``stride`` apart, so that each stretch of L words lies whole in some window; a window that holds the template then has a
 similarity to it of at least s = (L - SHINGLE + 1) / (W - SHINGLE + 1). Each of ``BANDS`` bands is one MinHash value, and the stride is chosen
-so that s is at least ``LEAST_SIMILARITY``: a window with the template shares a band with a probability of at least 1 - (1 - s)^BANDS,
-which is above 0.9999. What a band retrieves is verified exactly: the share of the template's shingles found in the window.
+so that s is at least ``LEAST_SIMILARITY``. A window that holds only the share ``CONTAINMENT`` of the template's shingles has a similarity of at
+least 0.8 s / (1 + 0.2 s), 0.33 here, and shares a band with a probability of at least 1 - (1 - 0.33)^BANDS, above 0.99999. What a band
+retrieves is verified exactly: the share of the template's shingles found in the window.
 
-Before windows of a length are cut, a text must hold a word of the ``marker`` of a template of this length: words chosen such that without any of them more
-shingles would be missing than the containment allows, so no match is lost. The templates are parameters; up to ``BROADCAST_CHARS``
-characters of them are joined by broadcast, more by a shuffle.
+Before windows of a length are cut, two tests that no match fails: a text must hold a word of the ``marker`` of a template of this length (words chosen such
+that without any of them more shingles would be missing than the containment allows), and then, by codes, as many of the template's shingles
+anywhere as a window needs. The templates are parameters; up to ``BROADCAST_CHARS`` characters of them are joined by broadcast, more by
+a shuffle.
 
 Words are runs of letters and digits, lower-cased; nulls and texts without words match nothing. Rows that repeat a doc_id are scanned
 each by its own text, and equal rows give equal results. A template of fewer words than a shingle is refused.
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHINGLE = 2
-BANDS = 16
+BANDS = 32
 LEAST_SIMILARITY = 0.45
 BROADCAST_CHARS = 1 << 20
 CONTAINMENT = 0.8
@@ -137,6 +139,11 @@ def bands(words: Column, n: int = BANDS) -> Column:
     return F.transform(F.array(_pairs(words, lambda a, b: F.xxhash64(a, b))), lambda codes: F.array(*[value(codes, i) for i in range(n)]))[0]
 
 
+def codes(words: Column) -> Column:
+    """A code of every shingle of an array of words, in order."""
+    return _pairs(words, lambda a, b: F.xxhash64(a, b))
+
+
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
     """(doc_id, code of the text, license, first_word, containment) of every window that holds enough of a template."""
     spark = docs.sparkSession
@@ -150,16 +157,38 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment:
         marks = sorted({m for w in split.values() if len(w) == length for m in marker(w, containment)})
         return reduce(or_, [F.contains(F.col("lowered"), F.lit(m)) for m in marks])
 
-    def cut(length: int) -> Column:
+    listed = spark.createDataFrame(list(split.items()), "license string, words array<string>")
+    coded = {r["license"]: r["codes"] for r in listed.select("license", F.array_distinct(codes(F.col("words"))).alias("codes")).collect()}
+
+    def enough(length: int) -> Column:
+        """Whether ``held``, the text's codes that any template has, can fill a window for a template of this length."""
+        own = [c for name, c in coded.items() if len(split[name]) == length]
+        need = lambda c: -(-len(c) * round(1000 * containment) // 1000)
+        return reduce(or_, [F.size(F.array_intersect("held", F.array(*[F.lit(v) for v in c]))) >= need(c) for c in own])
+
+    def cut(length: int, test: Column) -> Column:
         window, stride = geometry(length)
-        return F.when(possible(length), F.struct(F.lit(length).alias("length"), F.lit(window).alias("window"), F.lit(stride).alias("stride")))
+        return F.when(test, F.struct(F.lit(length).alias("length"), F.lit(window).alias("window"), F.lit(stride).alias("stride")))
+
+    def stored(value: Column, name: str) -> Column:
+        """A column by a one-row generator, so that it is computed once and not again wherever it is used."""
+        return F.inline(F.array(F.struct(value.alias(name))))
+
+    every = sorted({v for c in coded.values() for v in c})
+
+    def marked(length: int) -> Column:
+        return F.exists("marked", lambda n: n == length)
 
     texts = (
         docs.where(F.col("text").isNotNull())
         .select("doc_id", F.xxhash64("text").alias("code"), lowered.alias("lowered"))
-        .withColumn("grid", F.array_compact(F.array(*[cut(n) for n in lengths])))
+        .withColumn("marked", F.array_compact(F.array(*[F.when(possible(n), F.lit(n)) for n in lengths])))
+        .where(F.size("marked") > 0)
+        .select("doc_id", "code", "marked", stored(F.regexp_extract_all("lowered", F.lit(WORD), F.lit(0)), "words"))
+        .select("doc_id", "code", "marked", "words", stored(F.array_distinct(F.filter(codes(F.col("words")), lambda c: c.isin(*every))), "held"))
+        .select("doc_id", "code", "words", stored(F.array_compact(F.array(*[cut(n, marked(n) & enough(n)) for n in lengths])), "grid"))
         .where(F.size("grid") > 0)
-        .select("doc_id", "code", "grid", F.regexp_extract_all("lowered", F.lit(WORD), F.lit(0)).alias("words"))
+        .select("doc_id", "code", "grid", "words")
     )
     known = (
         spark.createDataFrame([(name, len(words), words) for name, words in split.items()], "license string, length int, words array<string>")
