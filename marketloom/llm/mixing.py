@@ -116,7 +116,10 @@ def thresholds(rows: DataFrame, needs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -> DataFrame:
     """``docs`` without texts, plus size, source_key, hash, source_size, target and copies (0 to ``most``) of each row."""
-    sizes = cut_lineage(sized(docs))
+    named = sized(docs)
+    # Other columns have numbers for names in here, so that none meets a name that is used on the way.
+    carried = {c: f"carried_{i}" for i, c in enumerate(named.columns[:-3])}
+    sizes = cut_lineage(named.select(*[F.col(c).alias(n) for c, n in carried.items()], "size", "source_key", "hash"))
     aims = targets(sizes, weights, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     aims = cut_lineage(
@@ -140,5 +143,5 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -
         rows = rows.join(named, "source_key").where(beyond).select("source_key", "hash", "size")
         needs = found.select("source_key", (F.col("need") - F.col("used")).alias("need"))
     return out.withColumn("copies", F.least(F.col("epochs") + extra.cast("int"), F.lit(most))).select(
-        *sizes.columns, "source_size", "target", "copies"
+        *[F.col(n).alias(c) for c, n in carried.items()], "size", "source_key", "hash", "source_size", "target", "copies"
     )

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import compare, connect
@@ -53,3 +54,19 @@ def test_stages_take_odd_rows_and_clashing_names(spark, documents, odd_rows):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).count() == 0
     assert near_dedup.components(docs).count() == len(odd_rows)
+
+
+def test_helper_names_of_the_mix_may_be_columns_of_the_documents(spark, documents):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(5 + i % 7)), "ab"[i % 2]) for i in range(40)]
+    made = ["epochs", "below_0", "need_0", "used_1", "need", "weight", "place", "carried_0", "__copies", "__hash", "__row", "__text", "copies", "target"]
+    docs = documents(rows)
+    plain = {r["doc_id"]: r["copies"] for r in mixing.mix(docs).collect()}
+    for name in made:
+        docs = docs.withColumn(name, F.lit(name))
+    mixed = mixing.mix(docs)
+    assert {r["doc_id"]: r["copies"] for r in mixed.collect()} == plain
+    assert mixed.where("epochs = 'epochs' and need_0 = 'need_0' and carried_0 = 'carried_0'").count() == len(rows)
+    out = corpus_pipeline.mix_sources(spark, docs, SF_DIR)
+    assert out.count() == sum(plain.values())
+    assert out.where("__copies = '__copies' and __hash = '__hash' and copies = 'copies' and target = 'target'").count() == out.count()
+    assert corpus_pipeline.drop_near_copies(spark, docs, SF_DIR).where("__row = '__row' and __text = '__text'").count() == len(rows)
