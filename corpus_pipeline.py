@@ -17,7 +17,7 @@ from marketloom.session import shared_folder
 from marketloom.sources.driver_tables import table
 
 
-ROW, TEXT, HASH, COPIES = "__row", "__text", "__hash", "__copies"
+ROW, HASH, COPIES = "__row", "__hash", "__copies"  # of tables made here; a document's columns of these names are left alone
 
 
 def _row_code() -> F.Column:
@@ -29,28 +29,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     keyed = docs.select("doc_id", "text", _row_code().alias(ROW))
     toxic = toxicity.classify(keyed, labels).where(F.col("predicted") == 1).select(ROW).distinct()
-    return docs.withColumn(ROW, _row_code()).join(toxic, ROW, "left_anti").select(*docs.columns)
+    return docs.join(toxic, _row_code() == toxic[ROW], "left_anti")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, that with the smallest id; of identical rows, one."""
     found = near_dedup.components(docs.select("doc_id", "text"))
     gone = found.where(~F.col("kept")).select("doc_id", "code").distinct()
-    left = docs.withColumn(TEXT, F.xxhash64("text"))
-    same = left["doc_id"].eqNullSafe(gone["doc_id"]) & (left[TEXT] == gone["code"])
-    kept = left.join(gone, same, "left_anti")
+
+    def named(rows: DataFrame, by: DataFrame) -> F.Column:
+        return rows["doc_id"].eqNullSafe(by["doc_id"]) & (F.xxhash64(rows["text"]) == by["code"])
+
+    kept = docs.join(gone, named(docs, gone), "left_anti")
     repeated = found.where("kept").groupBy("doc_id", "code").count().where(F.col("count") > 1).select("doc_id", "code")
-    same = kept["doc_id"].eqNullSafe(repeated["doc_id"]) & (kept[TEXT] == repeated["code"])
-    single = kept.join(repeated, same, "left_anti")
-    several = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", TEXT])
-    return single.unionByName(several).select(*docs.columns)
+    single = kept.join(repeated, named(kept, repeated), "left_anti")
+    several = kept.join(repeated, named(kept, repeated), "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(several)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lies in benchmark windows."""
     found = decontaminate.contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     gone = found.where("contaminated").select(F.col("key").alias(ROW)).distinct()
-    return docs.withColumn(ROW, _row_code()).join(gone, ROW, "left_anti").select(*docs.columns)
+    return docs.join(gone, _row_code() == gone[ROW], "left_anti")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,11 +66,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources ask for, numbered by ``copy`` from 1."""
     chosen = mixing.mix(docs.select("doc_id", "text", "source")).where(F.col("copies") > 0)
     counts = chosen.groupBy(F.col("hash").alias(HASH)).agg(F.max("copies").alias(COPIES))  # rows of equal hash have equal counts
-    keyed = docs.withColumn(HASH, mixing.row_hash())
-    return (
-        keyed.join(counts, HASH)
-        .select(*[keyed[c] for c in docs.columns if c != "copy"], F.explode(F.sequence(F.lit(1), COPIES)).alias("copy"))
-    )
+    joined = docs.join(counts, mixing.row_hash() == counts[HASH])
+    copies = F.explode(F.sequence(F.lit(1), counts[COPIES]))
+    return joined.select(*[docs[c] for c in docs.columns if c != "copy"], copies.alias("copy"))
 
 
 STAGES = [
