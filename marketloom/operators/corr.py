@@ -53,8 +53,10 @@ def _both(a: Column, b: Column) -> Column:
 
 
 def _pearson(a: Column, b: Column) -> Column:
-    """Pairwise-complete correlation; undefined is null."""
-    return F.nanvl(F.when(_both(a, b) > 2, F.corr(a, b)), F.lit(None).cast("double"))
+    """Pairwise-complete correlation; undefined is null, as for a column of one value."""
+    deviation = lambda c: F.stddev_pop(F.when(a.isNotNull() & b.isNotNull(), c))
+    r = F.try_divide(F.covar_pop(a, b), deviation(a) * deviation(b))
+    return F.when((_both(a, b) > 2) & r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def _pearson_upper(df: DataFrame, columns: Sequence[str]) -> DataFrame:

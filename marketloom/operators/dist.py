@@ -15,7 +15,7 @@ from marketloom.functions.special import beta_share, gamma_tail
 from marketloom.operators.blocks import pack, total
 from marketloom.operators.groups import union_batches
 from marketloom.operators.lookup import lookup_join, settled
-from marketloom.operators.ranks import melt, usable, value_ladder
+from marketloom.operators.ranks import column_ladder, melt, usable, value_ladder
 from marketloom.session import cut_lineage
 
 ALPHA = 0.05
@@ -44,9 +44,9 @@ def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _standard_ladder(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _standard_ladder(df: DataFrame, columns: Sequence[str], index: DataFrame | None) -> DataFrame:
     """Ladder rows per column with their standardised value ``z``; constant columns drop out."""
-    ladder = value_ladder(melt(df, columns), "value", ["column"])
+    ladder = column_ladder(df, columns, index)
     joined = lookup_join(ladder, _moments(df, columns).where("sd > 0"), ["column"], "inner")
     return joined.withColumn("z", (F.col("value") - F.col("mean")) / F.col("sd"))
 
@@ -84,19 +84,19 @@ def normality_jarque_bera(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _tested(stat, "jarque_bera", F.exp(-F.col("statistic") / 2))
 
 
-def normality_ks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def normality_ks(df: DataFrame, columns: Sequence[str], index: DataFrame | None = None) -> DataFrame:
     """Largest gap between the empirical distribution and the fitted normal."""
     below, upto = F.col("below") / F.col("n"), (F.col("below") + F.col("ties")) / F.col("n")
     cdf = S.norm_cdf(F.col("z"))
     stat = (
-        _standard_ladder(df, columns)
+        _standard_ladder(df, columns, index)
         .groupBy("column")
         .agg(F.max(F.greatest(cdf - below, upto - cdf)).alias("statistic"), F.max("n").alias("n"))
     )
     return _tested(stat, "kolmogorov_smirnov", S.kolmogorov_p("statistic", "n"))
 
 
-def normality_anderson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def normality_anderson(df: DataFrame, columns: Sequence[str], index: DataFrame | None = None) -> DataFrame:
     """A squared with its critical values; there is no p-value, the 5 % point decides.
 
     A value with ties covers several positions, whose odd weights telescope into differences of squares.
@@ -106,7 +106,7 @@ def normality_anderson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     lower = (last * last - first * first) * S.log_norm_sf(-F.col("z"))
     upper = ((n - first) * (n - first) - (n - last) * (n - last)) * S.log_norm_sf(F.col("z"))
     stat = (
-        _standard_ladder(df, columns)
+        _standard_ladder(df, columns, index)
         .groupBy("column")
         .agg(F.sum(lower + upper).alias("weighted"), F.max("n").alias("n"))
         .withColumn("statistic", -n - F.col("weighted") / n)
@@ -139,14 +139,15 @@ def positions(ladder: DataFrame) -> DataFrame:
     return spread.withColumn("place", F.explode(F.sequence(F.col("chunk") + 1, last))).drop("chunk")
 
 
-def qq_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def qq_correlation(df: DataFrame, columns: Sequence[str], index: DataFrame | None = None) -> DataFrame:
     """Correlation of the sorted values with normal quantiles spread evenly over 0.01 .. 0.99."""
-    ladder = value_ladder(melt(df, columns), "value", ["column"]).where(F.col("total") >= 10)
+    ladder = column_ladder(df, columns, index).where(F.col("total") >= 10)
     p = F.lit(0.01) + F.lit(0.98) * (F.col("place") - 1) / (F.col("total") - 1)
     return (
         S.with_norm_ppf(positions(ladder), p, "q")
         .groupBy("column")
-        .agg(F.corr("q", "value").alias("qq_correlation"))
+        # null for a column of one value, which has no correlation
+        .agg(F.try_divide(F.covar_pop("q", "value"), F.stddev_pop("q") * F.stddev_pop("value")).alias("qq_correlation"))
         .withColumn("is_approximately_normal", F.col("qq_correlation") > 0.95)
     )
 
@@ -187,9 +188,9 @@ def _shapiro_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["column", "statistic", "p_value"])
 
 
-def normality_shapiro(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def normality_shapiro(df: DataFrame, columns: Sequence[str], index: DataFrame | None = None) -> DataFrame:
     """W for any number of values, from one aggregation over their positions; beyond 5000 values its p-value, and so the verdict, is null."""
-    ladder = value_ladder(melt(df, columns), "value", ["column"]).where(F.col("total") >= MIN_ROWS)
+    ladder = column_ladder(df, columns, index).where(F.col("total") >= MIN_ROWS)
     scored = S.with_norm_ppf(positions(ladder), (F.col("place") - 0.375) / (F.col("total") + 0.25), "q")
     at = lambda c, place: F.max(F.when(F.col("place") == place, F.col(c)))
     means = ladder.groupBy("column").agg((F.sum(F.col("value") * F.col("ties")) / F.sum("ties")).alias("mean"))
@@ -210,26 +211,28 @@ def normality_shapiro(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _tested(stat, "shapiro_wilk", F.col("p_value"))
 
 
-def normality_tests(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def normality_tests(df: DataFrame, columns: Sequence[str], index: DataFrame | None = None) -> DataFrame:
     """All tests in one table; Anderson-Darling has no p-value."""
-    anderson = normality_anderson(df, columns).select(
+    if index is None and len(columns):  # five tests on one ladder
+        index = cut_lineage(column_ladder(df, columns))
+    anderson = normality_anderson(df, columns, index).select(
         "column", "test", "statistic", F.lit(None).cast("double").alias("p_value"), "is_normal"
     )
     return union_batches(
         [
-            normality_shapiro(df, columns),
+            normality_shapiro(df, columns, index),
             normality_dagostino(df, columns),
             normality_jarque_bera(df, columns),
-            normality_ks(df, columns),
+            normality_ks(df, columns, index),
             anderson,
         ]
     )
 
 
-def normality_verdict(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def normality_verdict(df: DataFrame, columns: Sequence[str], index: DataFrame | None = None) -> DataFrame:
     """Likely normal when at least half of the tests run, rounded down, do not reject."""
     return (
-        normality_tests(df, columns)
+        normality_tests(df, columns, index)
         .groupBy("column")
         .agg(F.count_if("is_normal").alias("tests_passed"), F.count("is_normal").alias("total_tests"))
         .withColumn("is_likely_normal", F.col("tests_passed") >= F.floor(F.col("total_tests") / 2))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from marketloom.operators.groups import dedup_count, drop_nested
 from marketloom.operators.lookup import lookup_join, settled
-from marketloom.operators.ranks import melt, ordered_weighted_means, quantile_table, value_ladder
+from marketloom.operators.ranks import column_ladder, exact_quantiles, ladder_quantiles, melt, ordered_weighted_means, quantile_table
 
 
 def dataset_profile(df: DataFrame) -> DataFrame:
@@ -43,9 +43,9 @@ def _trimmed(share: float) -> Column:
     return F.sum(F.col("value") * kept) / F.sum(kept)
 
 
-def central_tendency(df: DataFrame, columns: Sequence[str], key: str = "id") -> DataFrame:
+def central_tendency(df: DataFrame, columns: Sequence[str], key: str = "id", index: DataFrame | None = None) -> DataFrame:
     """Means, median and mode per column; the weighted mean weighs rows 1..n in key order."""
-    ladder = value_ladder(melt(df, columns), "value", ["column"])
+    ladder = column_ladder(df, columns, index)
     positive = F.min("value") > 0
     ordered = ladder.groupBy("column").agg(
         F.sum("ties").alias("n"),
@@ -58,33 +58,28 @@ def central_tendency(df: DataFrame, columns: Sequence[str], key: str = "id") ->
             positive, F.exp(F.sum(F.ln(F.when(F.col("value") > 0, F.col("value"))) * F.col("ties")) / F.sum("ties"))
         ).alias("geometric_mean"),
         F.when(positive, F.sum("ties") / F.sum(F.try_divide(F.col("ties"), F.col("value")))).alias("harmonic_mean"),
-        *_ladder_quantiles({"median": 0.5}),
+        *ladder_quantiles({"median": 0.5}),
     )
     weighted = ordered_weighted_means(df, columns, key)
     return ordered.join(F.broadcast(weighted), "column")  # one row per named column
 
 
-def _ladder_quantiles(named: dict[str, float]) -> list[Column]:
-    """Aggregates that read interpolated quantiles off ladder rows."""
-    picks = []
-    for name, p in named.items():
-        place = (F.col("total") - 1) * p
-        upto = F.col("below") + F.col("ties")
-        low, high = F.floor(place), F.ceil(place)
-        low_value = F.max(F.when((low >= F.col("below")) & (low < upto), F.col("value")))
-        high_value = F.max(F.when((high >= F.col("below")) & (high < upto), F.col("value")))
-        picks.append((low_value + (high_value - low_value) * F.max(place - low)).alias(name))
-    return picks
+def _quantiles(df: DataFrame, columns: Sequence[str], named: dict[str, float], index: DataFrame | None) -> DataFrame:
+    """(column, one quantile per name)."""
+    if index is None:
+        return quantile_table(melt(df, columns), "value", named, ["column"]).drop("n")
+    return column_ladder(df, columns, index).groupBy("column").agg(*ladder_quantiles(named))
 
 
-def dispersion(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def dispersion(df: DataFrame, columns: Sequence[str], index: DataFrame | None = None) -> DataFrame:
     """Variance, spread and robust spread per column; ratios to a zero mean are null."""
     long = melt(df, columns)
-    quartiles = settled(quantile_table(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["column"]))
-    centred = lookup_join(long, quartiles.select("column", "median"), ["column"]).withColumn(
+    quartiles = settled(_quantiles(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, index))
+    values = long.withColumn("ties", F.lit(1)) if index is None else column_ladder(df, columns, index)
+    centred = lookup_join(values, quartiles.select("column", "median"), ["column"]).withColumn(
         "deviation", F.abs(F.col("value") - F.col("median"))
     )
-    mad = quantile_table(centred, "deviation", {"mad": 0.5}, ["column"]).drop("n")
+    mad = exact_quantiles(centred, "deviation", [0.5], ["column"], weight="ties").select("column", F.col("quantile").alias("mad"))
     moments = long.groupBy("column").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("value").alias("mean"),
@@ -94,7 +89,7 @@ def dispersion(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
     iqr = F.col("q3") - F.col("q1")
     return (
-        moments.join(F.broadcast(quartiles.drop("n", "median")), "column")  # one row per named column
+        moments.join(F.broadcast(quartiles.drop("median")), "column")  # one row per named column
         .join(F.broadcast(mad), "column")
         .select(
             "column",
@@ -118,10 +113,10 @@ def _label(measure: str, near: str, above: str, below: str) -> Column:
     return F.when(F.abs(value) < 0.5, near).when(value > 0, above).when(value <= 0, below)
 
 
-def shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def shape(df: DataFrame, columns: Sequence[str], index: DataFrame | None = None) -> DataFrame:
     """Skewness, excess kurtosis and quartile skewness with their labels; needs more than three values."""
     long = melt(df, columns)
-    quartiles = quantile_table(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["column"]).drop("n")
+    quartiles = _quantiles(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, index)
     moments = long.groupBy("column").agg(
         F.count(F.lit(1)).alias("n"),
         F.skewness("value").alias("skewness"),
@@ -147,10 +142,11 @@ def shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def position(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def position(df: DataFrame, columns: Sequence[str], index: DataFrame | None = None) -> DataFrame:
     """Extremes, percentiles and deciles per column."""
     named = {f"p{p}": p / 100 for p in (1, 5, 10, 25, 50, 75, 90, 95, 99)}
     named |= {f"d{d}": d / 10 for d in range(1, 10)}
-    long = melt(df, columns)
-    ends = long.groupBy("column").agg(F.min("value").alias("min"), F.max("value").alias("max"))
-    return ends.join(F.broadcast(quantile_table(long, "value", named, ["column"]).drop("n")), "column")
+    ends = (F.min("value").alias("min"), F.max("value").alias("max"))
+    if index is not None:
+        return column_ladder(df, columns, index).groupBy("column").agg(*ends, *ladder_quantiles(named))
+    return melt(df, columns).groupBy("column").agg(*ends).join(F.broadcast(_quantiles(df, columns, named, index)), "column")

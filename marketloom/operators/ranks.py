@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from marketloom.operators.lookup import bounded_local
@@ -132,6 +132,37 @@ def value_ladder(df: DataFrame, value: str, by: Sequence[str] = (), cap: int | N
     return ladder.select(*by, "value", "ties", "below", "total", *kept)
 
 
+def write_index(df: DataFrame, columns: Sequence[str], path: str) -> None:
+    """The order statistics of numeric columns as a table: every value with ``ties``, ``below`` and ``total``, in the order of the values,
+    one folder per column. Operators on ranks take it as ``index`` and then order nothing themselves."""
+    ladder = value_ladder(melt(df, columns), "value", ["column"])
+    ladder.sortWithinPartitions("column", "value").write.mode("overwrite").partitionBy("column").parquet(path)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("value double, ties long, below long, total long, column string").parquet(path)
+
+
+def column_ladder(df: DataFrame, columns: Sequence[str], index: DataFrame | None = None) -> DataFrame:
+    """(column, value, ties, below, total) of the columns, from ``index`` where there is one."""
+    if index is None:
+        return value_ladder(melt(df, columns), "value", ["column"])
+    return index.where(F.col("column").isin(*columns)).select("column", "value", "ties", "below", "total")
+
+
+def ladder_quantiles(named: dict[str, float]) -> list[Column]:
+    """Aggregates that read interpolated quantiles off ladder rows."""
+    picks = []
+    for name, p in named.items():
+        place = (F.col("total") - 1) * p
+        upto = F.col("below") + F.col("ties")
+        low, high = F.floor(place), F.ceil(place)
+        low_value = F.max(F.when((low >= F.col("below")) & (low < upto), F.col("value")))
+        high_value = F.max(F.when((high >= F.col("below")) & (high < upto), F.col("value")))
+        picks.append((low_value + (high_value - low_value) * F.max(place - low)).alias(name))
+    return picks
+
+
 def labelled_ladder(df: DataFrame, value: str, label: str) -> DataFrame:
     """Ladder over the pooled values, split by label: (bucket, value, label, cnt, ties, below, total).
 

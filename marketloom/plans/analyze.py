@@ -6,21 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.operators import charts, cluster, corr, density, dist, features, groups, hypo, insights, outliers, profile, text
+from marketloom.operators.ranks import column_ladder
 from marketloom.schema import FEATURE_COLUMNS, NUMERIC_COLUMNS
 from marketloom.session import cut_lineage
 
 
 def statistics(df: DataFrame, columns: tuple[str, ...] = NUMERIC_COLUMNS) -> dict[str, DataFrame]:
+    index = cut_lineage(column_ladder(df, columns))  # ordered once for all of them
     return {
         "dataset_profile": profile.dataset_profile(df),
-        "central_tendency": profile.central_tendency(df, columns),
-        "dispersion": profile.dispersion(df, columns),
-        "shape": profile.shape(df, columns),
-        "position": profile.position(df, columns),
-        "normality": dist.normality_tests(df, columns),
-        "normality_verdict": dist.normality_verdict(df, columns),
+        "central_tendency": profile.central_tendency(df, columns, index=index),
+        "dispersion": profile.dispersion(df, columns, index),
+        "shape": profile.shape(df, columns, index),
+        "position": profile.position(df, columns, index),
+        "normality": dist.normality_tests(df, columns, index),
+        "normality_verdict": dist.normality_verdict(df, columns, index),
         "distribution_fitting": dist.fit_distributions(df),
-        "qq_statistics": dist.qq_correlation(df, columns),
+        "qq_statistics": dist.qq_correlation(df, columns, index),
         "pearson": corr.pearson_matrix(df, columns),
         "spearman": corr.spearman_matrix(df, columns),
         "kendall": corr.kendall_matrix(df, columns),

@@ -33,7 +33,7 @@ from marketloom.operators.lookup import bounded_local
 from marketloom.schema import FEATURE_COLUMNS, NUMERIC_COLUMNS
 from marketloom.session import cut_lineage
 from marketloom.sources import pages, store
-from marketloom.sources.driver_tables import document_listings, listings, table
+from marketloom.sources.driver_tables import document_listings, listing_index, listings, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -52,6 +52,11 @@ def on_listings(name: str, build: Callable[[DataFrame], DataFrame], **digits: in
     _register(name, lambda spark, sf: rounded(build(listings(spark, sf)), **digits))
 
 
+def on_ranks(name: str, build: Callable[[DataFrame, DataFrame], DataFrame], **digits: int) -> None:
+    """A query on the listings and the stored order statistics of their numeric columns."""
+    _register(name, lambda spark, sf: rounded(build(listings(spark, sf), listing_index(spark, sf)), **digits))
+
+
 def on_table(name: str, source: str, build: Callable[[DataFrame], DataFrame], **digits: int) -> None:
     _register(name, lambda spark, sf: rounded(build(table(spark, sf, source)), **digits))
 
@@ -247,9 +252,9 @@ on_listings(
     complete_records_pct=6,
 )
 on_listings("dataset_profile", profile.dataset_profile)
-on_listings(
+on_ranks(
     "central_tendency",
-    lambda df: profile.central_tendency(df, NUMERIC_COLUMNS).drop("n"),
+    lambda df, index: profile.central_tendency(df, NUMERIC_COLUMNS, index=index).drop("n"),
     mean=4,
     median=6,
     trimmed_mean_10=4,
@@ -258,9 +263,9 @@ on_listings(
     harmonic_mean=4,
     weighted_mean=4,
 )
-on_listings(
+on_ranks(
     "dispersion",
-    lambda df: profile.dispersion(df, NUMERIC_COLUMNS),
+    lambda df, index: profile.dispersion(df, NUMERIC_COLUMNS, index=index),
     variance=2,
     std_dev=4,
     std_error=6,
@@ -271,10 +276,10 @@ on_listings(
     quartile_deviation=6,
     range_to_mean_ratio=6,
 )
-on_listings("shape", lambda df: profile.shape(df, NUMERIC_COLUMNS), skewness=6, kurtosis=5, bowley_skewness=6)
-on_listings(
+on_ranks("shape", lambda df, index: profile.shape(df, NUMERIC_COLUMNS, index=index), skewness=6, kurtosis=5, bowley_skewness=6)
+on_ranks(
     "position",
-    lambda df: profile.position(df, NUMERIC_COLUMNS),
+    lambda df, index: profile.position(df, NUMERIC_COLUMNS, index=index),
     **{f"p{p}": 6 for p in (1, 5, 10, 25, 50, 75, 90, 95, 99)},
     **{f"d{d}": 6 for d in range(1, 10)},
 )
@@ -286,9 +291,9 @@ on_listings("category_deep_dive", groups.category_deep_dive, avg_min=4, std=4, a
 
 # --- ranks, top-k, sets ------------------------------------------------------------------------------------------------------
 
-on_listings(
+on_ranks(
     "global_rank",
-    lambda df: ranks.value_ladder(df, "price_min").select("value", "ties", ranks.average_rank().alias("avg_rank")),
+    lambda df, index: ranks.column_ladder(df, ["price_min"], index).select("value", "ties", ranks.average_rank().alias("avg_rank")),
 )
 on_listings("price_percentile", lambda df: groups.price_percentile(df).select("id", "category", "price_percentile"))
 on_listings("category_price_rank", groups.category_price_rank, avg_price=4)
@@ -309,19 +314,19 @@ on_table(
 )
 on_listings("normality_dagostino", lambda df: dist.normality_dagostino(df, NUMERIC_COLUMNS), statistic=2, p_value=6)
 on_listings("normality_jarque_bera", lambda df: dist.normality_jarque_bera(df, NUMERIC_COLUMNS), statistic=2, p_value=6)
-on_listings(
+on_ranks(
     "normality_ks",
-    lambda df: dist.normality_ks(df, NUMERIC_COLUMNS),
+    lambda df, index: dist.normality_ks(df, NUMERIC_COLUMNS, index=index),
     statistic=6,
     p_value=6,
 )
 on_table("normality_ks_exact", "supplier", lambda df: dist.normality_ks(df, ["s_acctbal"]), statistic=6, p_value=6)
-on_listings(
+on_ranks(
     "normality_anderson",
-    lambda df: dist.normality_anderson(df, NUMERIC_COLUMNS).select("column", "test", "statistic", "is_normal"),
+    lambda df, index: dist.normality_anderson(df, NUMERIC_COLUMNS, index=index).select("column", "test", "statistic", "is_normal"),
     statistic=2,
 )
-on_listings("normality_verdict", lambda df: dist.normality_verdict(df, ["price_min", "price_max"]))
+on_ranks("normality_verdict", lambda df, index: dist.normality_verdict(df, ["price_min", "price_max"], index=index))
 on_listings(
     "fit_distributions",
     lambda df: dist.fit_distributions(df, names=("norm", "lognorm", "expon"), free=False).select(
@@ -342,7 +347,7 @@ on_listings(
     bic=2,
 )
 on_listings("fit_all_distributions", dist.fit_distributions)
-on_listings("qq_correlation", lambda df: dist.qq_correlation(df, NUMERIC_COLUMNS), qq_correlation=6)
+on_ranks("qq_correlation", lambda df, index: dist.qq_correlation(df, NUMERIC_COLUMNS, index=index), qq_correlation=6)
 
 # --- correlation ---------------------------------------------------------------------------------------------------------------
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.functions import listing as L
-from marketloom.schema import DEFAULTS
+from marketloom.operators.ranks import read_index, write_index
+from marketloom.schema import DEFAULTS, NUMERIC_COLUMNS
 from marketloom.session import shared_folder
 
 
@@ -72,19 +74,30 @@ def build_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored listing table: built once per application and folder, then read back column by column.
+def _once(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], None]) -> str:
+    """The folder of a table that is written once per application and given folder.
 
     It is a written table in the shared folder rather than a cache, so it survives lost executors and keeps Parquet
     pruning for every query that reads it.
     """
     digest = hashlib.sha256(f"{spark.sparkContext.applicationId}|{sf_dir}".encode()).hexdigest()[:16]
-    path = f"{shared_folder(spark)}/listings-{digest}"
+    path = f"{shared_folder(spark)}/{kind}-{digest}"
     with _building:  # threads of one application build it once
         if path not in _built:
-            build_listings(spark, sf_dir).write.mode("overwrite").parquet(path)
+            write(path)
             _built.add(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored listing table: built once per application and folder, then read back column by column."""
+    return spark.read.parquet(_once(spark, sf_dir, "listings", lambda path: build_listings(spark, sf_dir).write.mode("overwrite").parquet(path)))
+
+
+def listing_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order statistics of the listings' numeric columns, stored once like the listings themselves."""
+    df = listings(spark, sf_dir)
+    return read_index(spark, _once(spark, sf_dir, "listing-index", lambda path: write_index(df, NUMERIC_COLUMNS, path)))
 
 
 def document_listings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from marketloom.operators import dist as D
 from marketloom.operators import groups as G
+from marketloom.operators import profile as P
 from marketloom.operators import ranks as R
 
 
@@ -76,3 +78,20 @@ def test_sketches_merge_over_partitions(prices, monkeypatch):
     values = skewed(600)
     bounds = R.range_bounds(prices(values).repartition(50), "price_min", 30)
     assert bounds == sorted(set(bounds)) and 5 <= len(bounds) <= 20
+
+
+def test_a_stored_index_gives_the_results_of_the_rows(spark, tmp_path, many_buckets):
+    rng = np.random.default_rng(21)
+    a = rng.lognormal(1, 1, 400).round(1)
+    rows = [(i, float(x), None if i % 7 == 0 else float(-x * (i % 5)), 3.0) for i, x in enumerate(a)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    columns = ["a", "b", "c"]
+    R.write_index(df, columns, str(tmp_path / "index"))
+    index = R.read_index(spark, str(tmp_path / "index"))
+    assert index.groupBy("column").count().count() == 3
+    for build in (P.central_tendency, P.dispersion, P.shape, P.position, D.normality_tests, D.normality_verdict, D.qq_correlation):
+        plain, stored = build(df, columns), build(df, columns, index=index)
+        assert plain.columns == stored.columns, build
+        key = [c for c in ("column", "test") if c in plain.columns]
+        for x, y in zip(plain.orderBy(*key).collect(), stored.orderBy(*key).collect()):
+            assert [pytest.approx(v) if isinstance(v, float) else v for v in x] == list(y), build

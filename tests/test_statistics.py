@@ -255,3 +255,13 @@ def test_exact_laws_of_small_samples(prices):
     d = np.maximum(np.arange(1, 26) / 25 - x, x - np.arange(25) / 25).max(1)
     for q in (0.15, 0.2, 0.25):
         assert S.kolmogorov_tail(q, 25) == pytest.approx((d >= q).mean(), abs=0.012)
+
+
+def test_correlations_with_a_column_of_one_value(spark):
+    rows = [(1, 1.0, 3.0, None), (2, 2.0, 3.0, 1.0), (3, 4.0, 3.0, 2.5), (4, 5.0, 3.0, 2.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    got = {(r["column_a"], r["column_b"]): (r["n"], r["r"]) for r in C.pearson_matrix(df, ["a", "b", "c"]).collect()}
+    assert got["a", "b"] == (4, None) and got["b", "b"] == (4, None) and got["a", "a"] == (4, pytest.approx(1.0))
+    assert got["a", "c"] == (3, pytest.approx(np.corrcoef([2.0, 4.0, 5.0], [1.0, 2.5, 2.0])[0, 1]))
+    assert C.spearman_matrix(df, ["a", "b"]).where("column_a = 'a' and column_b = 'b'").first()["rho"] is None
+    assert D.qq_correlation(df.withColumn("b", F.lit(3.0)), ["b"]).collect() == []
