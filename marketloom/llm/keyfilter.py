@@ -1,7 +1,7 @@
 """A fixed-size bitmap of key hashes that keeps most rows without a partner out of a shuffle.
 
-The bitmap has ``BITS`` bits at any scale, so what reaches the driver and the tasks has a proven bound. It only ever lets too many rows through, never too
-few: with very many keys it fills up and the join behind it shuffles as it would have without.
+The bitmap has at most ``BITS`` bits at any scale, fewer for few keys, so what reaches the driver and the tasks has a proven bound. It only ever lets too many
+rows through, never too few: with very many keys it fills up and the join behind it shuffles as it would have without.
 """
 
 from __future__ import annotations
@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 BITS = 1 << 25
 PAGE = 1 << 15
+BITS_PER_KEY = 32
 
 
 def key_bitmap(keys: DataFrame, key: str, bits: int = BITS) -> np.ndarray:
-    """Bits set at the place of each 64-bit hash in the column ``key``."""
+    """Bits set at the place of each 64-bit hash in the column ``key``: ``BITS_PER_KEY`` bits for each key, up to ``bits``."""
+    bits = min(bits, max(PAGE, 1 << (BITS_PER_KEY * keys.count()).bit_length()))
     place = F.pmod(F.col(key), F.lit(bits))
     pages = (
         keys.select(key)

@@ -181,8 +181,8 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment:
 
     texts = (
         docs.where(F.col("text").isNotNull())
-        .select("doc_id", F.xxhash64("text").alias("code"), lowered.alias("lowered"))
-        .withColumn("marked", F.array_compact(F.array(*[F.when(possible(n), F.lit(n)) for n in lengths])))
+        .select("doc_id", F.xxhash64("text").alias("code"), stored(lowered, "lowered"))
+        .select("doc_id", "code", "lowered", stored(F.array_compact(F.array(*[F.when(possible(n), F.lit(n)) for n in lengths])), "marked"))
         .where(F.size("marked") > 0)
         .select("doc_id", "code", "marked", stored(F.regexp_extract_all("lowered", F.lit(WORD), F.lit(0)), "words"))
         .select("doc_id", "code", "marked", "words", stored(F.array_distinct(F.filter(codes(F.col("words")), lambda c: c.isin(*every))), "held"))
@@ -196,12 +196,13 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, containment:
     )
     if sum(map(len, templates.values())) <= BROADCAST_CHARS:
         known = F.broadcast(known)
+    last = F.greatest(F.size("words") - F.col("window") + F.col("stride") - 1, F.lit(0))
+    places = F.sequence(F.lit(0), last, F.col("stride"))
     windows = (
         texts.where(F.size("words") >= SHINGLE)
-        .select("doc_id", "code", "words", F.explode("grid").alias("g"))
-        .select("doc_id", "code", "words", "g.*")
-        .withColumn("at", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - F.col("window") + F.col("stride") - 1, F.lit(0)), F.col("stride"))))
-        .select("doc_id", "code", "length", "at", F.slice("words", F.col("at") + 1, F.col("window")).alias("part"))
+        .select("doc_id", "code", "words", F.inline("grid"))
+        # Windows are cut inside the array, so that no row carries a whole text's words.
+        .select("doc_id", "code", "length", F.inline(F.transform(places, lambda at: F.struct(at.alias("at"), F.slice("words", at + 1, F.col("window")).alias("part")))))
     )
     retrieved = (
         windows.select("*", F.posexplode(bands(F.col("part"))).alias("band", "value"))

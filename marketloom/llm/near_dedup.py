@@ -302,7 +302,7 @@ def components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE)
         .distinct()
     )
     candidates = cut_lineage(likely(stars, classes, percent))
-    wanted = central.select("node").join(classes.select("node", "own.*"), "node")
+    wanted = cut_lineage(central.select("node").join(classes.select("node", "own.*"), "node"))
     key = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("code"), "text")
     key = maybe_among(key, "code", wanted.select("code"))
     same = key["doc_id"].eqNullSafe(wanted["doc_id"]) & (key["code"] == wanted["code"])

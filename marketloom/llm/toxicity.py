@@ -42,7 +42,7 @@ NEAR = 0.05
 PRIOR = 0.5
 FOLDS = 5
 COMMON = 12  # a word of more than one in so many examples is a row of the matrix
-ROWS = 128
+ROWS = 32  # texts searched together: their postings and products take some 100 MB
 FEATURES = "row_id long, toxic int, terms array<long>, counts array<int>, words array<long>, word_counts array<int>"
 SEARCHED = ("row_at", "nearest", "product", "square", "odds", "rest", "rest_counts")
 MADE = (*SEARCHED, "rest_square", "score", "predicted", "evidence", "held_out")
