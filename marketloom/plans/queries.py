@@ -548,7 +548,7 @@ on_listings("word_cloud_titles", text.word_cloud, weight=8)
 # --- chart tables ----------------------------------------------------------------------------------------------------------------------
 
 on_listings("histogram", charts.histogram)
-on_listings("histogram_log", lambda df: charts.histogram(df, F.log10(F.col("price_min") + 1)).select("bin", "count"))
+on_listings("histogram_log", lambda df: charts.histogram(df, L.log10_price(F.col("price_min"))).select("bin", "count"))
 on_listings("histogram_spread", lambda df: charts.histogram(df, F.col("price_max") - F.col("price_min")))
 on_listings("histogram_quality", lambda df: charts.histogram(df, "quality_score", 30))
 on_listings("percentile_bars", lambda df: groups.percentile_bars(df).drop("label"), value=6)

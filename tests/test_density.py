@@ -86,3 +86,19 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(25)] + [(30, 39)], "a long, b long")
     got = {r["node"]: r["comp"] for r in connected_components(nodes, edges).collect()}
     assert got == {i: 0 if i <= 25 else 30 if i == 39 else i for i in range(40)}
+
+
+def test_dbscan_in_twelve_features_equals_brute_force(spark):
+    """2,000 rows of 12 collinear features in groups of uneven density, with equal rows, noise and border points."""
+    rng = np.random.default_rng(14)
+    base = np.concatenate(
+        [rng.normal(0, 0.3, (700, 4)), rng.normal(3, 0.5, (600, 4)), rng.normal((0, 4, 0, 4), 0.2, (400, 4)), rng.uniform(-4, 7, (240, 4)), np.full((60, 4), 1.5)]
+    )
+    x = np.concatenate([base, base @ rng.normal(size=(4, 5)), np.abs(base[:, :3])], 1)[rng.permutation(2000)]
+    names = [f"f{j}" for j in range(12)]
+    df = spark.createDataFrame([(int(i), *map(float, r)) for i, r in enumerate(x)], "id long, " + ", ".join(f"{n} double" for n in names))
+    for eps in (0.8, 2.0):
+        want = brute_dbscan(x, eps, 5)
+        got = {r["id"]: r["dbscan_cluster"] for r in D.dbscan_labels(df.repartition(6), names, eps).collect()}
+        assert [got[i] for i in range(2000)] == list(want)
+        assert 2 < len(set(want)) and -1 in set(want)
