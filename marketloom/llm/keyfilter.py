@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 BITS = 1 << 25
 PAGE = 1 << 15
-BITS_PER_KEY = 32
+BITS_PER_KEY = 128
 
 
 def key_bitmap(keys: DataFrame, key: str, bits: int = BITS) -> np.ndarray:
