@@ -225,3 +225,18 @@ def test_sizes_are_whole(spark):
     df, names = frame(spark, x)
     assert sum(r["size"] for r in C.kmeans_fit(df.repartition(6), names, 4).collect()) == len(x)
     assert isinstance(C.label_quality(df, names, ["c"]), pd.DataFrame)
+
+
+def test_large_tables_take_one_start_of_each_mixture_over_all_rows(spark, monkeypatch):
+    x, _ = blobs(3, 2000)  # more rows than points of the weighted draw
+    df, names = frame(spark, x)
+    ks, widths, step = (2, 3, 4), [], M.step
+    every = M.fit(df, names, ks)
+    monkeypatch.setattr(B, "FINAL_ROWS", len(x))
+    monkeypatch.setattr(M, "step", lambda blocks, width, change, centre, found: widths.append(len(found)) or step(blocks, width, change, centre, found))
+    one = M.fit(df, names, ks)
+    assert max(widths) == len(ks)
+    assert one.n == len(x)
+    for k in ks:
+        assert one.best[k].log_likelihood == pytest.approx(every.best[k].log_likelihood, rel=2e-3)
+    assert sorted(one.best[3].mixture.weights) == pytest.approx([1 / 3] * 3, abs=1e-3)
