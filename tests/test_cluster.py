@@ -240,3 +240,16 @@ def test_large_tables_take_one_start_of_each_mixture_over_all_rows(spark, monkey
     for k in ks:
         assert one.best[k].log_likelihood == pytest.approx(every.best[k].log_likelihood, rel=2e-3)
     assert sorted(one.best[3].mixture.weights) == pytest.approx([1 / 3] * 3, abs=1e-3)
+
+
+def test_large_tables_take_one_start_of_each_k_over_all_rows(spark, monkeypatch):
+    x, _ = blobs(3, 2000)  # more rows than points of the weighted draw
+    df, names = frame(spark, x)
+    ks, widths, turn = (2, 3, 4), [], C._kmeans_round
+    every = [r["inertia"] for r in C.kmeans_select_k(df, names, ks).collect()]
+    monkeypatch.setattr(B, "FINAL_ROWS", len(x))
+    monkeypatch.setattr(C, "_kmeans_round", lambda blocks, width, sets: widths.append(len(sets)) or turn(blocks, width, sets))
+    one = C.kmeans_select_k(df, names, ks).collect()
+    assert max(widths) == len(ks)
+    assert [r["inertia"] for r in one] == pytest.approx(every, rel=2e-3)
+    assert [r["k"] for r in one if r["is_chosen"]] == [3]
