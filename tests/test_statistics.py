@@ -12,6 +12,7 @@ from marketloom.operators import dist as D
 from marketloom.operators import hypo as H
 from marketloom.operators import profile as P
 from marketloom.operators import ranks as R
+from marketloom.session import cut_lineage
 
 
 @pytest.fixture
@@ -265,3 +266,17 @@ def test_correlations_with_a_column_of_one_value(spark):
     assert got["a", "c"] == (3, pytest.approx(np.corrcoef([2.0, 4.0, 5.0], [1.0, 2.5, 2.0])[0, 1]))
     assert C.spearman_matrix(df, ["a", "b"]).where("column_a = 'a' and column_b = 'b'").first()["rho"] is None
     assert D.qq_correlation(df.withColumn("b", F.lit(3.0)), ["b"]).collect() == []
+
+
+def test_no_task_gets_all_positions_of_a_column(spark):
+    df = spark.createDataFrame([(float(v % 37), float(v * v % 101)) for v in range(400)], "a double, b double")
+    index = cut_lineage(R.column_ladder(df, ["a", "b"]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for sizes the planner does not know
+    try:
+        tested = D.normality_shapiro(df, ["a", "b"], index)
+        plan = tested._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [column" not in plan
+        assert tested.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
