@@ -95,3 +95,19 @@ def test_a_stored_index_gives_the_results_of_the_rows(spark, tmp_path, many_buck
         key = [c for c in ("column", "test") if c in plain.columns]
         for x, y in zip(plain.orderBy(*key).collect(), stored.orderBy(*key).collect()):
             assert [pytest.approx(v) if isinstance(v, float) else v for v in x] == list(y), build
+
+
+def test_tasks_of_a_ladder_grow_with_its_rows_not_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(R, "ROWS_PER_TASK", 100)
+    values = [None, float("nan"), *([0.0, -0.0] * 300), *[float(v % 97) - 40 for v in range(800)]]
+    rows = [(("a", "b")[i % 3 == 0], v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "column string, value double")
+    ladder = R.value_ladder(df, "value", ["column"])
+    plan = ladder._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [column" in plan and plan.count(", 14\n") == 1  # 1,400 usable rows, shuffled once
+    got = sorted((r["column"], r["value"], r["ties"], r["below"], r["total"]) for r in ladder.collect())
+    expected = []
+    for name in "ab":
+        own = [v + 0.0 for c, v in rows if c == name and v is not None and v == v]
+        expected += [(name, v, own.count(v), sum(o < v for o in own), len(own)) for v in sorted(set(own))]
+    assert got == expected
