@@ -5,8 +5,8 @@ from marketloom.operators import groups as G
 from marketloom.operators import ingest
 from marketloom.operators.lookup import bounded_local, lookup_join, settled
 from marketloom.plans import analyze, collect
-from marketloom.sources import store
-from marketloom.sources.driver_tables import document_listings, listings
+from marketloom.sources import driver_tables, store
+from marketloom.sources.driver_tables import build_listings, document_listings, listings
 from marketloom.streaming.ingest import ingest_stream
 from tests.conftest import SF_DIR
 
@@ -133,3 +133,15 @@ def test_samples_repeat(spark):
     df = listings(spark, SF_DIR)
     a, b = (G.sample_rows(d, 50).select("id").collect() for d in (df, df.repartition(9)))
     assert a == b and len(a) == 50
+
+
+def test_line_items_are_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(driver_tables, "ITEMS_PER_TASK", 1000)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large dimensions
+    try:
+        plan = build_listings(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    by_part = [line for line in plan.splitlines() if "Exchange hashpartitioning(l_partkey" in line]
+    assert len(by_part) == 1 and "REPARTITION_BY_NUM" in by_part[0]
