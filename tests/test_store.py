@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.operators import groups as G
 from marketloom.operators import ingest
@@ -135,6 +136,19 @@ def test_samples_repeat(spark):
     assert a == b and len(a) == 50
 
 
+def test_exported_csv_is_compressed_and_reads_back_whole(spark, tmp_path):
+    schema = T.StructType([f for f in store.STORED_SCHEMA if f.name in ("id", "product_name", "description", "price_min")])
+    rows = [(i, f'name "{i}", line\nbreak', None if i % 3 else f"text, {i}", i / 4) for i in range(50)]
+    by_name = [dict(zip(("id", "product_name", "description", "price_min"), r)) for r in rows]
+    df = spark.createDataFrame([tuple(r[n] for n in schema.names) for r in by_name], schema).withColumn("tags", F.lit("a,b"))
+    path = str(tmp_path / "csv")
+    store.write_csv(df, path)
+    files = [p.name for p in (tmp_path / "csv").iterdir() if p.name.startswith("part-")]
+    assert files and all(n.endswith(".csv.gz") for n in files)
+    back = {r["product_name"]: (r["description"], r["price_min"], r["tags"]) for r in store.read_csv(spark, path).collect()}
+    assert back == {r["product_name"]: (r["description"], r["price_min"], "a,b") for r in by_name}
+
+
 def test_line_items_are_shuffled_once(spark, monkeypatch):
     monkeypatch.setattr(driver_tables, "ITEMS_PER_TASK", 1000)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
