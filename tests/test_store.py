@@ -151,6 +151,7 @@ def test_exported_csv_is_compressed_and_reads_back_whole(spark, tmp_path):
 
 def test_line_items_are_shuffled_once(spark, monkeypatch):
     monkeypatch.setattr(driver_tables, "ITEMS_PER_TASK", 1000)
+    monkeypatch.setattr(driver_tables, "LEAST_ITEMS", 1000)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large dimensions
     try:
