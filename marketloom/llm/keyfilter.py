@@ -39,9 +39,9 @@ def maybe_set(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def maybe_among(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+def maybe_among(rows: DataFrame, key: str, keys: DataFrame, bits: int = BITS) -> DataFrame:
     """The rows whose ``key``, a 64-bit hash, may be among the column of the same name of ``keys``."""
-    shared = rows.sparkSession.sparkContext.broadcast(key_bitmap(keys, key))
+    shared = rows.sparkSession.sparkContext.broadcast(key_bitmap(keys, key, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -43,7 +43,7 @@ TOP = 254
 MARGIN = 6.0
 HUB_ROWS = 500
 COUNTERS = 1 << 16
-REPEATED_BITS = 1 << 27
+REPEATED_BITS = 1 << 27  # of bitmaps of shingles and buckets that occur more than once
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SKETCHES = "doc_id long, code long, digest binary, n_shingles long, registers binary"
 
@@ -169,7 +169,10 @@ def _registers(column: pa.Array) -> np.ndarray:
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The (hub, node) pairs that sizes and the joint likelihood of the registers do not rule out."""
-    side = lambda key, s: classes.select(F.col("node").alias(key), F.col("n").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}"))
+    # registers of classes without a pair stay where they are
+    paired = pairs.select(F.explode(F.array("hub", "node")).alias("node")).distinct().select(F.xxhash64("node").alias("at"))
+    held = maybe_among(classes.select(F.xxhash64("node").alias("at"), "node", "n", "registers"), "at", paired)
+    side = lambda key, s: held.select(F.col("node").alias(key), F.col("n").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}"))
     fit = (100 * F.least("n_a", "n_b")) >= percent * F.greatest("n_a", "n_b")
     joined = pairs.join(side("hub", "a"), "hub").join(side("node", "b"), "node").where(fit)
     threshold = percent / 100
@@ -189,16 +192,12 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> Data
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough. Each hub's text travels once for every ``HUB_ROWS`` partners."""
     salts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB_ROWS).cast("int").alias("salts"))
-    partners = (
-        pairs.join(salts, "hub")
-        .withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
-        .join(texts, "node")
-        .select("hub", "salt", F.lit(1).alias("role"), "node", "text")
-    )
-    hubs = (
-        salts.join(texts.withColumnRenamed("node", "hub"), "hub")
-        .select("hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("hub").alias("node"), "text")
+    partners = pairs.join(salts, "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), "node")
+    hubs = salts.select(
+        "hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("hub").alias("node")
     )
+    # hubs and partners meet the texts in one join, so all texts travel to it once
+    both = hubs.unionByName(partners).join(texts, "node").select("hub", "salt", "role", "node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whose, own = None, np.zeros(0, np.uint64)
@@ -220,7 +219,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, shingl
                         b.append(node[i])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    dealt = hubs.unionByName(partners).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role")
+    dealt = both.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role")
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
@@ -257,11 +256,12 @@ def rest_pairs(texts: DataFrame, apart: DataFrame, percent: int = PERCENT, shing
             text, code = shingle_sets(rows.column("text"), shingle)
             frequency, repeated_bits = shared.value
             key = code.view(np.int64)
-            order = np.lexsort((code, frequency[np.mod(key, COUNTERS)], maybe_set(repeated_bits, key), text))
-            text, code = text[order], code[order]
+            common = maybe_set(repeated_bits, key)
+            order = np.lexsort((code, frequency[np.mod(key, COUNTERS)], common, text))
+            text, code, common = text[order], code[order], common[order]
             size = np.bincount(text, minlength=rows.num_rows)
             place = np.arange(len(text)) - np.searchsorted(text, np.arange(rows.num_rows))[text]
-            keep = place <= size[text] - -(-size[text] * percent // 100)
+            keep = common & (place <= size[text] - -(-size[text] * percent // 100))  # a shingle of one set meets nothing
             take = pa.array(text[keep])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(code[keep].view(np.int64)), rows.column("node").take(take), rows.column("comp").take(take), pa.array(place[keep]), pa.array(size[text[keep]])],
@@ -291,8 +291,10 @@ def components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE)
         )
     )
     bands = classes.select("node", "registers").mapInArrow(_bands, "node binary, bucket long")
-    shared = bands.groupBy("bucket").agg(F.count("*").alias("size")).where(F.col("size") > 1)
-    members = cut_lineage(bands.join(shared, "bucket"))
+    shared = cut_lineage(bands.groupBy("bucket").agg(F.count("*").alias("size")).where(F.col("size") > 1))
+    at = F.xxhash64("bucket").alias("at")  # buckets are alike in their last registers
+    repeated = maybe_among(bands.select("*", at), "at", shared.select(at), REPEATED_BITS).drop("at")
+    members = cut_lineage(repeated.join(shared, "bucket"))
     central = members.groupBy("node").agg(F.sum("size").alias("weight"))
     hubs = members.join(central, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("top"))
     stars = (
@@ -304,9 +306,12 @@ def components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE)
     candidates = cut_lineage(likely(stars, classes, percent))
     wanted = cut_lineage(central.select("node").join(classes.select("node", "own.*"), "node"))
     key = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("code"), "text")
-    key = maybe_among(key, "code", wanted.select("code"))
-    same = key["doc_id"].eqNullSafe(wanted["doc_id"]) & (key["code"] == wanted["code"])
-    texts = cut_lineage(key.join(wanted, same).select("node", "text").dropDuplicates(["node"]))
+    key = maybe_among(key, "code", wanted.select("code")).withColumn("row", F.xxhash64("doc_id", "code"))
+    # joined by one code of id and text, so that repeated rows are found where they are
+    wanted = wanted.select(F.xxhash64("doc_id", "code").alias("row"), F.col("doc_id").alias("own_id"), F.col("code").alias("own_code"), "node")
+    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("code") == F.col("own_code"))
+    own = key.join(wanted, "row").groupBy("row", "node").agg(F.max(F.when(same, F.col("text"))).alias("text"))
+    texts = cut_lineage(own.where(F.col("text").isNotNull()).select("node", "text"))
     links = cut_lineage(confirmed(candidates, texts, percent, shingle))
     reached = connected_components(central.select("node"), links)
     # what the hubs left apart: classes of buckets with several components
