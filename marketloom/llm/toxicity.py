@@ -255,6 +255,7 @@ class Texts:
         blocks = -(-n // BLOCK)
         padded = np.zeros((blocks * BLOCK, len(often)))
         padded[:n] = dense[order]
+        del dense
         matrix = np.ascontiguousarray(padded.reshape(blocks, BLOCK, len(often)).transpose(0, 2, 1))
         rare = np.flatnonzero(~held)
         rare = rare[np.lexsort((rows[rare], slots[rare]))]
@@ -462,8 +463,8 @@ def pack(idf: np.ndarray, rows, slots, counts, toxic: np.ndarray, weight: np.nda
         group_of = np.full(n, -1)
         for j, g in enumerate(members):
             group_of[g] = j
-        for lo in range(0, n, 500):
-            part = np.arange(lo, min(lo + 500, n))
+        for lo in range(0, n, ROWS):  # few at a time, as this runs on the driver
+            part = np.arange(lo, min(lo + ROWS, n))
             part = part[group_of[part] >= 0]
             if not len(part):
                 continue
