@@ -102,3 +102,23 @@ def test_dbscan_in_twelve_features_equals_brute_force(spark):
         got = {r["id"]: r["dbscan_cluster"] for r in D.dbscan_labels(df.repartition(6), names, eps).collect()}
         assert [got[i] for i in range(2000)] == list(want)
         assert 2 < len(set(want)) and -1 in set(want)
+
+
+def test_the_tree_is_fitted_on_more_rows_for_more_cells(spark, monkeypatch):
+    monkeypatch.setattr(N, "SAMPLE", 64)
+    monkeypatch.setattr(N, "BLOCK_ROWS", 16)
+    x = np.random.default_rng(3).normal(size=(800, 2))
+    df, names = frame(spark, x)
+    fitted = N._fitting_rows(df.withColumnRenamed("id", "key"), len(x)).toPandas()[names].to_numpy()
+    assert 2 ** N._splits(fitted, 50)[2] > 64 // N.LEAST_SAMPLED
+    gaps = np.sort(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), 1)[:, 4]
+    got = {r["id"]: r["distance"] for r in N.k_distances(df, names).collect()}
+    assert np.allclose([got[i] for i in range(len(x))], gaps)
+
+
+def test_cells_are_linked_by_the_points_nearest_to_each_other(spark):
+    rows = [(1, 0.0), (1, 0.9), (2, 1.1), (2, 2.0), (3, 5.0)]
+    core = spark.createDataFrame(rows, "cell long, x0 double")
+    boxes = spark.createDataFrame([(1, 0.0, 0.9), (2, 1.1, 2.0), (3, 5.0, 5.0)], "cell long, lo0 double, hi0 double")
+    apart = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")
+    assert [tuple(r) for r in D._closest_links(core, apart, boxes, 1, 0.25).collect()] == [(1, 2)]
