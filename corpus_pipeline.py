@@ -3,11 +3,15 @@
 Each stage takes (spark, docs, sf_dir) and returns documents with all their columns (the last one adds the number of the copy);
 it works on whatever its predecessor kept, whole texts, and its decisions take effect. Rows of one doc_id are judged by
 the row's own text; identical rows are one document and leave near-dedup as one row.
+
+A stage sets the session's size of Arrow batches (``BATCH_BYTES``), as executors otherwise hold 10,000 whole texts a batch on both sides of Python.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +21,7 @@ from marketloom.session import shared_folder
 from marketloom.sources.driver_tables import table
 
 
+BATCH_BYTES = 4 << 20
 ROW, HASH, COPIES = "__row", "__hash", "__copies"  # of tables made here; a document's columns of these names are left alone
 
 
@@ -71,12 +76,26 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return joined.select(*[docs[c] for c in docs.columns if c != "copy"], copies.alias("copy"))
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage, with texts sent to Python ``BATCH_BYTES`` at a time; the setting stays, as what it returns runs later."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_dedup", drop_near_copies),
-    ("decontamination", drop_contaminated),
-    ("pii", mask_personal_data),
-    ("mixing", mix_sources),
+    ("toxicity", in_small_batches(drop_toxic)),
+    ("near_dedup", in_small_batches(drop_near_copies)),
+    ("decontamination", in_small_batches(drop_contaminated)),
+    ("pii", in_small_batches(mask_personal_data)),
+    ("mixing", in_small_batches(mix_sources)),
 ]
 
 ORACLE_SQL = None
