@@ -253,3 +253,26 @@ def test_large_tables_take_one_start_of_each_k_over_all_rows(spark, monkeypatch)
     assert max(widths) == len(ks)
     assert [r["inertia"] for r in one] == pytest.approx(every, rel=2e-3)
     assert [r["k"] for r in one if r["is_chosen"]] == [3]
+
+
+def test_lowest_merges_are_those_of_the_chains():
+    rng = np.random.default_rng(3)
+    size, x = rng.integers(1, 30, 500).astype(float), rng.normal(size=(500, 5))
+    for keep in (499, 250, 7, 1):
+        some = W.lowest_merges(size, x, 500 - keep)
+        (group, height), (want, top) = W.cut(500, *some, keep), W.cut(500, *W.chain_merges(size, x), keep)
+        assert (group == want).all() and height == pytest.approx(top) and len(some[0]) >= 500 - keep
+    grid = np.stack(np.meshgrid(np.arange(12.0), np.arange(12.0)), -1).reshape(-1, 2)  # ties everywhere
+    group, height = W.cut(144, *W.lowest_merges(np.ones(144), grid, 72), 72)
+    assert group.max() == 71 and (np.bincount(group) == 2).all() and height == 0.5
+
+
+def test_features_of_many_tasks_are_merged_a_few_at_a_time(spark, monkeypatch):
+    """Tasks merge, not the driver: it meets at most ``FAN_IN`` tables."""
+    x = np.random.default_rng(5).normal(size=(3000, 2))
+    blocks = spark.createDataFrame([(x[i::30].tobytes(), np.ones(100).tobytes()) for i in range(30)], "x binary, w binary").repartition(30)
+    met, real = [], W.condensed
+    monkeypatch.setattr(W, "condensed", lambda state, leaves: met.append(len(state)) or real(state, leaves))
+    found = W.features(blocks, 2, 50)
+    assert len(found) == 50 and found[:, 0].sum() == 3000 and found[:, 2:].sum(0) == pytest.approx(x.sum(0))
+    assert 0 < len(met) < W.FAN_IN
