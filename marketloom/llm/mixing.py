@@ -15,6 +15,7 @@ depends on the row's content alone.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -80,38 +81,38 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MO
 
 
 def thresholds(rows: DataFrame, needs: DataFrame) -> DataFrame:
-    """(source_key, need, below, used): the words of hashes under ``below`` fit into ``need``; ``used`` is their sum.
+    """(source_key, need, start, below, used): the words of hashes under ``below`` fit into ``need``; ``used`` is their sum.
 
-    ``rows`` has source_key, hash, size; ``needs`` has source_key, need. Each level sums the words of the boundary bucket
-    by the next ``BITS`` bits, until that bucket holds one row or one hash.
+    ``rows`` has source_key, hash, size; ``needs`` has source_key, need, start, which are carried along. Rows longer than the need or of
+    hashes under ``start`` take no part. Each level sums the words of the boundary bucket by the next ``BITS`` bits, until
+    that bucket holds one row or one hash.
     """
-    state = needs.select("source_key", "need", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("used"))
-    closed = needs.select("source_key", "need", F.lit(1 << 60).cast("long").alias("below"), F.lit(0).cast("long").alias("used")).limit(0)
+    named = ["source_key", "need", "start"]
+    state = needs.select(*named, F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("used"))
+    closed = needs.select(*named, F.lit(1 << 60).cast("long").alias("below"), F.lit(0).cast("long").alias("used")).limit(0)
     for level in range(LEVELS):
         shift = BITS * (LEVELS - 1 - level)
-        inside = rows.join(state, "source_key")
+        inside = rows.join(state, "source_key").where((F.col("size") <= F.col("need")) & (F.col("hash") >= F.col("start")))
         if level:
             inside = inside.where(F.shiftright("hash", shift + BITS) == F.col("prefix"))
         bucket = F.shiftright("hash", shift).alias("bucket")
-        sums = inside.groupBy("source_key", "need", "used", bucket).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+        sums = inside.groupBy(*named, "used", bucket).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
         upto = F.col("used") + F.sum("words").over(Window.partitionBy("source_key").orderBy("bucket"))
         over = F.struct("bucket", (F.col("upto") - F.col("words")).alias("used"), "n")
         edge = cut_lineage(
             sums.withColumn("upto", upto)
-            .groupBy("source_key", "need")
+            .groupBy(*named)
             .agg(F.min(F.when(F.col("upto") > F.col("need"), over)).alias("edge"), F.max("upto").alias("all"))
         )
         state = edge.where(F.col("edge").isNotNull()).select(
-            "source_key", "need", F.col("edge.bucket").alias("prefix"), F.col("edge.used").alias("used"), F.col("edge.n").alias("n")
+            *named, F.col("edge.bucket").alias("prefix"), F.col("edge.used").alias("used"), F.col("edge.n").alias("n")
         )
         if not level:  # later levels start from a bucket that reaches the need
-            closed = edge.where(F.col("edge").isNull()).select(
-                "source_key", "need", F.lit(1 << 60).cast("long").alias("below"), F.col("all").alias("used")
-            )
+            closed = edge.where(F.col("edge").isNull()).select(*named, F.lit(1 << 60).cast("long").alias("below"), F.col("all").alias("used"))
         if not state.where(F.col("n") > 1).limit(1).count():
             break
         state = state.drop("n")
-    return closed.unionByName(state.select("source_key", "need", F.shiftleft("prefix", shift).alias("below"), "used"))
+    return closed.unionByName(state.select(*named, F.shiftleft("prefix", shift).alias("below"), "used"))
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -127,21 +128,24 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -
             "need", F.greatest(F.col("target") - F.col("epochs") * F.col("source_size"), F.lit(0.0))
         )
     )
-    needs = aims.select("source_key", "need")
-    rows = sizes.select("source_key", "hash", "size").join(needs, "source_key").where((F.col("size") > 0) & (F.col("size") <= F.col("need")))
-    rows = rows.drop("need")
-    extra = F.lit(False)
-    out = sizes.join(aims.drop("need"), "source_key", "left")
+    rows = sizes.select("source_key", "hash", "size").where(F.col("size") > 0)
+    needs = aims.select("source_key", "need", F.lit(0).cast("long").alias("start"))
+    passes = []
     for fill in range(1 + FILLS):
         found = cut_lineage(thresholds(rows, needs))
-        below, need, used = f"below_{fill}", f"need_{fill}", f"used_{fill}"
-        named = found.select("source_key", F.col("below").alias(below), F.col("need").alias(need), F.col("used").alias(used))
-        fits = (F.col("hash") < F.col(below)) & (F.col("size") <= F.col(need))
-        out = out.join(named, "source_key", "left")
+        passes.append(found.select("source_key", F.lit(fill).alias("fill"), "below", "need"))
+        # A need never grows, so what is short enough for the next one was short enough for all before.
+        needs = found.select("source_key", (F.col("need") - F.col("used")).alias("need"), F.greatest("start", "below").alias("start"))
+    # One row per source with the bounds of all passes: the documents are joined once, and the driver broadcasts one small table.
+    of = lambda fill, name: F.max(F.when(F.col("fill") == fill, F.col(name))).alias(f"{name}_{fill}")
+    bounds = functools.reduce(DataFrame.unionByName, passes).groupBy("source_key").agg(
+        *[of(fill, name) for fill in range(1 + FILLS) for name in ("below", "need")]
+    )
+    out = sizes.join(cut_lineage(aims.drop("need").join(bounds, "source_key", "left")), "source_key", "left")
+    extra = F.lit(False)
+    for fill in range(1 + FILLS):
+        fits = (F.col("hash") < F.col(f"below_{fill}")) & (F.col("size") <= F.col(f"need_{fill}"))
         extra = extra | F.coalesce(fits & (F.col("size") > 0), F.lit(False))
-        beyond = (F.col("hash") >= F.col(below)) & (F.col("size") <= F.col(need) - F.col(used))
-        rows = rows.join(named, "source_key").where(beyond).select("source_key", "hash", "size")
-        needs = found.select("source_key", (F.col("need") - F.col("used")).alias("need"))
     return out.withColumn("copies", F.least(F.col("epochs") + extra.cast("int"), F.lit(most))).select(
         *[F.col(n).alias(c) for c, n in carried.items()], "size", "source_key", "hash", "source_size", "target", "copies"
     )

@@ -91,6 +91,13 @@ def test_mixing(documents, odd_rows):
     assert mixing.mix(documents([(1, None, None), (2, "", "a")])).where("target <> 0 or copies > 3").count() == 0
 
 
+def test_mixing_joins_the_documents_once_however_many_passes_there_are(documents):
+    """Every join of a table of sources is a broadcast that the driver holds."""
+    mixed = mixing.mix(documents([(i, "w " * (i % 7 + 1), f"s{i % 5}") for i in range(200)]))
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert mixing.FILLS > 0 and len(re.findall(r"\bJoin ", plan)) == 1
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a", "<p>x</p>"), (2, "http://b\n", "<p>x</p>"), (3, None, None), (4, "u", ""), (5, "u", "é" * 400_000)]
     rows += [(None, "n", "<p>x</p>"), (6, "u", "six"), (6, "u", "six")] + [(10 + i, "u", f"{i % 9}") for i in range(200)]
