@@ -114,3 +114,22 @@ def test_word_cloud_counts_collocations_and_folds_plurals(spark, k):
     got = [(r["word"], r["count"]) for r in T.word_cloud(df, k=k).orderBy(F.desc("count"), "word").collect()]
     assert got == brute_cloud(texts, k) and any(" " in w for w, _ in got)
     assert T.word_cloud(df.where("id < 0")).collect() == []
+
+
+@pytest.mark.parametrize(("operator", "splits"), [("tfidf_keywords", 2)])
+def test_texts_are_split_once_for_words_and_once_for_terms(spark, tmp_path, operator, splits):
+    """Counts that are read twice are stored; each text is looked at once to count words and once to count pairs or n-grams."""
+    rows = [(i, f"red cars and a blue car near {i % 7} new york cities" + " city new york" * (i % 3)) for i in range(40)]
+    spark.createDataFrame(rows, "id long, text string").repartition(8).write.parquet(f"{tmp_path}/texts")
+    looked = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            looked.add(batch.num_rows)
+            yield batch
+
+    texts = spark.read.parquet(f"{tmp_path}/texts").mapInArrow(counting, "id long, text string")
+    key = ["id"] if operator == "tfidf_keywords" else []
+    found = getattr(T, operator)(texts.select("id", F.col("text").alias("text")), "text", *key, k=3).collect()
+    assert len(found) == 3
+    assert looked.value <= (splits + (operator == "tfidf_keywords")) * len(rows)  # the number of documents is counted once
