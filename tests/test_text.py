@@ -116,7 +116,7 @@ def test_word_cloud_counts_collocations_and_folds_plurals(spark, k):
     assert T.word_cloud(df.where("id < 0")).collect() == []
 
 
-@pytest.mark.parametrize(("operator", "splits"), [("tfidf_keywords", 2)])
+@pytest.mark.parametrize(("operator", "splits"), [("tfidf_keywords", 2), ("word_cloud", 2)])
 def test_texts_are_split_once_for_words_and_once_for_terms(spark, tmp_path, operator, splits):
     """Counts that are read twice are stored; each text is looked at once to count words and once to count pairs or n-grams."""
     rows = [(i, f"red cars and a blue car near {i % 7} new york cities" + " city new york" * (i % 3)) for i in range(40)]
