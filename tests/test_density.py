@@ -122,3 +122,32 @@ def test_cells_are_linked_by_the_points_nearest_to_each_other(spark):
     boxes = spark.createDataFrame([(1, 0.0, 0.9), (2, 1.1, 2.0), (3, 5.0, 5.0)], "cell long, lo0 double, hi0 double")
     apart = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")
     assert [tuple(r) for r in D._closest_links(core, apart, boxes, 1, 0.25).collect()] == [(1, 2)]
+
+
+@pytest.mark.parametrize("rows, d", [(3, 2), (30, 1), (3000, 3), (2000, 12)])
+def test_squares_of_a_block_by_leaves(rows, d):
+    rng = np.random.default_rng(rows)
+    x = np.concatenate([rng.normal(size=(rows - 1, d)) * rng.choice([0.01, 1, 40], (rows - 1, 1)), np.full((1, d), 500.0)])
+    x[rows // 2 : rows // 2 + rows // 5] = x[0]
+    order, ends, best = N.block_squares(x, 5)
+    square = best.max(1)
+    assert sorted(order) == list(range(rows)) and ends[-1] == rows and np.diff(ends).max() <= max(N.LEAF_ROWS, 3)
+    want = kth(x, 5)[order] if rows >= 5 else np.full(rows, np.inf)
+    assert np.allclose(np.sqrt(square), want, rtol=1e-12, atol=0)
+
+
+def test_k_distances_leave_out_gaps_and_merge_shared_keys(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 32)
+    x = np.random.default_rng(8).normal(size=(300, 2))
+    rows = [(i, *map(float, r)) for i, r in enumerate(x)] + [(900, None, 1.0), (901, float("nan"), 1.0), (0, *map(float, x[0]))]
+    got = {r["id"]: r["distance"] for r in N.k_distances(spark.createDataFrame(rows, "id long, a double, b double"), ["a", "b"]).collect()}
+    twice = np.concatenate([x, x[:1]])
+    gaps = np.sort(np.sqrt(((twice[:, None] - twice[None]) ** 2).sum(2)), 1)
+    want = {i: gaps[i, 4] for i in range(1, 300)} | {0: np.sort(np.concatenate([gaps[0, :5], gaps[300, :5]]))[4]}
+    assert got == pytest.approx(want)
+
+
+def test_a_wide_jump_is_found_without_ordering(spark, monkeypatch):
+    monkeypatch.setattr(N, "_ordered_knee", lambda rows: pytest.fail("ordered"))
+    x = np.sort(np.concatenate([np.random.default_rng(3).exponential(size=5000), [40.0]]))
+    assert N.knee(spark.createDataFrame([(float(v),) for v in x], "distance double")) == (x[4999], 4999)
