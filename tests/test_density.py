@@ -151,3 +151,12 @@ def test_a_wide_jump_is_found_without_ordering(spark, monkeypatch):
     monkeypatch.setattr(N, "_ordered_knee", lambda rows: pytest.fail("ordered"))
     x = np.sort(np.concatenate([np.random.default_rng(3).exponential(size=5000), [40.0]]))
     assert N.knee(spark.createDataFrame([(float(v),) for v in x], "distance double")) == (x[4999], 4999)
+
+
+def test_clusters_of_equal_points_need_no_table_of_clusters(spark, monkeypatch):
+    monkeypatch.setattr("marketloom.operators.cluster.LOOKUP_ROWS", 2)
+    x = np.repeat(np.arange(6.0)[:, None] * [1, 2], [5, 6, 7, 5, 5, 1], axis=0)
+    df, names = frame(spark, x)
+    found = D.dbscan(df, names, 0.0).first()
+    assert (found["n_clusters"], found["n_noise_points"], found["silhouette_score"]) == (5, 1, 1.0)
+    assert D.dbscan(df, names, 0.0, 1).first()["silhouette_score"] == pytest.approx(28 / 29)
